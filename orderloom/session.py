@@ -27,6 +27,8 @@ def tune(spark: SparkSession, *input_paths: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Small shuffles keep all cores busy; large ones stay at the advisory size.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     }
     for key, value in settings.items():
         spark.conf.set(key, value)

@@ -8,15 +8,18 @@ table as it was. Smaller changes replace whole partitions inside the current ver
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.config import LakeNames
 from orderloom.session import filesystem, new_work_path
 
 _KEPT_VERSIONS = 2
+_SCHEMA_FILE = "_schema.json"
 
 
 def quoted(name: str) -> str:
@@ -60,18 +63,42 @@ class Lake:
         return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
 
     def exists(self, table: str) -> bool:
-        return bool(self.versions(table))
+        return bool(self.versions(table)) or self._is_streamed(table)
+
+    def _is_streamed(self, table: str) -> bool:
+        """A streaming file sink keeps the table in its folder, without versions."""
+        fs, log = filesystem(self.spark, f"{self.path(table)}/_spark_metadata")
+        return fs.exists(log)
 
     def current_path(self, table: str) -> str:
         versions = self.versions(table)
-        if not versions:
-            raise FileNotFoundError(f"table {table} has not been written under {self.root}")
-        return f"{self.path(table)}/v={versions[-1]}"
+        if versions:
+            return f"{self.path(table)}/v={versions[-1]}"
+        if self._is_streamed(table):
+            return self.path(table)
+        raise FileNotFoundError(f"table {table} has not been written under {self.root}")
 
     def read(self, table: str) -> DataFrame:
         path = self.current_path(table)
         self._finish_replacement(path)
-        return self.spark.read.parquet(path)
+        return self._parquet(path)
+
+    def _parquet(self, path: str) -> DataFrame:
+        """Read with the schema noted at the write: no file is opened to infer it."""
+        fs, noted = filesystem(self.spark, f"{path}/{_SCHEMA_FILE}")
+        if not fs.exists(noted):
+            return self.spark.read.parquet(path)
+        stream = fs.open(noted)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(path)
+
+    def _note_schema(self, path: str, df: DataFrame) -> None:
+        """Keep the schema beside the files; a partitioned table without rows has no files."""
+        fs, noted = filesystem(self.spark, f"{path}/{_SCHEMA_FILE}")
+        stream = fs.create(noted, True)
+        stream.write(bytearray(df.schema.json(), "utf-8"))
+        stream.close()
 
     # ---- writing -----------------------------------------------------------------------
 
@@ -82,6 +109,7 @@ class Lake:
         versions = self.versions(table)
         path = f"{self.path(table)}/v={versions[-1] + 1 if versions else 1}"
         write_parquet(df, path, partition_by, sort_by)
+        self._note_schema(path, df)
         self._register(table, path)
         for old in versions[: 1 - _KEPT_VERSIONS]:
             self._delete(f"{self.path(table)}/v={old}")
@@ -108,35 +136,42 @@ class Lake:
         driver be lost while partitions are swapped, the next access finishes the swap.
         """
         path = self.current_path(table)
-        self._delete(f"{path}/_pending")
-        folders = [(_partition_folder(column, v),) for v in values]
-        listed = self.spark.createDataFrame(folders, "folder string")
-        listed.coalesce(1).write.text(f"{path}/_pending/folders")
-        write_parquet(df, f"{path}/_pending/rows", column, sort_by)
+        pending = f"{path}/_pending"
+        self._delete(pending)
+        write_parquet(df, pending, column, sort_by)
+        fs, _ = filesystem(self.spark, path)
+        for value in values:  # a value without rows leaves an empty folder
+            fs.mkdirs(self._hadoop_path(f"{pending}/{_partition_folder(column, value)}"))
+        fs.create(self._hadoop_path(f"{pending}/_ready"), True).close()
         self._finish_replacement(path)
         self._register(table, path)
 
     def _finish_replacement(self, path: str) -> None:
-        """Swap in partitions that were fully written beside the table, if there are any."""
-        rows = f"{path}/_pending/rows"
-        fs, done = filesystem(self.spark, f"{rows}/_SUCCESS")
-        if not fs.exists(done):
+        """Swap in the folders that were fully written beside the table, if there are any.
+
+        Each step can be repeated, so a swap that was cut short goes on where it stopped.
+        """
+        pending = f"{path}/_pending"
+        fs, ready = filesystem(self.spark, f"{pending}/_ready")
+        if not fs.exists(ready):
             return
-        replaced = {r[0] for r in self.spark.read.text(f"{path}/_pending/folders").collect()}
-        found = fs.globStatus(filesystem(self.spark, f"{rows}/*=*")[1]) or []
-        filled = {s.getPath().getName() for s in found}
-        for folder in replaced - filled:
-            self._delete(f"{path}/{folder}")
-        if filled:
-            (
-                self.spark.read.parquet(rows)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(next(iter(filled)).split("=", 1)[0])
-                .parquet(path)
-            )
-        self._delete(f"{rows}/_SUCCESS")
-        self._delete(f"{path}/_pending")
+        for status in fs.globStatus(self._hadoop_path(f"{pending}/*=*")) or []:
+            new = status.getPath()
+            current = self._hadoop_path(f"{path}/{new.getName()}")
+            fs.delete(current, True)
+            if fs.listStatus(new):
+                fs.rename(new, current)
+            else:
+                fs.delete(new, True)
+        fs.delete(ready, False)
+        self._delete(pending)
+
+    def _hadoop_path(self, path: str):
+        return filesystem(self.spark, path)[1]
+
+    def show_in_catalog(self, table: str) -> None:
+        """Make a stored table known to this session's catalog."""
+        self._register(table, self.current_path(table))
 
     def _register(self, table: str, path: str) -> None:
         """Show the table in the catalog under its schema, as a view of the current folder."""
