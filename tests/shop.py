@@ -1,0 +1,130 @@
+"""A small hand-made shop: one order per case that the rules tell apart."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from orderloom import Lake, run_gold, run_silver
+from orderloom.sources import landing
+
+T0, T1, T2 = "2024-06-01 00:00:00", "2024-06-01 01:00:00", "2024-06-01 02:00:00"
+
+CUSTOMERS = [
+    ("1", "Ada", "Byron", " Ada@Shop.Test ", None, "2023-01-05 10:00:00", T0),
+    ("2", None, "Hopper", "grace@shop.test", "555", "2023-02-05 10:00:00", T0),
+    ("02", None, "Hopper", "grace@shop.test", "556", "2023-02-05 10:00:00", T1),  # newer phone
+    (None, "No", "Key", "nokey@shop.test", None, None, T0),
+    ("3", "No", "Mail", None, None, None, T0),
+    ("x9", "Bad", "Key", "bad@shop.test", None, None, T0),
+]
+PRODUCTS = [
+    ("1", " lamp-a ", "Lamp", "Light", "10.005", "2023-01-01 00:00:00", T0),
+    ("2", "lamp-b", "Lamp", "Light", "20.00", "not a date", T0),
+    ("3", "rug-c", "Rug", "Floor", "n/a", "2023-01-01 00:00:00", T0),
+    ("4", None, "No sku", "Floor", "1.00", None, T0),
+]
+# Case -> (order id, date, lines as (product, quantity, price, status)).
+CASES: dict[str, tuple[int, str, list[tuple[int, int, str, str]]]] = {
+    "all delivered": (10, "2024-02-29 23:59:59", [(1, 2, "10.00", "DELIVERED"), (2, 1, "20.00", "DELIVERED")]),
+    "all cancelled": (11, "2024-03-01 00:00:00", [(1, 1, "10.00", "CANCELLED")]),
+    "all pending": (12, "2024-03-03 12:00:00", [(1, 4, "10.00", "PENDING"), (3, 1, "5.00", "PENDING")]),
+    "delivered and cancelled": (13, "2024-03-03 23:59:59", [(1, 1, "10.00", "DELIVERED"), (2, 1, "20.00", "CANCELLED")]),
+    "delivered and returned": (14, "2024-03-04 00:00:00", [(2, 2, "21.00", "DELIVERED"), (2, 1, "20.00", "RETURNED")]),
+    "pending and cancelled": (15, "2024-03-10 08:00:00", [(1, 1, "10.00", "PENDING"), (2, 1, "20.00", "CANCELLED")]),
+    "all returned": (16, "2024-03-31 23:59:59", [(3, 7, "5.00", "RETURNED")]),
+    "no lines": (17, "2024-03-15 00:00:00", []),
+    "shipped and pending": (18, "2024-04-01 00:00:00", [(1, 1, "10.00", "SHIPPED"), (2, 1, "20.00", "PENDING")]),
+    "future": (19, "2024-07-20 00:00:00", [(3, 9, "5.00", "DELIVERED")]),
+    "undated": (20, None, [(1, 3, "10.00", "DELIVERED")]),
+}
+STATUS = {
+    "all delivered": "COMPLETED",
+    "all cancelled": "CANCELLED",
+    "all pending": "PENDING",
+    "delivered and cancelled": "PARTIALLY_SHIPPED",
+    "delivered and returned": "PARTIALLY_SHIPPED",
+    "pending and cancelled": "IN_PROGRESS",
+    "all returned": "IN_PROGRESS",
+    "shipped and pending": "PARTIALLY_SHIPPED",
+    "future": "COMPLETED",
+    "undated": "COMPLETED",
+}
+
+
+def order_rows() -> list[tuple]:
+    rows = [(str(oid), "1", day, "Main St", T0) for oid, day, _ in CASES.values()]
+    rows += [
+        ("010", "1", "2024-02-29 23:59:59", "Main St", T0),  # order 10 again, written otherwise
+        ("90", "77", "2024-03-01 00:00:00", "Nowhere", T0),
+        (None, "1", "2024-03-01 00:00:00", "Nowhere", T0),
+        ("91", "one", "2024-03-01 00:00:00", "Nowhere", T0),
+    ]
+    return rows
+
+
+def item_rows() -> list[tuple]:
+    """Lines numbered order * 10 + position, and rows that break one rule each."""
+    rows = []
+    for oid, _, lines in CASES.values():
+        for n, (product, quantity, price, status) in enumerate(lines, 1):
+            untidy = f" {status.lower()} " if n % 2 else status
+            rows.append(
+                (f"{oid}{n}", str(oid), str(product), str(quantity), price, untidy, T0, T0)
+            )
+    rows.append(("0101", "10", "1", "2", "10.00", "Delivered", T0, T1))  # resent, other spelling
+    rows += BROKEN_ITEMS
+    return rows
+
+
+BROKEN_ITEMS = [
+    (None, "10", "1", "1", "10.00", "PENDING", T0, T0),
+    ("901", "10", "1", "1.5", "10.00", "PENDING", T0, T0),
+    ("902", "10", "1", "1", "ten", "PENDING", T0, T0),
+    ("903", "10", "1", "2000000000", "99999999.99", "PENDING", T0, T0),
+    ("904", "10", "1", "1", "10.00", "LOST", T0, T0),
+    ("905", "10", "1", "1", "10.00", None, T0, T0),
+    ("906", "5555", "1", "1", "10.00", "PENDING", T0, T0),
+    ("907", "10", "5555", "1", "10.00", "PENDING", T0, T0),
+    ("908", None, "1", "1", "10.00", "PENDING", T0, T0),
+]
+BROKEN_REASONS = {
+    "null_key": 1,
+    "bad_number": 3,
+    "bad_status": 2,
+    "orphan_order": 2,
+    "orphan_product": 1,
+}
+
+ROWS = {
+    "bronze_customers": lambda: CUSTOMERS,
+    "bronze_products": lambda: PRODUCTS,
+    "bronze_orders": order_rows,
+    "bronze_order_items": item_rows,
+}
+
+
+def bronze(spark: SparkSession, table: str, rows: list[tuple] | None = None) -> DataFrame:
+    """Rows of strings whose last value is the ingest time."""
+    names = landing.BRONZE[table].names
+    given = ROWS[table]() if rows is None else rows
+    text = spark.createDataFrame(given, ", ".join(f"{n} string" for n in names))
+    return landing.to_bronze(text, table)
+
+
+def land(lake: Lake) -> None:
+    for table in ROWS:
+        landing.load(lake, table, bronze(lake.spark, table), replace=True)
+
+
+def build(lake: Lake) -> None:
+    land(lake)
+    run_silver(lake)
+    run_gold(lake)
+
+
+def rows(df: DataFrame, *columns: str) -> list[tuple]:
+    """Rows as sorted tuples, NULLs last."""
+    picked = df.select(*columns) if columns else df
+    return sorted(
+        (tuple(r) for r in picked.collect()), key=lambda r: [(v is None, str(v)) for v in r]
+    )
