@@ -18,12 +18,12 @@ def day_of(ts: str) -> Column:
 
 def week_of(ts: str) -> Column:
     """Monday of the week."""
-    return F.to_date(F.date_trunc("week", F.col(ts)))
+    return F.trunc(day_of(ts), "week")
 
 
 def month_of(ts: str) -> Column:
     """First day of the month."""
-    return F.to_date(F.date_trunc("month", F.col(ts)))
+    return F.trunc(day_of(ts), "month")
 
 
 def month_start(day: dt.date) -> dt.date:

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.sources.lake import Lake, stage
+from orderloom.operators.dedupe import latest_by_key
+from orderloom.sources.lake import Lake, Scratch, stage
 
 
 @dataclass(frozen=True)
@@ -35,43 +36,66 @@ def upsert(
 ) -> UpsertResult:
     """Update rows whose key exists, insert the others; `source` has one row per key.
 
-    A source row always replaces the target's row, or with `newest` only if its value of that
-    column is not older: batches may then arrive late or twice. A partitioned table is read
-    by key once to find the partitions that hold matching rows; only these are rewritten.
+    A source row always replaces the target's row. With `newest` the row with the higher
+    value of that column stays, and equal ones are decided as `latest_by_key` does: batches
+    may then arrive late, twice, and in any order. A partitioned table is read by key once to
+    find the partitions that hold matching rows; only these are rewritten.
     """
+    lake.recover(table)
     if not lake.exists(table):
         lake.publish(table, source, partition_by)
         return UpsertResult(partition_values(lake.read(table), partition_by), None)
 
-    target = lake.read(table)
-    source = stage(source, f"{table}-source")
-    carried = [c for c in (partition_by, newest) if c]
-    present = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in carried])
-    hits = stage(
-        present.join(source.select(*keys), keys, "left_semi").withColumn("_hit", F.lit(True)),
-        f"{table}-hits",
-    )
-    effective = source.join(hits, keys, "left")
-    if newest:
-        old, new = F.col(f"_old_{newest}"), F.col(newest)
-        effective = effective.where(F.col("_hit").isNull() | old.isNull() | (old <= new))
-
-    if partition_by is None:
-        lake.publish(table, merged_rows(target, effective.select(*target.columns), keys))
-        return UpsertResult([], None)
-
-    old = F.col(f"_old_{partition_by}")
-    touched = partition_values(
-        effective.select(F.col(partition_by))
-        .unionByName(effective.where("_hit").select(old.alias(partition_by))),
-        partition_by,
-    )
-    moved = effective.where(F.col("_hit") & ~old.eqNullSafe(F.col(partition_by)))
-    rewritten = in_partitions(target, partition_by, touched)
-    merged = merged_rows(rewritten, effective.select(*target.columns), keys)
-    moved = stage(moved.select(*keys, partition_by, old), f"{table}-moved")
-    lake.replace_partitions(table, merged, partition_by, touched)
-    return UpsertResult(touched, moved)
+    with Scratch(lake.spark) as scratch:
+        target = lake.read(table)
+        source = scratch.stage(source, f"{table}-source")
+        carried = [c for c in (partition_by, newest) if c]
+        present = near_keys(target, source, keys).select(
+            *keys, *[F.col(c).alias(f"_old_{c}") for c in carried], F.lit(True).alias("_hit")
+        )
+        hits = present.join(source.select(*keys), keys, "left_semi")
+        hits = scratch.stage(hits, f"{table}-hits")
+        effective = source.join(hits, keys, "left")
+        if newest:
+            old, new = F.col(f"_old_{newest}"), F.col(newest)
+            effective = effective.where(F.col("_hit").isNull() | old.isNull() | (old <= new))
+        changes = effective.select(*target.columns)
+
+        if partition_by is None:
+            lake.publish(table, _merged(target, changes, keys, newest))
+            return UpsertResult([], None)
+
+        old = F.col(f"_old_{partition_by}")
+        both = effective.select(partition_by).unionByName(
+            effective.where("_hit").select(old.alias(partition_by))
+        )
+        touched = partition_values(both, partition_by)
+        changed_partition = F.col("_hit") & ~old.eqNullSafe(F.col(partition_by))
+        moved = effective.where(changed_partition).select(*keys, partition_by, old)
+        moved = stage(moved, f"{table}-moved")
+        rewritten = in_partitions(target, partition_by, touched)
+        merged = _merged(rewritten, changes, keys, newest)
+        lake.replace_partitions(table, merged, partition_by, touched)
+        return UpsertResult(touched, moved)
+
+
+def _merged(target: DataFrame, changes: DataFrame, keys: list[str], newest: str | None) -> DataFrame:
+    if newest is None:
+        return merged_rows(target, changes, keys)
+    same_key = target.join(changes.select(*keys), keys, "left_semi").select(*target.columns)
+    decided = latest_by_key(same_key.unionByName(changes), keys, newest)
+    return merged_rows(target, decided, keys)
+
+
+def near_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows between the lowest and the highest source key.
+
+    Keys mostly grow with time, so for a recent batch the range filter skips old row groups
+    by their statistics. It only narrows what the join has to look at.
+    """
+    first = keys[0]
+    low, high = source.agg(F.min(first), F.max(first)).first()
+    return target.where(F.col(first).between(F.lit(low), F.lit(high)))
 
 
 def partition_values(df: DataFrame, column: str | None) -> list[dt.date | None]:

@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.periods import month_of, months_of, next_month, weeks_of_months
+from orderloom.operators.dedupe import collapse_exact
 from orderloom.operators.integrity import REASON
 from orderloom.operators.upsert import in_partitions, partition_values, upsert
 from orderloom.plans import gold, silver
 from orderloom.plans.gold import DAY, MONTH_START, PRODUCT_COLUMNS, WEEK
 from orderloom.schemas import INGEST_TS, MONTH, SILVER_KEYS, SILVER_LAYOUT, UPDATED_TS, contract
 from orderloom.session import tune
-from orderloom.sources.lake import Lake, stage
+from orderloom.sources.lake import Lake, Scratch
 
 BRONZE_OF = {
     "silver_customers": "bronze_customers",
@@ -38,7 +39,7 @@ STATUS_VIEW = "gold_vw_order_status"
 # ---- Silver -----------------------------------------------------------------------------
 
 
-def checked_rows(lake: Lake, table: str, landed: DataFrame) -> DataFrame:
+def checked_rows(lake: Lake, table: str, landed: DataFrame, scratch: Scratch) -> DataFrame:
     """Landed rows typed and tagged, against the parents that are in Silver now.
 
     Where parents are joined the result is written, since both the table and its quarantine
@@ -53,7 +54,7 @@ def checked_rows(lake: Lake, table: str, landed: DataFrame) -> DataFrame:
     else:
         orders, products = lake.read("silver_orders"), lake.read("silver_products")
         checked = silver.typed_order_items(landed, orders, products)
-    return stage(checked, f"{table}-checked")
+    return scratch.stage(checked, f"{table}-checked")
 
 
 def run_silver(lake: Lake, rebuild: bool = True, since: dt.datetime | None = None) -> None:
@@ -62,44 +63,50 @@ def run_silver(lake: Lake, rebuild: bool = True, since: dt.datetime | None = Non
     for table, bronze in BRONZE_OF.items():
         landed = lake.read(bronze)
         if rebuild:
-            checked = checked_rows(lake, table, landed)
-            lake.publish(table, silver.newest_accepted(checked, table), SILVER_LAYOUT[table])
-            lake.publish(f"{table}_rejected", silver.quarantined(checked))
+            _rebuild(lake, table, landed)
         else:
             if since is not None:
                 landed = landed.where(F.col(INGEST_TS) > F.lit(since))
             absorb(lake, table, landed)
 
 
+def _rebuild(lake: Lake, table: str, landed: DataFrame) -> None:
+    with Scratch(lake.spark) as scratch:
+        checked = checked_rows(lake, table, landed, scratch)
+        lake.publish(table, silver.newest_accepted(checked, table), SILVER_LAYOUT[table])
+        lake.publish(f"{table}_rejected", silver.quarantined(checked))
+
+
 def absorb(lake: Lake, table: str, landed: DataFrame) -> list[dt.date | None]:
     """Upsert landed rows into a Silver table; the newest version of a key wins.
 
     Orphans rejected earlier are tried again. Absorbing the same rows twice changes nothing,
     and batches may come in any order. Returns the order months whose rows were rewritten.
     """
+    lake.recover(*BRONZE_OF)
     rejects = f"{table}_rejected"
     earlier = lake.read(rejects) if lake.exists(rejects) else None
     if earlier is not None:
         again = earlier.where(F.col(REASON).isin(*silver.RETRIED)).drop(REASON)
         landed = landed.unionByName(again.select(*landed.columns))
-    checked = checked_rows(lake, table, landed)
-    result = upsert(
-        lake,
-        table,
-        silver.newest_accepted(checked, table),
-        SILVER_KEYS[table],
-        SILVER_LAYOUT[table],
-        newest=UPDATED_TS,
-    )
-    touched = set(result.touched)
-    if table == "silver_orders" and result.moved is not None:
-        touched |= set(_move_items(lake, result.moved))
-    quarantine = silver.quarantined(checked)
-    if earlier is not None:
-        final = earlier.where(~F.col(REASON).isin(*silver.RETRIED))
-        both = final.unionByName(quarantine)
-        quarantine = silver.collapse_exact(both, INGEST_TS)
-    lake.publish(rejects, quarantine)
+    with Scratch(lake.spark) as scratch:
+        checked = checked_rows(lake, table, landed, scratch)
+        result = upsert(
+            lake,
+            table,
+            silver.newest_accepted(checked, table),
+            SILVER_KEYS[table],
+            SILVER_LAYOUT[table],
+            newest=UPDATED_TS,
+        )
+        touched = set(result.touched)
+        if table == "silver_orders" and result.moved is not None:
+            touched |= set(_move_items(lake, result.moved))
+        quarantine = silver.quarantined(checked)
+        if earlier is not None:
+            final = earlier.where(~F.col(REASON).isin(*silver.RETRIED))
+            quarantine = collapse_exact(final.unionByName(quarantine), INGEST_TS)
+        lake.publish(rejects, quarantine)
     return sorted(touched, key=lambda v: (v is None, v))
 
 
@@ -121,6 +128,7 @@ def _move_items(lake: Lake, moved_orders: DataFrame) -> list[dt.date | None]:
 def run_gold(lake: Lake) -> None:
     """Silver to Gold: fact, dimensions, marts, status view; everything is overwritten."""
     tune(lake.spark, *[lake.path(s) for s in BRONZE_OF])
+    lake.recover(*BRONZE_OF)
     items, orders = lake.read("silver_order_items"), lake.read("silver_orders")
     products, customers = lake.read("silver_products"), lake.read("silver_customers")
 
@@ -161,20 +169,23 @@ def publish_dim_order(lake: Lake) -> None:
     lake.publish(DIM_ORDER, gold.dim_order(orders, order_statuses(lake)))
 
 
-def refresh_gold(lake: Lake, months: list[dt.date | None]) -> None:
+def refresh_gold(lake: Lake, months: list[dt.date | None], dimensions: bool = True) -> None:
     """Bring Gold up to date after changes to orders or lines of the given months.
 
     The fact and the daily and monthly marts are recomputed for these months, the weekly mart
-    for the weeks that overlap them; everything else stays as it is. Months in which renamed
-    products were sold are added.
+    for the months in which weeks that overlap them start; everything else stays as it is.
+    With `dimensions` these are written anew, and months in which renamed products were sold
+    are added; it may be off if customers and products did not change.
     """
     if not lake.exists(FACT):
         run_gold(lake)
         return
+    lake.recover(*BRONZE_OF, FACT, DAILY, WEEKLY, MONTHLY)
     products = lake.read("silver_products")
-    months = _with_renamed(lake, months, products)
-    lake.publish(DIM_CUSTOMER, gold.dim_customer(lake.read("silver_customers")))
-    lake.publish(DIM_PRODUCT, gold.dim_product(products))
+    if dimensions:
+        months = _with_renamed(lake, months, products)
+        lake.publish(DIM_CUSTOMER, gold.dim_customer(lake.read("silver_customers")))
+        lake.publish(DIM_PRODUCT, gold.dim_product(products))
     create_status_view(lake)
     if not months:
         return

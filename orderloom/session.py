@@ -8,9 +8,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_SHUFFLE_BYTES_PER_TASK = 128 * 1024 * 1024
+_SHUFFLE_BYTES_PER_TASK = 256 * 1024 * 1024
 # Parquet is compressed and encoded; shuffled rows are neither as tightly.
 _ROW_EXPANSION = 3
+# Every map task keeps one block per partition: beyond this, tasks get more bytes and spill.
+_MOST_SHUFFLE_PARTITIONS = 40_000
 _local_work_dirs: dict[str, str] = {}
 
 
@@ -27,7 +29,9 @@ def tune(spark: SparkSession, *input_paths: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Small shuffles keep all cores busy; large ones stay at the advisory size.
+        # Size of a merged or split shuffle partition, and so of a file that is written.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        # Small shuffles keep all cores busy none the less.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     }
     for key, value in settings.items():
@@ -38,10 +42,14 @@ def tune(spark: SparkSession, *input_paths: str) -> SparkSession:
 
 
 def shuffle_partitions(spark: SparkSession, *input_paths: str) -> int:
-    """Enough shuffle tasks for the bytes under `input_paths`, at least one per core."""
+    """Enough shuffle tasks for the bytes under `input_paths`, at least one per core.
+
+    This is where adaptive execution starts from: it can merge partitions, but not add any
+    except to split a skewed one.
+    """
     stored = sum(stored_bytes(spark, p) for p in input_paths)
     by_size = math.ceil(stored * _ROW_EXPANSION / _SHUFFLE_BYTES_PER_TASK)
-    return max(spark.sparkContext.defaultParallelism, by_size)
+    return min(max(spark.sparkContext.defaultParallelism, by_size), _MOST_SHUFFLE_PARTITIONS)
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:

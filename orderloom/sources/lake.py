@@ -54,6 +54,11 @@ class Lake:
         for schema in {self.schema_of(t) for t in tables}:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(schema)}")
 
+    def use_schema_of(self, table: str) -> None:
+        """Make the layer of `table` the current schema, for SQL with plain table names."""
+        self.create_schema(table)
+        self.spark.catalog.setCurrentDatabase(self.schema_of(table))
+
     # ---- reading -----------------------------------------------------------------------
 
     def versions(self, table: str) -> list[int]:
@@ -79,9 +84,7 @@ class Lake:
         raise FileNotFoundError(f"table {table} has not been written under {self.root}")
 
     def read(self, table: str) -> DataFrame:
-        path = self.current_path(table)
-        self._finish_replacement(path)
-        return self._parquet(path)
+        return self._parquet(self.current_path(table))
 
     def _parquet(self, path: str) -> DataFrame:
         """Read with the schema noted at the write: no file is opened to infer it."""
@@ -133,8 +136,9 @@ class Lake:
         """Make `df` the whole content of the partitions `values`; leave the others alone.
 
         `df` may read the table itself: it is written beside the table first. Should the
-        driver be lost while partitions are swapped, the next access finishes the swap.
+        driver be lost while partitions are swapped, `recover` finishes the swap.
         """
+        self.recover(table)
         path = self.current_path(table)
         pending = f"{path}/_pending"
         self._delete(pending)
@@ -146,6 +150,12 @@ class Lake:
         self._finish_replacement(path)
         self._register(table, path)
 
+    def recover(self, *tables: str) -> None:
+        """Finish swaps that were cut short. For the table's one writer, before it reads."""
+        for table in tables:
+            if self.exists(table):
+                self._finish_replacement(self.current_path(table))
+
     def _finish_replacement(self, path: str) -> None:
         """Swap in the folders that were fully written beside the table, if there are any.
 
@@ -205,12 +215,35 @@ def write_parquet(
     balanced.write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
+class Scratch:
+    """Intermediate results written to the work folder, and removed when the block ends.
+
+    A staged result is computed once, however many plans read it, and cuts lineage: a lost
+    executor costs its running tasks, not the joins before the written table.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self._paths: list[str] = []
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        path = new_work_path(self.spark, label)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self._paths:
+            fs, hadoop_path = filesystem(self.spark, path)
+            fs.delete(hadoop_path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the work folder and read it back: computed once, and lineage is cut."""
-    spark = df.sparkSession
-    path = new_work_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write `df` to the work folder for the rest of the session, and read it back."""
+    return Scratch(df.sparkSession).stage(df, label)
 
 
 def _partition_folder(column: str, value: dt.date | None) -> str:
