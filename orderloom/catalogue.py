@@ -102,12 +102,19 @@ def new_lake(spark: SparkSession, label: str) -> Lake:
     return Lake(spark, new_work_path(spark, label), in_catalog=False)
 
 
-_lakes: dict[tuple[str, str], SampleLake] = {}
+_lakes: dict[tuple[str, str, int], SampleLake] = {}
+
+
+def _last_change(spark: SparkSession, sf_dir: str) -> int:
+    """When the given tables last changed: layers built before then are not used again."""
+    tables = [f"{sf_dir}/{t}.parquet" for t in ("customer", "part", "orders", "lineitem")]
+    found = [filesystem(spark, t) for t in tables]
+    return max(fs.getFileStatus(path).getModificationTime() for fs, path in found)
 
 
 def sample_lake(spark: SparkSession, sf_dir: str) -> SampleLake:
     tune(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _last_change(spark, sf_dir))
     if key not in _lakes:
         _lakes[key] = SampleLake(spark, sf_dir)
     return _lakes[key]

@@ -7,6 +7,7 @@ them reach partition pruning and the Parquet scan.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,6 +64,11 @@ def months_of(days: list[dt.date]) -> list[dt.date]:
     return sorted({month_start(d) for d in days})
 
 
+def ordered(periods: Iterable[dt.date | None]) -> list[dt.date | None]:
+    """Periods in their order without repeats; NULL, where rows have no date, comes last."""
+    return sorted(set(periods), key=lambda p: (p is None, p))
+
+
 def at(moment: dt.date) -> Column:
     """A timestamp literal; a plain date stands for its midnight."""
     if not isinstance(moment, dt.datetime):

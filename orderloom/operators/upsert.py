@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.periods import ordered
 from orderloom.operators.dedupe import latest_by_key
 from orderloom.sources.lake import Lake, Scratch, stage
 
@@ -102,8 +103,7 @@ def partition_values(df: DataFrame, column: str | None) -> list[dt.date | None]:
     """Distinct values of a partition column: calendar periods, so a short list."""
     if column is None:
         return []
-    rows = df.select(column).distinct().collect()
-    return sorted((r[0] for r in rows), key=lambda v: (v is None, v))
+    return ordered(r[0] for r in df.select(column).distinct().collect())
 
 
 def in_partitions(df: DataFrame, column: str, values: list[dt.date | None]) -> DataFrame:

@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.periods import month_of, months_of, next_month, weeks_of_months
+from orderloom.functions.periods import month_of, months_of, next_month, ordered, weeks_of_months
 from orderloom.operators.dedupe import collapse_exact
 from orderloom.operators.integrity import REASON
 from orderloom.operators.upsert import in_partitions, partition_values, upsert
@@ -107,7 +107,7 @@ def absorb(lake: Lake, table: str, landed: DataFrame) -> list[dt.date | None]:
             final = earlier.where(~F.col(REASON).isin(*silver.RETRIED))
             quarantine = collapse_exact(final.unionByName(quarantine), INGEST_TS)
         lake.publish(rejects, quarantine)
-    return sorted(touched, key=lambda v: (v is None, v))
+    return ordered(touched)
 
 
 def _move_items(lake: Lake, moved_orders: DataFrame) -> list[dt.date | None]:
@@ -222,5 +222,5 @@ def _with_renamed(
     renamed = new.join(known, "product_id", "left_semi").exceptAll(old).select("product_id")
     if not renamed.isEmpty():
         sold = lake.read(FACT).join(renamed, "product_id", "left_semi")
-        months = list({*months, *partition_values(sold, MONTH)})
-    return sorted(months, key=lambda v: (v is None, v))
+        months = [*months, *partition_values(sold, MONTH)]
+    return ordered(months)

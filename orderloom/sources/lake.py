@@ -121,7 +121,6 @@ class Lake:
         """Add rows to the current version (landing tables only grow)."""
         if self.exists(table):
             df.write.mode("append").parquet(self.current_path(table))
-            self._register(table, self.current_path(table))
         else:
             self.publish(table, df)
 
@@ -148,7 +147,6 @@ class Lake:
             fs.mkdirs(self._hadoop_path(f"{pending}/{_partition_folder(column, value)}"))
         fs.create(self._hadoop_path(f"{pending}/_ready"), True).close()
         self._finish_replacement(path)
-        self._register(table, path)
 
     def recover(self, *tables: str) -> None:
         """Finish swaps that were cut short. For the table's one writer, before it reads."""
