@@ -82,7 +82,7 @@ class SampleLake:
 
     def checked_dirty_items(self) -> DataFrame:
         lake = self.silver()
-        return silver.typed_order_items(
+        return silver.tagged_order_items(
             self.dirty_items(), lake.read("silver_orders"), lake.read("silver_products")
         )
 
@@ -164,8 +164,8 @@ def silver_order_items(s: SampleLake) -> DataFrame:
 
 
 def collapse_exact_items(s: SampleLake) -> DataFrame:
-    good = accepted(s.checked_dirty_items()).select(*declared_columns(ITEMS))
-    return collapse_exact(good, UPDATED_TS)
+    good = silver.typed(accepted(s.checked_dirty_items()), ITEMS)
+    return collapse_exact(good.drop(MONTH), UPDATED_TS)
 
 
 def latest_items_by_key(s: SampleLake) -> DataFrame:

@@ -40,20 +40,20 @@ STATUS_VIEW = "gold_vw_order_status"
 
 
 def checked_rows(lake: Lake, table: str, landed: DataFrame, scratch: Scratch) -> DataFrame:
-    """Landed rows typed and tagged, against the parents that are in Silver now.
+    """Landed rows tagged by what is wrong with them, given the parents in Silver now.
 
     Where parents are joined the result is written, since both the table and its quarantine
     come from it.
     """
     if table == "silver_customers":
-        return silver.typed_customers(landed)
+        return silver.tagged_customers(landed)
     if table == "silver_products":
-        return silver.typed_products(landed)
+        return silver.tagged_products(landed)
     if table == "silver_orders":
-        checked = silver.typed_orders(landed, lake.read("silver_customers"))
+        checked = silver.tagged_orders(landed, lake.read("silver_customers"))
     else:
         orders, products = lake.read("silver_orders"), lake.read("silver_products")
-        checked = silver.typed_order_items(landed, orders, products)
+        checked = silver.tagged_order_items(landed, orders, products)
     return scratch.stage(checked, f"{table}-checked")
 
 
@@ -74,7 +74,7 @@ def _rebuild(lake: Lake, table: str, landed: DataFrame) -> None:
     with Scratch(lake.spark) as scratch:
         checked = checked_rows(lake, table, landed, scratch)
         lake.publish(table, silver.newest_accepted(checked, table), SILVER_LAYOUT[table])
-        lake.publish(f"{table}_rejected", silver.quarantined(checked))
+        lake.publish(f"{table}_rejected", silver.quarantined(checked, BRONZE_OF[table]))
 
 
 def absorb(lake: Lake, table: str, landed: DataFrame) -> list[dt.date | None]:
@@ -102,7 +102,7 @@ def absorb(lake: Lake, table: str, landed: DataFrame) -> list[dt.date | None]:
         touched = set(result.touched)
         if table == "silver_orders" and result.moved is not None:
             touched |= set(_move_items(lake, result.moved))
-        quarantine = silver.quarantined(checked)
+        quarantine = silver.quarantined(checked, BRONZE_OF[table])
         if earlier is not None:
             final = earlier.where(~F.col(REASON).isin(*silver.RETRIED))
             quarantine = collapse_exact(final.unionByName(quarantine), INGEST_TS)

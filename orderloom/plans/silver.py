@@ -1,8 +1,9 @@
-"""Bronze to Silver: type, check, keep the newest version of every key.
+"""Bronze to Silver: check, type, keep the newest version of every key.
 
-`typed_*` turn landed strings into checked rows: they tag a row that must not enter Silver
-with the reason. A value is typed and normalised before rows are compared, so '1' and '01'
-are one key. `silver_*` keep the good rows and the newest version of each key.
+`tagged_*` add to landed rows the reason why they must not enter Silver, or NULL. They carry
+the landed text only: it is half as wide as text and typed values together, which counts in
+the shuffles of the foreign-key joins. `typed` converts what passed. Rows are compared after
+typing, so '1' and '01' are one key.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from orderloom.config import LINE_STATUSES
 from orderloom.functions import cleaning as c
 from orderloom.functions.periods import month_of
 from orderloom.operators.dedupe import collapse_exact, latest_by_key
-from orderloom.operators.integrity import accepted, mark_referenced, rejected, tag_rejects
+from orderloom.operators.integrity import REASON, accepted, mark_referenced, rejected, tag_rejects
 from orderloom.schemas import (
+    BRONZE,
     INGEST_TS,
     MONTH,
     SILVER_KEYS,
@@ -33,8 +35,24 @@ ORPHAN_ORDER = "orphan_order"
 ORPHAN_PRODUCT = "orphan_product"
 # A parent may land later than its child: such rows are tried again.
 RETRIED = (ORPHAN_CUSTOMER, ORPHAN_ORDER, ORPHAN_PRODUCT)
-# Columns the checks add to the landed ones.
-DERIVED = (MONTH, "line_total")
+
+_READERS = {
+    "customer_id": c.as_bigint,
+    "product_id": c.as_bigint,
+    "order_id": c.as_bigint,
+    "order_item_id": c.as_bigint,
+    "quantity": c.as_int,
+    "unit_price": c.as_price,
+    "email": c.clean_email,
+    "sku": c.clean_code,
+    "line_status": c.clean_code,
+    "created_at": c.as_timestamp,
+    "order_date": c.as_timestamp,
+    "status_updated_at": c.as_timestamp,
+}
+
+
+# ---- checks on landed rows --------------------------------------------------------------
 
 
 def _any(*conditions: Column) -> Column:
@@ -48,89 +66,58 @@ def _missing(*columns: str) -> Column:
     return _any(*[F.col(col).isNull() for col in columns])
 
 
-def _typed(bronze: DataFrame, **typed: Column) -> DataFrame:
-    """Typed values beside the raw ones they come from, which get the prefix `raw_`."""
-    raw = [F.col(col).alias(f"raw_{col}") for col in typed]
-    as_is = [col for col in bronze.columns if col not in typed and col != INGEST_TS]
-    values = [value.alias(col) for col, value in typed.items()]
-    return bronze.select(*values, *as_is, *raw, F.col(INGEST_TS).alias(UPDATED_TS))
-
-
 def _unreadable(*columns: str) -> Column:
-    return _any(*[c.malformed(f"raw_{col}", F.col(col)) for col in columns])
+    """The value is there, but it is not of its type."""
+    return _any(*[c.malformed(col, _READERS[col](col)) for col in columns])
 
 
-# ---- checked rows -----------------------------------------------------------------------
+def _refer(rows: DataFrame, parent: DataFrame, key: str, flag: str, *extra: str) -> DataFrame:
+    """Mark rows whose key, read as a number, exists in the parent."""
+    typed_key = f"_{key}"
+    parents = parent.withColumnRenamed(key, typed_key)
+    keyed = rows.withColumn(typed_key, c.as_bigint(key))
+    return mark_referenced(keyed, parents, typed_key, flag, *extra).drop(typed_key)
 
 
-def typed_customers(bronze: DataFrame) -> DataFrame:
-    rows = _typed(
-        bronze,
-        customer_id=c.as_bigint("customer_id"),
-        email=c.clean_email("email"),
-        created_at=c.as_timestamp("created_at"),
-    )
+def tagged_customers(bronze: DataFrame) -> DataFrame:
     return tag_rejects(
-        rows,
-        [(NULL_KEY, _missing("raw_customer_id", "raw_email")), (BAD_NUMBER, _missing("customer_id"))],
+        bronze,
+        [(NULL_KEY, _missing("customer_id", "email")), (BAD_NUMBER, _unreadable("customer_id"))],
     )
 
 
-def typed_products(bronze: DataFrame) -> DataFrame:
-    rows = _typed(
-        bronze,
-        product_id=c.as_bigint("product_id"),
-        sku=c.clean_code("sku"),
-        unit_price=c.as_price("unit_price"),
-        created_at=c.as_timestamp("created_at"),
-    )
+def tagged_products(bronze: DataFrame) -> DataFrame:
     return tag_rejects(
-        rows,
-        [(NULL_KEY, _missing("raw_product_id", "raw_sku")), (BAD_NUMBER, _missing("product_id"))],
+        bronze,
+        [(NULL_KEY, _missing("product_id", "sku")), (BAD_NUMBER, _unreadable("product_id"))],
     )
 
 
-def typed_orders(bronze: DataFrame, customers: DataFrame) -> DataFrame:
-    rows = _typed(
-        bronze,
-        order_id=c.as_bigint("order_id"),
-        customer_id=c.as_bigint("customer_id"),
-        order_date=c.as_timestamp("order_date"),
-    ).withColumn(MONTH, month_of("order_date"))
-    checked = mark_referenced(rows, customers, "customer_id", "has_customer")
+def tagged_orders(bronze: DataFrame, customers: DataFrame) -> DataFrame:
+    checked = _refer(bronze, customers, "customer_id", "has_customer")
     return tag_rejects(
         checked,
         [
-            (NULL_KEY, _missing("raw_order_id")),
+            (NULL_KEY, _missing("order_id")),
             (BAD_NUMBER, _unreadable("order_id", "customer_id")),
             (ORPHAN_CUSTOMER, _missing("has_customer")),
         ],
     ).drop("has_customer")
 
 
-def typed_order_items(bronze: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    rows = _typed(
-        bronze,
-        order_item_id=c.as_bigint("order_item_id"),
-        order_id=c.as_bigint("order_id"),
-        product_id=c.as_bigint("product_id"),
-        quantity=c.as_int("quantity"),
-        unit_price=c.as_price("unit_price"),
-        line_status=c.clean_code("line_status"),
-        status_updated_at=c.as_timestamp("status_updated_at"),
-    ).withColumn("line_total", c.line_total(F.col("quantity"), F.col("unit_price")))
+def tagged_order_items(bronze: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Also adds the month of the order, under which the line is stored."""
     months = orders.select("order_id", month_of("order_date").alias(MONTH))
-    checked = mark_referenced(rows, months, "order_id", "has_order", MONTH)
-    checked = mark_referenced(checked, products, "product_id", "has_product")
+    checked = _refer(bronze, months, "order_id", "has_order", MONTH)
+    checked = _refer(checked, products, "product_id", "has_product")
     numbers = ("order_item_id", "order_id", "product_id", "quantity", "unit_price")
-    too_large = (
-        F.col("line_total").isNull() & F.col("quantity").isNotNull() & F.col("unit_price").isNotNull()
-    )
-    valid_status = F.coalesce(F.col("line_status").isin(*LINE_STATUSES), F.lit(False))
+    quantity, price = c.as_int("quantity"), c.as_price("unit_price")
+    too_large = c.line_total(quantity, price).isNull() & quantity.isNotNull() & price.isNotNull()
+    valid_status = F.coalesce(c.clean_code("line_status").isin(*LINE_STATUSES), F.lit(False))
     return tag_rejects(
         checked,
         [
-            (NULL_KEY, _missing("raw_order_item_id")),
+            (NULL_KEY, _missing("order_item_id")),
             (BAD_NUMBER, _unreadable(*numbers) | too_large),
             (BAD_STATUS, ~valid_status),
             (ORPHAN_ORDER, _missing("has_order")),
@@ -142,36 +129,40 @@ def typed_order_items(bronze: DataFrame, orders: DataFrame, products: DataFrame)
 # ---- Silver tables ----------------------------------------------------------------------
 
 
-def newest_accepted(checked: DataFrame, table: str) -> DataFrame:
-    """Good rows in the table's declared shape (and storage month), one per key."""
-    layout = [c for c in [SILVER_LAYOUT[table]] if c]
-    good = accepted(checked).select(*declared_columns(table), *layout)
-    return latest_by_key(good, SILVER_KEYS[table], UPDATED_TS)
+def typed(landed: DataFrame, table: str) -> DataFrame:
+    """Landed rows in the declared shape of a Silver table, and the month it is stored by."""
+    readers = {col: read(col) for col, read in _READERS.items() if col in landed.columns}
+    rows = landed.withColumns(readers).withColumnRenamed(INGEST_TS, UPDATED_TS)
+    if table == "silver_orders":
+        rows = rows.withColumn(MONTH, month_of("order_date"))
+    if table == "silver_order_items":
+        rows = rows.withColumn("line_total", c.line_total(F.col("quantity"), F.col("unit_price")))
+    layout = [col for col in [SILVER_LAYOUT[table]] if col]
+    return rows.select(*declared_columns(table), *layout)
+
+
+def newest_accepted(tagged: DataFrame, table: str) -> DataFrame:
+    """Good rows as the table declares them, one per key."""
+    return latest_by_key(typed(accepted(tagged), table), SILVER_KEYS[table], UPDATED_TS)
 
 
-def quarantined(checked: DataFrame) -> DataFrame:
+def quarantined(tagged: DataFrame, bronze_table: str) -> DataFrame:
     """Rejected rows as they landed, with the reason; exact copies once."""
-    raw = {col.removeprefix("raw_") for col in checked.columns if col.startswith("raw_")}
-    landed = [
-        F.col(f"raw_{col}" if col in raw else col).alias(col)
-        for col in checked.columns
-        if not col.startswith("raw_") and col not in DERIVED
-    ]
-    rows = rejected(checked).select(*landed).withColumnRenamed(UPDATED_TS, INGEST_TS)
+    rows = rejected(tagged).select(*BRONZE[bronze_table].names, REASON)
     return collapse_exact(rows, INGEST_TS)
 
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
-    return newest_accepted(typed_customers(bronze), "silver_customers")
+    return newest_accepted(tagged_customers(bronze), "silver_customers")
 
 
 def silver_products(bronze: DataFrame) -> DataFrame:
-    return newest_accepted(typed_products(bronze), "silver_products")
+    return newest_accepted(tagged_products(bronze), "silver_products")
 
 
 def silver_orders(bronze: DataFrame, customers: DataFrame) -> DataFrame:
-    return newest_accepted(typed_orders(bronze, customers), "silver_orders")
+    return newest_accepted(tagged_orders(bronze, customers), "silver_orders")
 
 
 def silver_order_items(bronze: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    return newest_accepted(typed_order_items(bronze, orders, products), "silver_order_items")
+    return newest_accepted(tagged_order_items(bronze, orders, products), "silver_order_items")

@@ -33,6 +33,7 @@ def settings(spark, **conf):
 
 NO_BROADCAST = {"autoBroadcastJoinThreshold": "-1", "adaptive__autoBroadcastJoinThreshold": "-1"}
 SKEW_AT_TEST_SIZE = {
+    "shuffle__partitions": "16",
     **NO_BROADCAST,
     "adaptive__skewJoin__skewedPartitionThresholdInBytes": "2k",
     "adaptive__skewJoin__skewedPartitionFactor": "2",
@@ -137,13 +138,32 @@ def test_hot_order_is_split_in_the_foreign_key_check(spark):
     raw = hot_order_items(spark)
     landed = shop.landing.to_bronze(raw, "bronze_order_items")
     with settings(spark, **SKEW_AT_TEST_SIZE):
-        checked = silver.typed_order_items(landed, hot_orders(spark), products(spark))
+        checked = silver.tagged_order_items(landed, hot_orders(spark), products(spark))
         assert len(checked.where("reject_reason IS NULL").collect()) == 6000
         checked.collect()
         text = plan(checked, "simple")
     assert text.count("skew=true") >= 2
 
 
+def test_hot_product_is_split_even_where_an_aggregate_follows_on_its_key(spark):
+    """Without the forced split the aggregate would reuse the join's partitioning as it is."""
+    with settings(spark, **SKEW_AT_TEST_SIZE):
+        fact = gold.fact_order_items(hot_order_items(spark), hot_orders(spark), products(spark))
+        by_day = gold.sales_by_day(fact).drop("distinct_orders")
+        total = sum(r.units_delivered + r.units_pending for r in by_day.collect())
+        text = plan(by_day, "simple")
+    assert total == 6000
+    assert text.count("skew=true") >= 2
+
+
+def test_foreign_key_joins_carry_text_only(spark):
+    landed = shop.landing.to_bronze(hot_order_items(spark), "bronze_order_items")
+    with settings(spark, **NO_BROADCAST):
+        text = plan(silver.tagged_order_items(landed, hot_orders(spark), products(spark)))
+    shuffled = [b for b in text.split("\n\n") if "Exchange" in b and "unit_price" in b]
+    assert shuffled and all("line_total" not in b and "raw_" not in b for b in shuffled)
+
+
 def test_hot_product_gives_whole_and_right_marts(spark):
     fact = gold.fact_order_items(hot_order_items(spark), hot_orders(spark), products(spark)).cache()
     daily = gold.mart_daily(fact, products(spark))
