@@ -62,6 +62,8 @@ def upsert(
             effective = effective.where(F.col("_hit").isNull() | old.isNull() | (old <= new))
         changes = effective.select(*target.columns)
 
+        if changes.isEmpty():
+            return UpsertResult([], None)
         if partition_by is None:
             lake.publish(table, _merged(target, changes, keys, newest))
             return UpsertResult([], None)

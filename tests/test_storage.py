@@ -306,3 +306,13 @@ def test_current_schema_can_be_set(spark, built):
         assert spark.sql("SELECT * FROM gold_dim_product").count() == 3
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+@pytest.mark.parametrize("partition", [None, "m"])
+def test_batch_without_news_writes_nothing(spark, new_lake, partition):
+    lake = new_lake()
+    lake.publish(T, table(spark, (1, "a", 5, JAN)), partition)
+    before = sorted(lake.read(T).inputFiles())
+    for batch in (table(spark, (1, "old", 1, JAN)), table(spark, (1, "x", 9, JAN)).where("k > 1")):
+        assert upsert(lake, T, batch, ["k"], partition, newest="ts").touched == []
+    assert sorted(lake.read(T).inputFiles()) == before
