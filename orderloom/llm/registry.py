@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, digest_dedup, language, packing
+from orderloom.llm import bpe, digest_dedup, jaccard, language, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_dedup.mark_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.document_classes(jaccard.similar(spark, _table(spark, sf_dir, "documents")))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks)
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_language_id": op2_language_id,
         "op3_exact_dedup": op3_exact_dedup,
+        "op5_jaccard": op5_jaccard,
         "op8_bpe_round_trip": op8_bpe_round_trip,
     }
 
