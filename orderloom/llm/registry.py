@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, digest_dedup, jaccard, language, packing
+from orderloom.llm import bpe, digest_dedup, jaccard, language, packing, pii, secrets, spans
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,23 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.document_classes(jaccard.similar(spark, _table(spark, sf_dir, "documents")))
 
 
+def _span_digests(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    return found.select(
+        "doc_id",
+        *(spans.counted("spans", kind).alias(f"n_{kind}") for kind in kinds),
+        F.sha2(spans.listed("spans", base_only=True), 256).alias("base_sha256"),
+        spans.listed("spans").alias("spans"),
+    )
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digests(spans.find_spans(_table(spark, sf_dir, "documents"), pii.find), pii.KINDS)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digests(spans.find_spans(_table(spark, sf_dir, "documents"), secrets.find), secrets.KINDS[:3])
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks)
@@ -54,6 +71,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": op2_language_id,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_jaccard": op5_jaccard,
+        "op6_pii": op6_pii,
+        "op7_secrets": op7_secrets,
         "op8_bpe_round_trip": op8_bpe_round_trip,
     }
 
