@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, digest_dedup, jaccard, language, packing, pii, secrets, spans
+from orderloom.llm import bpe, digest_dedup, jaccard, language, packing, pii, secrets, spans, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_dedup.mark_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.document_classes(jaccard.similar(spark, _table(spark, sf_dir, "documents")))
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_language_id": op2_language_id,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_warc": op4_warc,
         "op5_jaccard": op5_jaccard,
         "op6_pii": op6_pii,
         "op7_secrets": op7_secrets,
@@ -84,6 +89,16 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(g
 FROM documents d JOIN groups g ON coalesce(d.text, '') = g.body
 """
 
+_OP4 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to
+FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND payload_bytes >= 1000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _OP3}
+    return {"op3_exact_dedup": _OP3, "op4_warc": _OP4}
