@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, digest_dedup, jaccard, language, packing, pii, secrets, spans, warc
+from orderloom.llm import bpe, digest_dedup, jaccard, language, packing, pii, secrets, spans, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark, _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_pii": op6_pii,
         "op7_secrets": op7_secrets,
         "op8_bpe_round_trip": op8_bpe_round_trip,
+        "op10_top_k": op10_top_k,
     }
 
 
@@ -99,6 +104,17 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND payload_bytes >= 1000
 """
 
+_OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _OP3, "op4_warc": _OP4}
+    return {"op3_exact_dedup": _OP3, "op4_warc": _OP4, "op10_top_k": _OP10}
