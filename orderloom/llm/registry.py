@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, digest_dedup, jaccard, language, packing, pii, secrets, spans, topk, warc
+from orderloom.llm import bpe, digest_dedup, jaccard, language, line_dedup, packing, pii, secrets, spans, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,12 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_repeated_lines(spark, _table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return cleaned.select("doc_id", F.col("_lines_seen").alias("n_lines"), F.col("_lines_dropped").alias("n_dropped"), digest.alias("text_sha256"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark, _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -83,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_pii": op6_pii,
         "op7_secrets": op7_secrets,
         "op8_bpe_round_trip": op8_bpe_round_trip,
+        "op9_line_dedup": op9_line_dedup,
         "op10_top_k": op10_top_k,
     }
 
