@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orderloom.llm.common import chunks, id_text, texts_of
+from orderloom.llm.common import chunks, id_text, ship, texts_of
 
 #: Buckets of the hash, lengths of the n-grams, and the added count that smooths them.
 BUCKETS, ORDERS, SMOOTHING = 1 << 16, (1, 2, 3), 0.1
@@ -85,6 +86,7 @@ def train(rows: DataFrame, buckets: int = BUCKETS, orders: tuple[int, ...] = ORD
     Tasks count; the counts are summed by bucket and language, so that at most buckets x languages rows
     reach the driver. Languages are taken as equally likely beforehand.
     """
+    ship(rows.sparkSession)
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
@@ -111,6 +113,33 @@ def train(rows: DataFrame, buckets: int = BUCKETS, orders: tuple[int, ...] = ORD
     return langs, matrix.astype(np.float32)
 
 
+def _scorer(langs: list[str], shared, orders: tuple[int, ...]):
+    """A function from texts to their languages and scores."""
+
+    def score_all(texts: list[str]) -> tuple[list[str], list[float]]:
+        weights, names, scores = shared.value, [], []
+        for start, end in chunks(texts):
+            bucket, sizes = features(texts[start:end], len(weights), orders)
+            if not langs or not len(bucket):
+                names += [UNKNOWN] * (end - start)
+                scores += [0.0] * (end - start)
+                continue
+            some = np.flatnonzero(sizes)
+            first = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
+            total = np.stack([np.add.reduceat(weights[:, k][bucket], first, dtype=np.float64) for k in range(len(langs))], axis=1)
+            mean = total / sizes[some, None]
+            best = np.argmax(total, axis=1)
+            odds = np.exp(10 * (mean - mean[np.arange(len(some)), best][:, None]))
+            name = np.full(end - start, UNKNOWN, object)
+            score = np.zeros(end - start)
+            name[some], score[some] = np.array(langs, object)[best], 1 / odds.sum(axis=1)
+            names += name.tolist()
+            scores += score.tolist()
+        return names, scores
+
+    return score_all
+
+
 def predict(spark: SparkSession, docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """doc_id, lang_pred and score of every row, from its whole text alone.
 
@@ -118,33 +147,29 @@ def predict(spark: SparkSession, docs: DataFrame, model: tuple[list[str], np.nda
     score is the posterior probability with evidence taken per n-gram to the power 10, so that it neither
     saturates with length nor depends on it; ties go to the language that sorts first.
     """
-    langs, matrix = model
-    shared = spark.sparkContext.broadcast(matrix)
     source = id_text(docs, id_col, text_col)
     kind = source.schema["doc_id"].dataType.simpleString()
+    score_all = _scorer(model[0], spark.sparkContext.broadcast(model[1]), orders)
 
     def run(batches):
-        weights = shared.value
         for batch in batches:
-            texts = texts_of(batch.column("text"))
-            names, scores = [], []
-            for start, end in chunks(texts):
-                bucket, sizes = features(texts[start:end], len(weights), orders)
-                if not langs or not len(bucket):
-                    names += [UNKNOWN] * (end - start)
-                    scores += [0.0] * (end - start)
-                    continue
-                some = np.flatnonzero(sizes)
-                first = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
-                total = np.stack([np.add.reduceat(weights[:, k][bucket], first, dtype=np.float64) for k in range(len(langs))], axis=1)
-                mean = total / sizes[some, None]
-                best = np.argmax(total, axis=1)
-                odds = np.exp(10 * (mean - mean[np.arange(len(some)), best][:, None]))
-                name = np.full(end - start, UNKNOWN, object)
-                score = np.zeros(end - start)
-                name[some], score[some] = np.array(langs, object)[best], 1 / odds.sum(axis=1)
-                names += name.tolist()
-                scores += score.tolist()
+            names, scores = score_all(texts_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def predict_into(spark: SparkSession, docs: DataFrame, model: tuple[list[str], np.ndarray], lang_col: str, score_col: str, text_col: str = "text", orders: tuple[int, ...] = ORDERS) -> DataFrame:
+    """`docs` with the predicted language in `lang_col`, in place of what it holds, and the score added as the last column."""
+    ship(spark)
+    score_all = _scorer(model[0], spark.sparkContext.broadcast(model[1]), orders)
+    names = docs.columns
+    schema = T.StructType([T.StructField(lang_col, T.StringType()) if f.name == lang_col else f for f in docs.schema] + [T.StructField(score_col, T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            langs, scores = score_all(texts_of(batch.column(names.index(text_col))))
+            columns = [pa.array(langs, pa.string()) if n == lang_col else c for n, c in zip(names, batch.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], [*names, score_col])
+
+    return docs.mapInArrow(run, schema)
