@@ -129,7 +129,7 @@ class Vocabulary:
     """Ranks of a byte-level vocabulary, with a bounded cache of merged slices."""
 
     #: Entries in the cache; it is emptied when full. Slices of over LONG bytes are merged one by one.
-    CACHE, LONG = 500_000, 64
+    CACHE, LONG = 200_000, 64
 
     def __init__(self, path: str):
         with open(path, "rb") as lines:
@@ -344,6 +344,29 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     return source.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`encode`, and `decode` of the ids that it gave, in one pass: doc_id, n_tokens, ids, decoded.
+
+    The same as applying one after the other, with one Python worker and one copy of the vocabulary per task.
+    """
+    source = id_text(docs, id_col, text_col)
+    kind = source.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_tokens", "ids", "decoded"]
+
+    def run(batches):
+        words = vocabulary(ranks_path)
+        for batch in batches:
+            texts, row = texts_of(batch.column("text")), 0
+            for start, end in chunks(texts):
+                ids = [x[0] for x in words.encode(texts[start:end])]
+                back = pa.array([words.decode(x) for x in ids], pa.binary())
+                counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(ids)), counts, pa.array(ids, pa.binary()), back], names)
+                row += len(ids)
+
+    return source.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids binary, decoded binary")
+
+
 def decode(encoded: DataFrame, ranks_path: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The bytes of each row's ids: doc_id, the columns in `keep`, decoded (binary). Null ids decode to no bytes."""
     source = encoded.select(*dict.fromkeys(["doc_id", *keep, "ids"]))

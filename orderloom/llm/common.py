@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters handled at once by numpy code: temporaries stay at a few hundred MB.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def work_dir(spark: SparkSession) -> str:

@@ -63,9 +63,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks)
-    decoded = bpe.decode(encoded, ranks, keep=("n_tokens", "ids"))
+    decoded = bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
