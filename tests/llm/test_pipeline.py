@@ -1,0 +1,55 @@
+"""The corpus pipeline, stage by stage, on a small corpus with known cases."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from orderloom.llm import language
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(9)
+    words = {"en": "the of and to in is that with for was on are by this from".split(), "de": "der die und das ist nicht ein zu den mit auf sich des dem von".split()}
+    prose = lambda lang, n: " ".join(rng.choice(words[lang]) + rng.choice(["", "er", "ung" if lang == "de" else "ing"]) for _ in range(n))
+    rows = [[i, "\n".join(prose(lang, 30) for _ in range(4)), lang] for i in range(40) for lang in ["en" if i % 2 else "de"]]
+    rows.append([40, None, "en"])
+    rows.append([41, "12345 !!!", "en"])
+    rows.append([42, rows[3][1], "en"])  # an exact copy: nothing is left of it
+    rows.append([43, rows[4][1].replace("\n", " ").rsplit(" ", 1)[0], "de"])  # a near copy in one line
+    rows.append([44, rows[5][1].split("\n")[0] + "\n" + prose("en", 40), "en"])  # a repeated line
+    rows.append([45, prose("en", 40) + ' token = "abcdefgh12345"', "en"])
+    return rows
+
+
+def test_stages(spark, corpus):
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in corpus], COLUMNS).repartition(3)
+    texts, seen = {i: t for i, t, _ in corpus}, {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        rows = docs.collect()
+        docs = spark.createDataFrame(rows, docs.schema)
+        seen[name] = {r.doc_id: r for r in rows}
+        if name != "packing":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+            assert len(seen[name]) == len(rows)
+            assert all(r.n_chars == len(r.text) for r in rows)
+    assert set(seen["language_id"]) == set(texts) - {40, 41}
+    assert seen["language_id"][0].lang == "de" and seen["language_id"][1].lang == "en"
+    assert set(seen["line_dedup"]) == set(texts) - {40, 41, 42}
+    assert seen["line_dedup"][44].text == texts[44].split("\n")[1] and seen["line_dedup"][5].text == texts[5]
+    assert set(seen["near_duplicates"]) == set(texts) - {40, 41, 42, 43}
+    assert seen["secret_scan"][45].text == texts[45].replace('token = "abcdefgh12345', "<secret:assign>")
+    assert all(seen["secret_scan"][i].text == texts[i] for i in range(40))
+    assert set(seen["packing"]) == set(seen["secret_scan"])
+
+
+def test_stages_on_nothing(spark):
+    docs = spark.createDataFrame([], COLUMNS)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = spark.createDataFrame([], stage(spark, docs, "").schema)
+    assert docs.columns[0] == "doc_id"
+    assert language.UNKNOWN == "und"
