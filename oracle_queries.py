@@ -252,9 +252,37 @@ def oracle_sql() -> dict[str, str]:
             rules AS (
                 SELECT * FROM (VALUES (13, 'bad_status'), (17, 'orphan_order'),
                     (19, 'orphan_product'), (23, 'bad_number'), (29, 'null_key')) r(k, reject_reason)
+            ),
+            parents AS (
+                SELECT 'customers' AS table_name, c_custkey AS n FROM customer
+                UNION ALL SELECT 'products', p_partkey FROM part
+                UNION ALL SELECT 'orders', o_orderkey FROM orders
             )
             SELECT 'order_items' AS table_name, reject_reason, count(*) AS n_rows
-            FROM ordered JOIN rules ON n % k = 0 GROUP BY ALL""",
+            FROM ordered JOIN rules ON n % k = 0 GROUP BY ALL
+            UNION ALL
+            SELECT table_name, reject_reason, count(*) FROM parents
+            JOIN (VALUES (23, 'bad_number'), (29, 'null_key')) r(k, reject_reason) ON n % k = 0
+            GROUP BY ALL
+            UNION ALL
+            SELECT 'orders', 'orphan_customer', count(*) FROM orders WHERE o_orderkey % 17 = 0
+            HAVING count(*) > 0""",
+        "silver_customers_dirty": f"""
+            SELECT {customer},
+                   'customer#' || lpad(CAST(c_custkey - CAST(c_custkey % 31 = 0 AND c_custkey > 0
+                       AS INTEGER) AS VARCHAR), 9, '0') || '@mail.example' AS email,
+                   CASE WHEN c_custkey % 11 = 0 THEN '555-' || c_custkey END AS phone,
+                   {registered} AS created_at FROM customer""",
+        "silver_products_dirty": f"""
+            SELECT p_partkey AS product_id,
+                   'SKU-' || lpad(CAST(p_partkey - CAST(p_partkey % 37 = 0 AND p_partkey > 0
+                       AS INTEGER) AS VARCHAR), 8, '0') AS sku,
+                   p_name AS product_name,
+                   CASE WHEN p_partkey % 11 = 0 THEN 'RENEWED' ELSE p_type END AS category,
+                   {list_price} AS unit_price, {registered} AS created_at FROM part""",
+        "silver_orders_dirty": f"""
+            SELECT {order}, CASE WHEN o_orderkey % 11 = 0 THEN 'moved ' ELSE '' END
+                       || o_orderpriority AS shipping_address FROM orders""",
         "check_duplicate_natural_keys": """
             SELECT 'email' AS natural_key,
                    'customer#' || lpad(CAST(k AS VARCHAR), 9, '0') || '@mail.example' AS value,
@@ -265,7 +293,34 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'sku', 'SKU-' || lpad(CAST(k AS VARCHAR), 8, '0'), count(*)
             FROM (SELECT p_partkey - CAST(p_partkey % 37 = 0 AND p_partkey > 0 AS INTEGER) AS k
                   FROM part) GROUP BY k HAVING count(*) > 1""",
-        "csv_bronze_items": _with(lines, _LANDED) + "SELECT * EXCLUDE (_ingest_ts) FROM landed",
+        "csv_bronze_items": _with(lines, _LANDED)
+        + """
+            SELECT order_item_id, order_id, product_id, quantity, unit_price,
+                   CASE WHEN TRY_CAST(order_id AS BIGINT) % 31 = 0
+                        THEN line_status || ' "q", x' || chr(10) || 'y' ELSE line_status
+                   END AS line_status, status_updated_at, FALSE AS misfit FROM landed
+            UNION ALL
+            SELECT CAST(item + 6000000000000000 AS VARCHAR), order_id, product_id, quantity,
+                   CAST(CAST(unit_price AS DECIMAL(10,2)) AS VARCHAR), line_status,
+                   strftime(status_updated_at, '%Y-%m-%d %H:%M:%S'), TRUE
+            FROM first_raw WHERE n % 37 = 0
+            UNION ALL
+            SELECT CAST(item + 7000000000000000 AS VARCHAR), order_id, product_id, NULL, NULL, NULL,
+                   NULL, TRUE FROM first_raw WHERE n % 37 = 0""",
+        "land_batch_then_stream": _with(lines, _LANDED) + "SELECT * FROM landed",
+        "late_parent_items": cleaned + f"SELECT {_ITEM_COLUMNS} FROM latest",
+        "stream_mart_monthly_replayed": _with(
+            lines,
+            _VERSIONS,
+            _LATEST,
+            """
+moved_orders AS (
+    SELECT * REPLACE (CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate + INTERVAL 40 DAY
+                           ELSE o_orderdate END AS o_orderdate) FROM orders
+)""",
+            _FACT.format(items="latest").replace("JOIN orders o", "JOIN moved_orders o"),
+        )
+        + monthly,
         "stream_bronze_items": _with(lines, _LANDED) + "SELECT * FROM landed",
         "stream_silver_items": cleaned + f"SELECT {_ITEM_COLUMNS} FROM latest",
         "stream_mart_monthly": _with(lines, _VERSIONS, _LATEST, _FACT.format(items="latest"))

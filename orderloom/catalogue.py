@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,16 @@ from orderloom.operators.dedupe import collapse_exact
 from orderloom.operators.integrity import accepted
 from orderloom.operators.upsert import upsert
 from orderloom.plans import checks, gold, reports, runs, silver
-from orderloom.schemas import BRONZE, INGEST_TS, MONTH, SILVER_KEYS, UPDATED_TS, declared_columns
+from orderloom.schemas import (
+    BRONZE,
+    CORRUPT,
+    INGEST_TS,
+    MONTH,
+    SILVER_KEYS,
+    SILVER_LAYOUT,
+    UPDATED_TS,
+    declared_columns,
+)
 from orderloom.session import filesystem, new_work_path, tune
 from orderloom.sources import landing, sample_tables
 from orderloom.sources.lake import Lake, stage
@@ -58,6 +67,15 @@ class SampleLake:
         """Landed lines with resent, corrected and broken rows among them."""
         return self._once("dirty", lambda: stage(sample_tables.dirty_items(self.lines()), "dirty"))
 
+    def dirty_parents(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Landed customers, products and orders with newer versions and broken rows among them."""
+        args = (self.spark, self.sf_dir)
+        return (
+            sample_tables.dirty_customers(*args),
+            sample_tables.dirty_products(*args),
+            sample_tables.dirty_orders(*args),
+        )
+
     def bronze(self) -> Lake:
         def build() -> None:
             sources = {
@@ -225,7 +243,12 @@ def mart_monthly(s: SampleLake) -> DataFrame:
 
 
 def order_status(s: SampleLake) -> DataFrame:
-    return runs.order_statuses(s.silver())
+    """The status view, read from the catalog."""
+    shown = Lake(s.spark, s.silver().root)
+    for table in ("silver_orders", ITEMS):
+        shown.show_in_catalog(table)
+    runs.create_status_view(shown)
+    return s.spark.sql(f"SELECT * FROM {shown.view_name(runs.STATUS_VIEW)}")
 
 
 def dim_order(s: SampleLake) -> DataFrame:
@@ -257,38 +280,54 @@ def check_orders_without_items(s: SampleLake) -> DataFrame:
 
 
 def check_quarantine(s: SampleLake) -> DataFrame:
-    return checks.quarantine_counts({"order_items": s.checked_dirty_items()})
-
-
-def check_duplicate_natural_keys(s: SampleLake) -> DataFrame:
-    """Customers and products of which some took over the email or SKU of the one before."""
+    customers, products, orders = s.dirty_parents()
     lake = s.silver()
+    return checks.quarantine_counts(
+        {
+            "customers": silver.tagged_customers(customers),
+            "products": silver.tagged_products(products),
+            "orders": silver.tagged_orders(orders, lake.read("silver_customers")),
+            "order_items": s.checked_dirty_items(),
+        }
+    )
 
-    def taken_over(key: str, every: int, digits: int) -> Column:
-        """The padded number of the row; of the row before for some."""
-        shift = ((F.col(key) % every == 0) & (F.col(key) > 0)).cast("int")
-        return F.lpad((F.col(key) - shift).cast("string"), digits, "0")
 
-    email = F.concat(F.lit("customer#"), taken_over("customer_id", 31, 9), F.lit("@mail.example"))
-    sku = F.concat(F.lit("SKU-"), taken_over("product_id", 37, 8))
+def check_duplicate_natural_keys(s: SampleLake) -> DataFrame:
+    """Customers and products of which some were landed with the email or SKU of the one before."""
+    customers, products, _ = s.dirty_parents()
     return checks.duplicate_natural_keys(
-        lake.read("silver_customers").withColumn("email", email),
-        lake.read("silver_products").withColumn("sku", sku),
+        silver.silver_customers(customers), silver.silver_products(products)
     )
 
 
+def silver_customers_dirty(s: SampleLake) -> DataFrame:
+    return silver.silver_customers(s.dirty_parents()[0])
+
+
+def silver_products_dirty(s: SampleLake) -> DataFrame:
+    return silver.silver_products(s.dirty_parents()[1])
+
+
+def silver_orders_dirty(s: SampleLake) -> DataFrame:
+    orders = s.dirty_parents()[2]
+    return silver.silver_orders(orders, s.silver().read("silver_customers")).drop(MONTH)
+
+
 # ---- files and streams ------------------------------------------------------------------
 
 
 def csv_bronze_items(s: SampleLake) -> DataFrame:
-    """Landed rows written as CSV files, loaded again and read from the landing table."""
+    """Rows written as CSV files, some of which do not fit the header, loaded and read again."""
     table, lake = "bronze_order_items", new_lake(s.spark, "csv")
     folder = f"{lake.root}/incoming"
-    s.dirty_items().drop(INGEST_TS).write.csv(
-        folder, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    )
-    landing.load(lake, table, landing.from_csv(s.spark, table, folder), replace=True)
-    return lake.read(table).drop(INGEST_TS)
+    as_is = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    sample_tables.quoted_items(s.lines()).drop(INGEST_TS).write.csv(folder, escape='"', **as_is)
+    # Written without quoting: the text is CSV already.
+    misfits = sample_tables.misfit_lines(s.lines()).write.mode("append")
+    misfits.csv(folder, sep="\u0001", quote="\u0000", escapeQuotes=False, **as_is)
+    landing.load(lake, table, landing.from_csv(s.spark, table, folder, multi_line=True), replace=True)
+    fits = F.col(CORRUPT).isNull()
+    return lake.read(table).select(*landing.string_schema(table).names, (~fits).alias("misfit"))
 
 
 def _incoming(s: SampleLake, lake: Lake) -> tuple[DataFrame, str]:
@@ -308,6 +347,46 @@ def stream_bronze_items(s: SampleLake) -> DataFrame:
     return lake.read("bronze_order_items").select(*BRONZE["bronze_order_items"].names)
 
 
+def land_batch_then_stream(s: SampleLake) -> DataFrame:
+    """A landing table loaded in a batch, streamed to, and appended to: all rows are there."""
+    table, lake = "bronze_order_items", new_lake(s.spark, "mixed")
+    landing.load(lake, table, sample_tables.items(s.lines()), replace=True)
+    folder, checkpoint = f"{lake.root}/incoming", f"{lake.root}/checkpoint"
+    sample_tables.resent_items(s.lines()).write.parquet(folder)
+    for _ in range(2):  # the second run finds nothing new
+        stream = flows.arriving(s.spark, table, folder)
+        flows.land(stream, lake, table, checkpoint).awaitTermination()
+    rest = sample_tables.fixed_items(s.lines()).unionByName(sample_tables.broken_items(s.lines()))
+    for _ in range(2):  # a batch that comes again takes its own place
+        landing.load(lake, table, rest, batch="rest")
+    return lake.read(table).select(*BRONZE[table].names)
+
+
+def late_parent_items(s: SampleLake) -> DataFrame:
+    """Lines that land before some of their orders and products, which then come in batches."""
+    source, lake = s.silver(), new_lake(s.spark, "late")
+    held_back = {"silver_products": F.col("product_id") % 5 == 0, "silver_orders": F.col("order_id") % 3 == 0}
+    lake.publish("silver_customers", source.read("silver_customers"))
+    for table, late in held_back.items():
+        lake.publish(table, source.read(table).where(~late), SILVER_LAYOUT[table])
+    runs.absorb(lake, ITEMS, s.dirty_items())
+    for table, late in held_back.items():
+        runs.absorb(lake, table, source.read(runs.BRONZE_OF[table]).where(late))
+    return lake.read(ITEMS).select(*declared_columns(ITEMS))
+
+
+def stream_mart_monthly_replayed(s: SampleLake) -> DataFrame:
+    """Orders move to other months; the driver is lost before Gold, and the batch runs again."""
+    lake = s.copy_of_parents("replayed")
+    runs.absorb(lake, ITEMS, s.dirty_items())
+    runs.run_gold(lake)
+    moved = sample_tables.moved_orders(s.spark, s.sf_dir)
+    runs.absorb(lake, "silver_orders", moved, "batch-1")
+    # Here the driver is lost; the query starts again with the same batch.
+    runs.refresh_gold(lake, runs.absorb(lake, "silver_orders", moved, "batch-1"), dimensions=False)
+    return lake.read(runs.MONTHLY)
+
+
 def stream_silver_items(s: SampleLake) -> DataFrame:
     lake = s.copy_of_parents("stream-silver")
     stream, checkpoint = _incoming(s, lake)
@@ -327,6 +406,9 @@ _QUERIES: dict[str, Callable[[SampleLake], DataFrame]] = {
     "silver_products": silver_products,
     "silver_orders": silver_orders,
     "silver_order_items": silver_order_items,
+    "silver_customers_dirty": silver_customers_dirty,
+    "silver_products_dirty": silver_products_dirty,
+    "silver_orders_dirty": silver_orders_dirty,
     "collapse_exact_items": collapse_exact_items,
     "latest_items_by_key": latest_items_by_key,
     "upsert_order_items": upsert_order_items,
@@ -361,8 +443,11 @@ _QUERIES: dict[str, Callable[[SampleLake], DataFrame]] = {
     "check_duplicate_natural_keys": check_duplicate_natural_keys,
     "csv_bronze_items": csv_bronze_items,
     "stream_bronze_items": stream_bronze_items,
+    "land_batch_then_stream": land_batch_then_stream,
+    "late_parent_items": late_parent_items,
     "stream_silver_items": stream_silver_items,
     "stream_mart_monthly": stream_mart_monthly,
+    "stream_mart_monthly_replayed": stream_mart_monthly_replayed,
 }
 
 

@@ -60,24 +60,4 @@ def rolled_up_measures() -> list[Column]:
     ]
 
 
-def status_counts() -> list[Column]:
-    return [
-        F.count("*").alias("total_line_items"),
-        *[F.count_if(_has(s)).alias(COUNT_COLUMNS[s]) for s in COUNT_COLUMNS],
-    ]
-
-
-def order_status() -> Column:
-    """Status of an order from the counts of its lines; the first rule that holds decides."""
-    every_line = F.col("total_line_items")
-    moving = F.col(COUNT_COLUMNS[SHIPPED]) + F.col(COUNT_COLUMNS[DELIVERED])
-    return (
-        F.when(F.col(COUNT_COLUMNS[DELIVERED]) == every_line, "COMPLETED")
-        .when(F.col(COUNT_COLUMNS[CANCELLED]) == every_line, "CANCELLED")
-        .when(moving > 0, "PARTIALLY_SHIPPED")
-        .when(F.col(COUNT_COLUMNS[PENDING]) == every_line, "PENDING")
-        .otherwise("IN_PROGRESS")
-    )
-
-
 assert set(UNIT_COLUMNS) == set(COUNT_COLUMNS) == set(LINE_STATUSES)

@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.periods import ordered
-from orderloom.operators.dedupe import latest_by_key
-from orderloom.sources.lake import Lake, Scratch, stage
+from orderloom.sources.lake import Lake, Scratch
 
 
 @dataclass(frozen=True)
 class UpsertResult:
-    """Partitions that were rewritten, and the keys whose rows changed partition."""
+    """Partitions that were rewritten, and the keys whose rows changed partition.
+
+    `moved` is a table under `_kept` of the lake's root, or None; whoever asked for it by
+    `before_swap` removes it once its rows are dealt with.
+    """
 
     touched: list[dt.date | None]
-    moved: DataFrame | None
+    moved: str | None
 
 
 def merged_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,60 +39,97 @@ def upsert(
     keys: list[str],
     partition_by: str | None = None,
     newest: str | None = None,
+    before_swap: Callable[[UpsertResult], None] | None = None,
 ) -> UpsertResult:
     """Update rows whose key exists, insert the others; `source` has one row per key.
 
     A source row always replaces the target's row. With `newest` the row with the higher
     value of that column stays, and equal ones are decided as `latest_by_key` does: batches
-    may then arrive late, twice, and in any order. A partitioned table is read by key once to
-    find the partitions that hold matching rows; only these are rewritten.
+    may then arrive late, twice, and in any order. Rows that the target has already change
+    nothing. A partitioned table is read by key once to find the partitions that hold
+    matching rows; only these are rewritten. `before_swap` is told what is about to change
+    before any of it can be seen.
     """
+    tell = before_swap or (lambda _: None)
     lake.recover(table)
     if not lake.exists(table):
-        lake.publish(table, source, partition_by)
-        return UpsertResult(partition_values(lake.read(table), partition_by), None)
+        with Scratch(lake.spark) as scratch:
+            rows = scratch.stage(source, f"{table}-first")
+            result = UpsertResult(partition_values(rows, partition_by), None)
+            tell(result)
+            lake.publish(table, rows, partition_by)
+        return result
 
     with Scratch(lake.spark) as scratch:
         target = lake.read(table)
-        source = scratch.stage(source, f"{table}-source")
-        carried = [c for c in (partition_by, newest) if c]
-        present = near_keys(target, source, keys).select(
-            *keys, *[F.col(c).alias(f"_old_{c}") for c in carried], F.lit(True).alias("_hit")
-        )
-        hits = present.join(source.select(*keys), keys, "left_semi")
-        hits = scratch.stage(hits, f"{table}-hits")
-        effective = source.join(hits, keys, "left")
-        if newest:
-            old, new = F.col(f"_old_{newest}"), F.col(newest)
-            effective = effective.where(F.col("_hit").isNull() | old.isNull() | (old <= new))
-        changes = effective.select(*target.columns)
-
+        source = scratch.stage(source.select(*target.columns), f"{table}-source")
+        changes = _changes(target, source, keys, partition_by, newest, scratch, table)
         if changes.isEmpty():
             return UpsertResult([], None)
+        rows = changes.select(*target.columns)
         if partition_by is None:
-            lake.publish(table, _merged(target, changes, keys, newest))
+            tell(UpsertResult([], None))
+            lake.publish(table, merged_rows(target, rows, keys))
             return UpsertResult([], None)
 
         old = F.col(f"_old_{partition_by}")
-        both = effective.select(partition_by).unionByName(
-            effective.where("_hit").select(old.alias(partition_by))
-        )
+        left = changes.where(F.col("_hit") & ~old.eqNullSafe(F.col(partition_by)))
+        both = changes.select(partition_by).union(left.select(old))
         touched = partition_values(both, partition_by)
-        changed_partition = F.col("_hit") & ~old.eqNullSafe(F.col(partition_by))
-        moved = effective.where(changed_partition).select(*keys, partition_by, old)
-        moved = stage(moved, f"{table}-moved")
+        moved = None
+        if before_swap is not None and not left.isEmpty():
+            moved = f"{table}-moved-{uuid.uuid4().hex}"
+            left.select(*keys, partition_by, old).write.parquet(lake.kept_path(moved))
+        result = UpsertResult(touched, moved)
+        tell(result)
         rewritten = in_partitions(target, partition_by, touched)
-        merged = _merged(rewritten, changes, keys, newest)
-        lake.replace_partitions(table, merged, partition_by, touched)
-        return UpsertResult(touched, moved)
+        lake.replace_partitions(table, merged_rows(rewritten, rows, keys), partition_by, touched)
+        return result
+
 
+def _changes(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    partition_by: str | None,
+    newest: str | None,
+    scratch: Scratch,
+    table: str,
+) -> DataFrame:
+    """Source rows that will stand in the table and do not yet, written out once.
 
-def _merged(target: DataFrame, changes: DataFrame, keys: list[str], newest: str | None) -> DataFrame:
-    if newest is None:
-        return merged_rows(target, changes, keys)
-    same_key = target.join(changes.select(*keys), keys, "left_semi").select(*target.columns)
-    decided = latest_by_key(same_key.unionByName(changes), keys, newest)
-    return merged_rows(target, decided, keys)
+    They carry `_hit` (the key exists) and the old partition. Of the target only keys, the
+    partition, the time and a hash of the row are joined; whole rows are read for keys whose
+    versions have the same time and differ, which is rare.
+    """
+    others = [c for c in target.columns if c not in keys and c != newest]
+    content = F.xxhash64(*[F.col(c) for c in target.columns if c not in keys])
+    carried = [c for c in (partition_by, newest) if c]
+    present = near_keys(target, source, keys).select(
+        *keys,
+        *[F.col(c).alias(f"_old_{c}") for c in carried],
+        content.alias("_old_content"),
+        F.lit(True).alias("_hit"),
+    )
+    joined = source.withColumn("_content", content).join(present, keys, "left")
+    news = joined.where(F.col("_hit").isNull() | (F.col("_content") != F.col("_old_content")))
+    if not newest:
+        return scratch.stage(news, f"{table}-changes")
+    old, new = F.col(f"_old_{newest}"), F.col(newest)
+    newer = F.col("_hit").isNull() | (old.isNull() & new.isNotNull()) | (old < new)
+    news = news.withColumn("_newer", F.coalesce(newer, F.lit(False)))
+    decided = scratch.stage(news.where(F.col("_newer") | old.eqNullSafe(new)), f"{table}-changes")
+    tied = decided.where(~F.col("_newer"))
+    if tied.isEmpty():
+        return decided
+    # Equal times: the larger row in the order of the columns wins, as in `latest_by_key`.
+    rows = target
+    if partition_by:
+        rows = in_partitions(target, partition_by, partition_values(tied, f"_old_{partition_by}"))
+    standing = rows.select(*keys, F.struct(*others).alias("_standing"))
+    won = tied.join(standing, keys).where(F.struct(*others) > F.col("_standing"))
+    won = scratch.stage(won.select(*decided.columns), f"{table}-ties")
+    return decided.where("_newer").unionByName(won)
 
 
 def near_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.cleaning import full_name
 from orderloom.functions.measures import (
-    order_status,
     rolled_up_measures,
     sales_measures,
-    status_counts,
 )
 from orderloom.functions.periods import day_of, month_of, week_of
 from orderloom.schemas import MONTH
@@ -110,18 +108,17 @@ def mart_monthly(by_day: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def order_statuses(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Status of every order that has lines.
+    """Status of every order that has lines, as the view derives it."""
+    query = order_status_view("{orders}", "{items}")
+    return orders.sparkSession.sql(query, orders=orders, items=items)
+
+
+def order_status_view(orders: str, items: str) -> str:
+    """SQL of the status of every order that has lines: always derived, never stored.
 
     Lines are counted per order before the join: an order with very many lines shrinks to
     one row per task before anything is shuffled, and the join reuses the partitioning.
     """
-    counts = items.groupBy("order_id").agg(*status_counts())
-    headers = orders.select("order_id", "customer_id", "order_date")
-    return headers.join(counts, "order_id").withColumn("order_status", order_status())
-
-
-def order_status_view(orders: str, items: str) -> str:
-    """The same as SQL text, for a catalog view: always derived, never stored."""
     return f"""
         SELECT order_id, customer_id, order_date, total_line_items, delivered_count,
                shipped_count, pending_count, cancelled_count, returned_count,

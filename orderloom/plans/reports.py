@@ -106,11 +106,20 @@ def _sold(lines: DataFrame, by: list[str]) -> DataFrame:
 def top_product_last_month_from_fact(fact: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """As the mart lookup, but the distinct orders are those with a delivered line."""
     lines = _delivered(fact, *p.previous_month(_today(as_of)))
-    sold = lines.groupBy("product_id", "sku", "product_name", "category").agg(
-        F.sum("quantity").alias("units_sold"),
-        F.sum("line_total").alias("revenue"),
-        F.countDistinct("order_id").alias("distinct_orders"),
+    # The names of a product come along as one value per group, not as grouping columns: the
+    # exchanges of the distinct count are keyed by two numbers.
+    per_order = lines.groupBy("product_id", "order_id").agg(
+        F.sum("quantity").alias("units"),
+        F.sum("line_total").alias("money"),
+        F.first(F.struct("sku", "product_name", "category")).alias("names"),
     )
+    sold = per_order.groupBy("product_id").agg(
+        F.first("names").alias("names"),
+        F.sum("units").alias("units_sold"),
+        F.sum("money").alias("revenue"),
+        F.count("*").alias("distinct_orders"),
+    )
+    sold = sold.select("product_id", "names.*", "units_sold", "revenue", "distinct_orders")
     return best_sellers(sold, "units_sold", "revenue", 1)
 
 

@@ -10,13 +10,14 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.cleaning import as_bigint
 from orderloom.functions.periods import month_of, months_of, next_month, ordered, weeks_of_months
 from orderloom.operators.dedupe import collapse_exact
 from orderloom.operators.integrity import REASON
-from orderloom.operators.upsert import in_partitions, partition_values, upsert
+from orderloom.operators.upsert import UpsertResult, in_partitions, partition_values, upsert
 from orderloom.plans import gold, silver
 from orderloom.plans.gold import DAY, MONTH_START, PRODUCT_COLUMNS, WEEK
-from orderloom.schemas import INGEST_TS, MONTH, SILVER_KEYS, SILVER_LAYOUT, UPDATED_TS, contract
+from orderloom.schemas import BRONZE, CORRUPT, INGEST_TS, MONTH, SILVER_KEYS, SILVER_LAYOUT, UPDATED_TS, contract
 from orderloom.session import tune
 from orderloom.sources.lake import Lake, Scratch
 
@@ -43,8 +44,10 @@ def checked_rows(lake: Lake, table: str, landed: DataFrame, scratch: Scratch) ->
     """Landed rows tagged by what is wrong with them, given the parents in Silver now.
 
     Where parents are joined the result is written, since both the table and its quarantine
-    come from it.
+    come from it. Columns that only the source has stay in Bronze.
     """
+    known = [c for c in [*BRONZE[BRONZE_OF[table]].names, CORRUPT] if c in landed.columns]
+    landed = landed.select(*known)
     if table == "silver_customers":
         return silver.tagged_customers(landed)
     if table == "silver_products":
@@ -57,9 +60,18 @@ def checked_rows(lake: Lake, table: str, landed: DataFrame, scratch: Scratch) ->
     return scratch.stage(checked, f"{table}-checked")
 
 
-def run_silver(lake: Lake, rebuild: bool = True, since: dt.datetime | None = None) -> None:
-    """Bronze to Silver: from scratch, or by upsert of the rows ingested after `since`."""
-    tune(lake.spark, *[lake.path(b) for b in BRONZE_OF.values()])
+def run_silver(
+    lake: Lake,
+    rebuild: bool = True,
+    since: dt.datetime | None = None,
+    most_partitions: int | None = None,
+) -> None:
+    """Bronze to Silver: from scratch, or by upsert of the rows ingested after `since`.
+
+    A rebuild is one pass over each landing table. Where that would take more shuffle
+    partitions than `most_partitions`, upserts of shorter spans (`since`) do the same.
+    """
+    tune(lake.spark, *[lake.path(b) for b in BRONZE_OF.values()], most_partitions=most_partitions)
     for table, bronze in BRONZE_OF.items():
         landed = lake.read(bronze)
         if rebuild:
@@ -74,74 +86,161 @@ def _rebuild(lake: Lake, table: str, landed: DataFrame) -> None:
     with Scratch(lake.spark) as scratch:
         checked = checked_rows(lake, table, landed, scratch)
         lake.publish(table, silver.newest_accepted(checked, table), SILVER_LAYOUT[table])
-        lake.publish(f"{table}_rejected", silver.quarantined(checked, BRONZE_OF[table]))
+        final, waiting = silver.quarantined(checked, BRONZE_OF[table])
+        lake.publish(f"{table}_rejected", final)
+        lake.publish(f"{table}_orphans", waiting)
+
+
+# Rows of the second table wait for rows of the first, by this key.
+WAITING = [
+    ("silver_customers", "silver_orders", "customer_id"),
+    ("silver_orders", "silver_order_items", "order_id"),
+    ("silver_products", "silver_order_items", "product_id"),
+]
 
 
-def absorb(lake: Lake, table: str, landed: DataFrame) -> list[dt.date | None]:
+def absorb(
+    lake: Lake, table: str, landed: DataFrame, batch: str | None = None
+) -> list[dt.date | None]:
     """Upsert landed rows into a Silver table; the newest version of a key wins.
 
-    Orphans rejected earlier are tried again. Absorbing the same rows twice changes nothing,
-    and batches may come in any order. Returns the order months whose rows were rewritten.
+    Rows that waited for a key of this batch are absorbed after it. Absorbing the same rows
+    twice changes nothing, and batches may come in any order. Returns the order months whose
+    rows were rewritten; they are noted under the lake's root as well, before anything
+    changes, until Gold has taken them in. Rejected rows are appended under the name of the
+    `batch`, so that a batch that runs again does not add them again.
     """
     lake.recover(*BRONZE_OF)
-    rejects = f"{table}_rejected"
-    earlier = lake.read(rejects) if lake.exists(rejects) else None
-    if earlier is not None:
-        again = earlier.where(F.col(REASON).isin(*silver.RETRIED)).drop(REASON)
-        landed = landed.unionByName(again.select(*landed.columns))
+    finish_moves(lake)
     with Scratch(lake.spark) as scratch:
         checked = checked_rows(lake, table, landed, scratch)
-        result = upsert(
-            lake,
-            table,
-            silver.newest_accepted(checked, table),
-            SILVER_KEYS[table],
-            SILVER_LAYOUT[table],
-            newest=UPDATED_TS,
-        )
-        touched = set(result.touched)
-        if table == "silver_orders" and result.moved is not None:
-            touched |= set(_move_items(lake, result.moved))
-        quarantine = silver.quarantined(checked, BRONZE_OF[table])
-        if earlier is not None:
-            final = earlier.where(~F.col(REASON).isin(*silver.RETRIED))
-            quarantine = collapse_exact(final.unionByName(quarantine), INGEST_TS)
-        lake.publish(rejects, quarantine)
+        good = scratch.stage(silver.newest_accepted(checked, table), f"{table}-good")
+        touched = _upsert(lake, table, good, UPDATED_TS)
+        touched |= set(finish_moves(lake))
+        final, waiting = silver.quarantined(checked, BRONZE_OF[table])
+        lake.append(f"{table}_rejected", final, batch)
+        lake.append(f"{table}_orphans", waiting, batch)
+        for parent, child, key in WAITING:
+            if parent == table and lake.exists(f"{child}_orphans"):
+                again = _waiting_for(lake, child, key, good)
+                again = scratch.stage(again, f"{child}-again")
+                if not again.isEmpty():
+                    name = f"{batch}-{key}" if batch else None
+                    touched |= set(absorb(lake, child, again, name))
     return ordered(touched)
 
 
-def _move_items(lake: Lake, moved_orders: DataFrame) -> list[dt.date | None]:
-    """Store lines under the new month of their order after its date was corrected."""
+def _upsert(lake: Lake, table: str, rows: DataFrame, newest: str | None) -> set[dt.date | None]:
+    """Upsert, with a note of the months that Gold has to refresh and of orders that moved."""
+
+    def tell(change: UpsertResult) -> None:
+        if SILVER_LAYOUT[table] and change.touched:
+            lake.note("months", [m and m.isoformat() for m in change.touched])
+        if table == "silver_orders" and change.moved:
+            lake.note("moved", change.moved)
+
+    key, layout = SILVER_KEYS[table], SILVER_LAYOUT[table]
+    return set(upsert(lake, table, rows, key, layout, newest, before_swap=tell).touched)
+
+
+def _waiting_for(lake: Lake, child: str, key: str, parents: DataFrame) -> DataFrame:
+    """Rows of a child table that wait for one of these parents; few, so their keys are hashed."""
+    waiting = lake.read(f"{child}_orphans").withColumn("_key", as_bigint(key))
+    found = waiting.join(parents.select(F.col(key).alias("_key")), "_key", "left_semi")
+    return collapse_exact(found.drop("_key", REASON), INGEST_TS)
+
+
+def quarantine(lake: Lake, table: str) -> DataFrame:
+    """Rows that are not in Silver, with the reason; exact copies once.
+
+    Orphans are kept as a log. Those whose parent has come since are left out here.
+    """
+    final = lake.read(f"{table}_rejected")
+    logged = lake.read(f"{table}_orphans")
+    still = logged
+    for parent, child, key in WAITING:
+        if child == table:
+            known = lake.read(parent).select(F.col(key).alias("_known"), F.lit(True).alias(f"_has_{key}"))
+            still = still.join(known, as_bigint(key) == F.col("_known"), "left").drop("_known")
+    flags = [F.col(c).isNull() for c in still.columns if c.startswith("_has_")]
+    if flags:
+        missing = flags[0]
+        for flag in flags[1:]:
+            missing = missing | flag
+        still = still.where(missing).select(*logged.columns)
+    return collapse_exact(final.unionByName(still, allowMissingColumns=True), INGEST_TS)
+
+
+def finish_moves(lake: Lake) -> list[dt.date | None]:
+    """Store lines under the month of their order where the order has moved to another.
+
+    The orders are noted before they move, so lines follow also if the driver was lost in
+    between. Their month now is what counts, whatever it was when they were noted.
+    """
+    touched: set[dt.date | None] = set()
     table = "silver_order_items"
-    months = partition_values(moved_orders, f"_old_{MONTH}")
-    if not months or not lake.exists(table):
-        return []
-    lines = in_partitions(lake.read(table), MONTH, months)
-    new_month = moved_orders.select("order_id", MONTH)
-    moved = lines.drop(MONTH).join(new_month, "order_id").select(*lines.columns)
-    return upsert(lake, table, moved, SILVER_KEYS[table], MONTH).touched
+    for name, kept in lake.notes("moved").items():
+        if lake.exists(table):
+            moved = lake.spark.read.parquet(lake.kept_path(kept))
+            months = partition_values(moved, f"_old_{MONTH}")
+            lines = in_partitions(lake.read(table), MONTH, months)
+            orders = lake.read("silver_orders").select("order_id", MONTH)
+            orders = orders.join(moved.select("order_id").distinct(), "order_id", "left_semi")
+            here = F.col("_here").eqNullSafe(F.col(MONTH))
+            lines = lines.withColumnRenamed(MONTH, "_here").join(orders, "order_id").where(~here)
+            touched |= _upsert(lake, table, lines.drop("_here"), None)
+        lake.forget([name])
+        lake.drop_kept(kept)
+    return ordered(touched)
 
 
 # ---- Gold -------------------------------------------------------------------------------
 
 
-def run_gold(lake: Lake) -> None:
-    """Silver to Gold: fact, dimensions, marts, status view; everything is overwritten."""
-    tune(lake.spark, *[lake.path(s) for s in BRONZE_OF])
+def run_gold(
+    lake: Lake, months_per_pass: int | None = None, most_partitions: int | None = None
+) -> None:
+    """Silver to Gold: fact, dimensions, marts, status view; everything is overwritten.
+
+    With `months_per_pass` the fact and the marts by day are computed for so many months at a
+    time, and no shuffle spans more than these. An order has one month, so the parts add up.
+    """
+    tune(lake.spark, *[lake.path(s) for s in BRONZE_OF], most_partitions=most_partitions)
     lake.recover(*BRONZE_OF)
+    finish_moves(lake)
+    stale = lake.notes("months")
     items, orders = lake.read("silver_order_items"), lake.read("silver_orders")
     products, customers = lake.read("silver_products"), lake.read("silver_customers")
 
-    lake.publish(FACT, gold.fact_order_items(items, orders, products), MONTH)
+    passes = _passes(items, months_per_pass)
+    facts = (
+        gold.fact_order_items(_months(items, part), _months(orders, part), products)
+        for part in passes
+    )
+    lake.publish_parts(FACT, facts, MONTH)
     lake.publish(DIM_CUSTOMER, gold.dim_customer(customers))
     lake.publish(DIM_PRODUCT, gold.dim_product(products))
 
     fact, names = lake.read(FACT), lake.read(DIM_PRODUCT)
-    lake.publish(DAILY, _by_month(gold.mart_daily(fact, names), DAY), MONTH, sort_by=DAY)
+    days = (_by_month(gold.mart_daily(_months(fact, part), names), DAY) for part in passes)
+    lake.publish_parts(DAILY, days, MONTH, sort_by=DAY)
     daily = lake.read(DAILY)
     lake.publish(WEEKLY, _by_month(gold.mart_weekly(daily, names), WEEK), MONTH, sort_by=WEEK)
     lake.publish(MONTHLY, gold.mart_monthly(daily, names), MONTH_START)
     create_status_view(lake)
+    lake.forget(stale)
+
+
+def _passes(items: DataFrame, months_per_pass: int | None) -> list[list[dt.date | None] | None]:
+    """Groups of the months that have lines; None stands for all of them at once."""
+    if not months_per_pass:
+        return [None]
+    months = partition_values(items, MONTH)
+    return [months[i : i + months_per_pass] for i in range(0, len(months), months_per_pass)] or [None]
+
+
+def _months(rows: DataFrame, months: list[dt.date | None] | None) -> DataFrame:
+    return rows if months is None else in_partitions(rows, MONTH, months)
 
 
 def _by_month(mart: DataFrame, period: str) -> DataFrame:
@@ -172,24 +271,37 @@ def publish_dim_order(lake: Lake) -> None:
 def refresh_gold(lake: Lake, months: list[dt.date | None], dimensions: bool = True) -> None:
     """Bring Gold up to date after changes to orders or lines of the given months.
 
-    The fact and the daily and monthly marts are recomputed for these months, the weekly mart
-    for the months in which weeks that overlap them start; everything else stays as it is.
+    Months noted by `absorb` are added, and their notes removed at the end: a refresh that
+    was cut short is made up for by the next. The fact and the daily and monthly marts are
+    recomputed for these months, the weekly mart for the months in which weeks that overlap them start; everything else stays as it is.
     With `dimensions` these are written anew, and months in which renamed products were sold
     are added; it may be off if customers and products did not change.
     """
-    if not lake.exists(FACT):
+    built = (FACT, DIM_CUSTOMER, DIM_PRODUCT, DAILY, WEEKLY, MONTHLY)
+    if not all(lake.exists(t) for t in built):
         run_gold(lake)
         return
     lake.recover(*BRONZE_OF, FACT, DAILY, WEEKLY, MONTHLY)
+    finish_moves(lake)
+    stale = lake.notes("months")
+    noted = [m and dt.date.fromisoformat(m) for months_noted in stale.values() for m in months_noted]
+    months = ordered({*months, *noted})
     products = lake.read("silver_products")
     if dimensions:
-        months = _with_renamed(lake, months, products)
+        renamed = _renamed_months(lake, products)
+        if renamed:
+            # The old names are gone once the dimension is published: note the months before.
+            stale[lake.note("months", [m and m.isoformat() for m in renamed])] = renamed
+            months = ordered({*months, *renamed})
         lake.publish(DIM_CUSTOMER, gold.dim_customer(lake.read("silver_customers")))
         lake.publish(DIM_PRODUCT, gold.dim_product(products))
     create_status_view(lake)
-    if not months:
-        return
+    if months:
+        _refresh_months(lake, months, products)
+    lake.forget(stale)
 
+
+def _refresh_months(lake: Lake, months: list[dt.date | None], products: DataFrame) -> None:
     items = in_partitions(lake.read("silver_order_items"), MONTH, months)
     orders = in_partitions(lake.read("silver_orders"), MONTH, months)
     lake.replace_partitions(FACT, gold.fact_order_items(items, orders, products), MONTH, months)
@@ -212,15 +324,12 @@ def refresh_gold(lake: Lake, months: list[dt.date | None], dimensions: bool = Tr
     lake.replace_partitions(WEEKLY, weekly, MONTH, starts + undated, sort_by=WEEK)
 
 
-def _with_renamed(
-    lake: Lake, months: list[dt.date | None], products: DataFrame
-) -> list[dt.date | None]:
-    """The months, and those in which products with changed names were sold."""
+def _renamed_months(lake: Lake, products: DataFrame) -> list[dt.date | None]:
+    """Months in which products with changed names were sold."""
     old = lake.read(DIM_PRODUCT).select(*PRODUCT_COLUMNS)
     new = products.select(*PRODUCT_COLUMNS)
     known = old.select("product_id")
     renamed = new.join(known, "product_id", "left_semi").exceptAll(old).select("product_id")
-    if not renamed.isEmpty():
-        sold = lake.read(FACT).join(renamed, "product_id", "left_semi")
-        months = [*months, *partition_values(sold, MONTH)]
-    return ordered(months)
+    if renamed.isEmpty():
+        return []
+    return partition_values(lake.read(FACT).join(renamed, "product_id", "left_semi"), MONTH)

@@ -18,6 +18,7 @@ from orderloom.operators.dedupe import collapse_exact, latest_by_key
 from orderloom.operators.integrity import REASON, accepted, mark_referenced, rejected, tag_rejects
 from orderloom.schemas import (
     BRONZE,
+    CORRUPT,
     INGEST_TS,
     MONTH,
     SILVER_KEYS,
@@ -30,6 +31,7 @@ from orderloom.schemas import (
 NULL_KEY = "null_key"
 BAD_NUMBER = "bad_number"
 BAD_STATUS = "bad_status"
+BROKEN_ROW = "broken_row"
 ORPHAN_CUSTOMER = "orphan_customer"
 ORPHAN_ORDER = "orphan_order"
 ORPHAN_PRODUCT = "orphan_product"
@@ -79,15 +81,22 @@ def _refer(rows: DataFrame, parent: DataFrame, key: str, flag: str, *extra: str)
     return mark_referenced(keyed, parents, typed_key, flag, *extra).drop(typed_key)
 
 
+def _tagged(rows: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
+    """Rows that did not fit their file's header are marked as such, whatever else is wrong."""
+    if CORRUPT in rows.columns:
+        rules = [(BROKEN_ROW, F.col(CORRUPT).isNotNull()), *rules]
+    return tag_rejects(rows, rules)
+
+
 def tagged_customers(bronze: DataFrame) -> DataFrame:
-    return tag_rejects(
+    return _tagged(
         bronze,
         [(NULL_KEY, _missing("customer_id", "email")), (BAD_NUMBER, _unreadable("customer_id"))],
     )
 
 
 def tagged_products(bronze: DataFrame) -> DataFrame:
-    return tag_rejects(
+    return _tagged(
         bronze,
         [(NULL_KEY, _missing("product_id", "sku")), (BAD_NUMBER, _unreadable("product_id"))],
     )
@@ -95,7 +104,7 @@ def tagged_products(bronze: DataFrame) -> DataFrame:
 
 def tagged_orders(bronze: DataFrame, customers: DataFrame) -> DataFrame:
     checked = _refer(bronze, customers, "customer_id", "has_customer")
-    return tag_rejects(
+    return _tagged(
         checked,
         [
             (NULL_KEY, _missing("order_id")),
@@ -114,7 +123,7 @@ def tagged_order_items(bronze: DataFrame, orders: DataFrame, products: DataFrame
     quantity, price = c.as_int("quantity"), c.as_price("unit_price")
     too_large = c.line_total(quantity, price).isNull() & quantity.isNotNull() & price.isNotNull()
     valid_status = F.coalesce(c.clean_code("line_status").isin(*LINE_STATUSES), F.lit(False))
-    return tag_rejects(
+    return _tagged(
         checked,
         [
             (NULL_KEY, _missing("order_item_id")),
@@ -146,10 +155,12 @@ def newest_accepted(tagged: DataFrame, table: str) -> DataFrame:
     return latest_by_key(typed(accepted(tagged), table), SILVER_KEYS[table], UPDATED_TS)
 
 
-def quarantined(tagged: DataFrame, bronze_table: str) -> DataFrame:
-    """Rejected rows as they landed, with the reason; exact copies once."""
-    rows = rejected(tagged).select(*BRONZE[bronze_table].names, REASON)
-    return collapse_exact(rows, INGEST_TS)
+def quarantined(tagged: DataFrame, bronze_table: str) -> tuple[DataFrame, DataFrame]:
+    """Rejected rows as they landed, with the reason: for good, and orphans; exact copies once."""
+    kept = [c for c in [*BRONZE[bronze_table].names, CORRUPT] if c in tagged.columns]
+    rows = collapse_exact(rejected(tagged).select(*kept, REASON), INGEST_TS)
+    waiting = F.col(REASON).isin(*RETRIED)
+    return rows.where(~waiting), rows.where(waiting)
 
 
 def silver_customers(bronze: DataFrame) -> DataFrame:

@@ -32,7 +32,20 @@ BRONZE: dict[str, T.StructType] = {
         "line_status",
         "status_updated_at",
     ),
+    # Read by no query; landed so that nothing has to be fetched again.
+    "bronze_shipments": _landing(
+        "shipment_id",
+        "order_id",
+        "carrier",
+        "tracking_number",
+        "shipped_at",
+        "estimated_delivery",
+        "actual_delivery",
+        "shipping_status",
+    ),
 }
+# Text of a landed row that did not fit its header; NULL for whole rows.
+CORRUPT = "_corrupt_record"
 
 MONEY = T.DecimalType(10, 2)
 LINE_MONEY = T.DecimalType(12, 2)
@@ -110,6 +123,17 @@ def declared_columns(table: str) -> list[Column]:
     return [F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[table]]
 
 
+def required(df: DataFrame, table: str) -> DataFrame:
+    """`df` with a check on every NOT NULL column of its table: a NULL fails the write."""
+    checks = {}
+    for f in SILVER.get(table, ()):
+        if not f.nullable and f.name in df.columns:
+            message = F.lit(f"{table}.{f.name} must not be NULL")
+            broken = F.raise_error(message).cast(f.dataType)
+            checks[f.name] = F.when(F.col(f.name).isNull(), broken).otherwise(F.col(f.name))
+    return df.withColumns(checks) if checks else df
+
+
 def contract(df: DataFrame, table: str) -> DataFrame:
     """A Silver table as declared: without columns that only serve its storage."""
     return df.select(*declared_columns(table))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,11 @@ from pyspark.sql import SparkSession
 _SHUFFLE_BYTES_PER_TASK = 256 * 1024 * 1024
 # Parquet is compressed and encoded; shuffled rows are neither as tightly.
 _ROW_EXPANSION = 3
-# Every map task keeps one block per partition: beyond this, tasks get more bytes and spill.
-_MOST_SHUFFLE_PARTITIONS = 40_000
-_local_work_dirs: dict[str, str] = {}
 
 
-def tune(spark: SparkSession, *input_paths: str) -> SparkSession:
+def tune(
+    spark: SparkSession, *input_paths: str, most_partitions: int | None = None
+) -> SparkSession:
     """Set what the engine relies on; safe to call again at any time.
 
     Timestamps carry no zone in the sources, so the session zone is pinned. Joins and
@@ -37,19 +35,23 @@ def tune(spark: SparkSession, *input_paths: str) -> SparkSession:
     for key, value in settings.items():
         spark.conf.set(key, value)
     if input_paths:
-        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(spark, *input_paths)))
+        count = shuffle_partitions(spark, *input_paths, most=most_partitions)
+        spark.conf.set("spark.sql.shuffle.partitions", str(count))
     return spark
 
 
-def shuffle_partitions(spark: SparkSession, *input_paths: str) -> int:
+def shuffle_partitions(spark: SparkSession, *input_paths: str, most: int | None = None) -> int:
     """Enough shuffle tasks for the bytes under `input_paths`, at least one per core.
 
     This is where adaptive execution starts from: it can merge partitions, but not add any
-    except to split a skewed one.
+    except to split a skewed one. The number grows with the input without an end; every map
+    task keeps a block per partition, though, so a cluster may set `most`. Gold can then be
+    built in passes over groups of months (`run_gold`), whose shuffles stay below it.
     """
     stored = sum(stored_bytes(spark, p) for p in input_paths)
     by_size = math.ceil(stored * _ROW_EXPANSION / _SHUFFLE_BYTES_PER_TASK)
-    return min(max(spark.sparkContext.defaultParallelism, by_size), _MOST_SHUFFLE_PARTITIONS)
+    wanted = max(spark.sparkContext.defaultParallelism, by_size)
+    return min(wanted, most) if most else wanted
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -64,19 +66,11 @@ def filesystem(spark: SparkSession, path: str):
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: `spark.checkpoint.dir` of the session.
-
-    Only a local session, where driver and executors are one process, may do without it.
-    """
+    """Folder all executors can reach: `spark.checkpoint.dir`, else one beside the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_work_dirs:
-        _local_work_dirs[app] = tempfile.mkdtemp(prefix="orderloom-")
-    return _local_work_dirs[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:

@@ -1,14 +1,19 @@
 """Parquet tables under one root folder, published to the session catalog as views.
 
-A rebuild writes a new `v=<n>` folder and readers move to it once Spark has written its
-`_SUCCESS` file; nothing is overwritten while it is being read, and a failed job leaves the
-table as it was. Smaller changes replace whole partitions inside the current version.
+A rebuild writes a new `v=<n>` folder and readers move to it once its `_SUCCESS` file is
+there; nothing is overwritten while it is being read, and a failed job leaves the table as it
+was. Smaller changes replace whole partitions inside the current version. Tables that only
+grow (landing tables and quarantines) hold a folder per batch inside the version, whoever
+writes it: a batch that is written again replaces itself.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import time
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.config import LakeNames
-from orderloom.session import filesystem, new_work_path
+from orderloom.schemas import required
+from orderloom.session import filesystem, new_work_path, tune
 
-_KEPT_VERSIONS = 2
 _SCHEMA_FILE = "_schema.json"
+_BATCH = "_batch"
 
 
 def quoted(name: str) -> str:
@@ -32,6 +38,11 @@ class Lake:
     root: str
     names: LakeNames = field(default_factory=LakeNames)
     in_catalog: bool = True
+    #: How long a version stays after a newer one has taken its place: the longest job that may still read it.
+    keep_for: dt.timedelta = dt.timedelta(days=2)
+
+    def __post_init__(self) -> None:
+        tune(self.spark)
 
     # ---- names -------------------------------------------------------------------------
 
@@ -45,20 +56,29 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{self.schema_of(table)}/{table}"
 
+    def _qualified(self, *parts: str) -> str:
+        first = [self.names.catalog] if self.names.catalog else []
+        return ".".join(quoted(p) for p in [*first, *parts])
+
     def view_name(self, table: str) -> str:
-        return f"{quoted(self.schema_of(table))}.{quoted(table)}"
+        return self._qualified(self.schema_of(table), table)
 
     def create_schema(self, *tables: str) -> None:
-        if self.names.catalog:
-            self.spark.catalog.setCurrentCatalog(self.names.catalog)
         for schema in {self.schema_of(t) for t in tables}:
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(schema)}")
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self._qualified(schema)}")
 
     def use_schema_of(self, table: str) -> None:
         """Make the layer of `table` the current schema, for SQL with plain table names."""
         self.create_schema(table)
+        if self.names.catalog:
+            self.spark.catalog.setCurrentCatalog(self.names.catalog)
         self.spark.catalog.setCurrentDatabase(self.schema_of(table))
 
+    @staticmethod
+    def grows(table: str) -> bool:
+        """Landing tables and quarantines only get further rows, batch by batch."""
+        return table.startswith("bronze_") or table.endswith(("_rejected", "_orphans"))
+
     # ---- reading -----------------------------------------------------------------------
 
     def versions(self, table: str) -> list[int]:
@@ -68,61 +88,94 @@ class Lake:
         return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
 
     def exists(self, table: str) -> bool:
-        return bool(self.versions(table)) or self._is_streamed(table)
-
-    def _is_streamed(self, table: str) -> bool:
-        """A streaming file sink keeps the table in its folder, without versions."""
-        fs, log = filesystem(self.spark, f"{self.path(table)}/_spark_metadata")
-        return fs.exists(log)
+        return bool(self.versions(table))
 
     def current_path(self, table: str) -> str:
         versions = self.versions(table)
-        if versions:
-            return f"{self.path(table)}/v={versions[-1]}"
-        if self._is_streamed(table):
-            return self.path(table)
-        raise FileNotFoundError(f"table {table} has not been written under {self.root}")
+        if not versions:
+            raise FileNotFoundError(f"table {table} has not been written under {self.root}")
+        return f"{self.path(table)}/v={versions[-1]}"
 
     def read(self, table: str) -> DataFrame:
         return self._parquet(self.current_path(table))
 
     def _parquet(self, path: str) -> DataFrame:
         """Read with the schema noted at the write: no file is opened to infer it."""
-        fs, noted = filesystem(self.spark, f"{path}/{_SCHEMA_FILE}")
-        if not fs.exists(noted):
-            return self.spark.read.parquet(path)
-        stream = fs.open(noted)
+        schema = self._noted_schema(path)
+        rows = self.spark.read.schema(schema).parquet(path)
+        return rows.select(*[F.col(quoted(c)) for c in schema.names])
+
+    def _noted_schema(self, path: str) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self._text_of(f"{path}/{_SCHEMA_FILE}")))
+
+    def _text_of(self, path: str) -> str:
+        fs, hadoop_path = filesystem(self.spark, path)
+        stream = fs.open(hadoop_path)
         text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()
-        return self.spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(path)
+        return text
 
-    def _note_schema(self, path: str, df: DataFrame) -> None:
-        """Keep the schema beside the files; a partitioned table without rows has no files."""
-        fs, noted = filesystem(self.spark, f"{path}/{_SCHEMA_FILE}")
-        stream = fs.create(noted, True)
-        stream.write(bytearray(df.schema.json(), "utf-8"))
+    def _put_text(self, path: str, text: str) -> None:
+        fs, hadoop_path = filesystem(self.spark, path)
+        stream = fs.create(hadoop_path, True)
+        stream.write(bytearray(text, "utf-8"))
         stream.close()
 
+    def _note_schema(self, path: str, schema: T.StructType) -> None:
+        """Keep the schema beside the files; a table without rows has no files to tell it."""
+        self._put_text(f"{path}/{_SCHEMA_FILE}", schema.json())
+
     # ---- writing -----------------------------------------------------------------------
 
     def publish(
         self, table: str, df: DataFrame, partition_by: str | None = None, sort_by: str | None = None
     ) -> None:
         """Write `df` as the new whole content of the table, whatever its schema was before."""
-        versions = self.versions(table)
-        path = f"{self.path(table)}/v={versions[-1] + 1 if versions else 1}"
-        write_parquet(df, path, partition_by, sort_by)
-        self._note_schema(path, df)
+        self.publish_parts(table, [df], partition_by, sort_by)
+
+    def publish_parts(
+        self,
+        table: str,
+        parts: Iterable[DataFrame],
+        partition_by: str | None = None,
+        sort_by: str | None = None,
+    ) -> None:
+        """Write a new version part by part, each with jobs of its own; shown once all are there."""
+        fs, found = filesystem(self.spark, f"{self.path(table)}/v=*")
+        begun = [int(s.getPath().getName()[2:]) for s in fs.globStatus(found) or []]
+        path = f"{self.path(table)}/v={max(begun, default=0) + 1}"
+        for n, df in enumerate(parts):
+            into = f"{path}/{_BATCH}=published-{n}" if self.grows(table) else path
+            write_parquet(required(df, table), into, partition_by, sort_by, add=n > 0)
+            if n == 0:
+                self._note_schema(path, df.schema)
+        self._put_text(f"{path}/_SUCCESS", "")
         self._register(table, path)
-        for old in versions[: 1 - _KEPT_VERSIONS]:
-            self._delete(f"{self.path(table)}/v={old}")
+        self._forget_old_versions(table)
 
-    def append(self, table: str, df: DataFrame) -> None:
-        """Add rows to the current version (landing tables only grow)."""
-        if self.exists(table):
-            df.write.mode("append").parquet(self.current_path(table))
-        else:
-            self.publish(table, df)
+    def _forget_old_versions(self, table: str) -> None:
+        """Delete versions that were replaced longer ago than `keep_for`."""
+        versions = self.versions(table)
+        for old, newer in zip(versions, versions[1:]):
+            fs, done = filesystem(self.spark, f"{self.path(table)}/v={newer}/_SUCCESS")
+            age = time.time() - fs.getFileStatus(done).getModificationTime() / 1000
+            if age > self.keep_for.total_seconds():
+                self._delete(f"{self.path(table)}/v={old}")
+
+    def append(self, table: str, df: DataFrame, batch: str | None = None) -> None:
+        """Add rows to a table that grows. Under the name of an earlier batch they replace it.
+
+        Columns that the table does not have yet are added to it; earlier rows have NULL there.
+        """
+        if not self.exists(table):
+            self.publish_parts(table, [df.where("false")])
+        path = self.current_path(table)
+        known = self._noted_schema(path)
+        new = [f for f in df.schema if f.name not in known.names]
+        df.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch or uuid.uuid4().hex}")
+        if new:
+            self._note_schema(path, T.StructType([*known, *new]))
+        self._register(table, path)
 
     def replace_partitions(
         self,
@@ -141,12 +194,13 @@ class Lake:
         path = self.current_path(table)
         pending = f"{path}/_pending"
         self._delete(pending)
-        write_parquet(df, pending, column, sort_by)
+        write_parquet(required(df, table), pending, column, sort_by)
         fs, _ = filesystem(self.spark, path)
         for value in values:  # a value without rows leaves an empty folder
             fs.mkdirs(self._hadoop_path(f"{pending}/{_partition_folder(column, value)}"))
         fs.create(self._hadoop_path(f"{pending}/_ready"), True).close()
         self._finish_replacement(path)
+        self._register(table, path)
 
     def recover(self, *tables: str) -> None:
         """Finish swaps that were cut short. For the table's one writer, before it reads."""
@@ -157,23 +211,31 @@ class Lake:
     def _finish_replacement(self, path: str) -> None:
         """Swap in the folders that were fully written beside the table, if there are any.
 
-        Each step can be repeated, so a swap that was cut short goes on where it stopped.
+        A folder is moved aside before the new one takes its place, and all that was moved is
+        deleted at the end only. Each step can be repeated, so a swap that was cut short goes
+        on where it stopped; a move that fails stops it with nothing lost.
         """
         pending = f"{path}/_pending"
         fs, ready = filesystem(self.spark, f"{pending}/_ready")
         if not fs.exists(ready):
             return
+        aside = f"{pending}/_replaced"
+        fs.mkdirs(self._hadoop_path(aside))
         for status in fs.globStatus(self._hadoop_path(f"{pending}/*=*")) or []:
             new = status.getPath()
             current = self._hadoop_path(f"{path}/{new.getName()}")
-            fs.delete(current, True)
+            replaced = self._hadoop_path(f"{aside}/{new.getName()}")
+            if fs.exists(current) and not fs.exists(replaced):
+                self._move(fs, current, replaced)
             if fs.listStatus(new):
-                fs.rename(new, current)
-            else:
-                fs.delete(new, True)
+                self._move(fs, new, current)
         fs.delete(ready, False)
         self._delete(pending)
 
+    def _move(self, fs, source, target) -> None:
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {source} to {target}; run again to go on")
+
     def _hadoop_path(self, path: str):
         return filesystem(self.spark, path)[1]
 
@@ -182,13 +244,53 @@ class Lake:
         self._register(table, self.current_path(table))
 
     def _register(self, table: str, path: str) -> None:
-        """Show the table in the catalog under its schema, as a view of the current folder."""
+        """Show the table in the catalog under its schema, as a view of the current folder.
+
+        The view has the noted columns and types, also while the table has no file to tell them.
+        """
         if not self.in_catalog:
             return
         self.create_schema(table)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.view_name(table)} AS SELECT * FROM parquet.{quoted(path)}"
+        fs, files = filesystem(self.spark, f"{path}/{{part-*,*=*/part-*}}")
+        fields = self._noted_schema(path).fields
+        if fs.globStatus(files):
+            merge = self.grows(table)
+            there = self.spark.read.option("mergeSchema", merge).parquet(path).columns
+            columns = [quoted(f.name) if f.name in there else "NULL" for f in fields]
+            source = f"FROM parquet.{quoted(path)} WITH ('mergeSchema' = '{str(merge).lower()}')"
+        else:
+            columns, source = ["NULL"] * len(fields), "WHERE false"
+        listed = ", ".join(
+            f"CAST({c} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+            for c, f in zip(columns, fields)
         )
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.view_name(table)} AS SELECT {listed} {source}")
+
+    # ---- notes that outlive the driver -------------------------------------------------
+
+    def note(self, kind: str, content: object) -> str:
+        """Keep a small note under the lake's root; returns its name."""
+        name = f"{kind}-{uuid.uuid4().hex}"
+        self._put_text(f"{self.root.rstrip('/')}/_notes/{name}", json.dumps(content))
+        return name
+
+    def notes(self, kind: str) -> dict[str, object]:
+        """All notes of a kind by name."""
+        folder = f"{self.root.rstrip('/')}/_notes"
+        fs, pattern = filesystem(self.spark, f"{folder}/{kind}-*")
+        names = sorted(s.getPath().getName() for s in fs.globStatus(pattern) or [])
+        return {n: json.loads(self._text_of(f"{folder}/{n}")) for n in names}
+
+    def forget(self, names: Iterable[str]) -> None:
+        for name in names:
+            self._delete(f"{self.root.rstrip('/')}/_notes/{name}")
+
+    def kept_path(self, name: str) -> str:
+        """Folder under the root for rows that a note refers to."""
+        return f"{self.root.rstrip('/')}/_kept/{name}"
+
+    def drop_kept(self, name: str) -> None:
+        self._delete(self.kept_path(name))
 
     def _delete(self, path: str) -> None:
         fs, hadoop_path = filesystem(self.spark, path)
@@ -196,21 +298,26 @@ class Lake:
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: str | None = None, sort_by: str | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    sort_by: str | None = None,
+    add: bool = False,
 ) -> None:
-    """Write to a fresh path; partitioned output gets few files per partition.
+    """Write to a fresh path, or `add` to it; partitioned output gets few files per partition.
 
     The rebalance hint sends rows of one partition value to few tasks, and lets adaptive
     execution split a value that is too large for one task. Sorted files let a filter on
-    `sort_by` skip most of what it reads.
+    `sort_by` skip most of what it reads. Spark's own mark of success is left out: the caller
+    knows when a version is complete.
     """
-    if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
-        return
-    balanced = df.hint("rebalance", F.col(partition_by))
-    if sort_by:
-        balanced = balanced.sortWithinPartitions(partition_by, sort_by)
-    balanced.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    if partition_by is not None:
+        df = df.hint("rebalance", F.col(partition_by))
+        if sort_by:
+            df = df.sortWithinPartitions(partition_by, sort_by)
+    writer = df.write.mode("append" if add else "overwrite")
+    writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
 class Scratch:

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.schemas import BRONZE, INGEST_TS
-from orderloom.sources.lake import Lake
+from orderloom.schemas import BRONZE, CORRUPT, INGEST_TS
+from orderloom.sources.lake import Lake, quoted
 
 
 def to_bronze(df: DataFrame, table: str) -> DataFrame:
-    """`df` in the landing shape: missing columns NULL, further ones left out, all strings.
+    """`df` in the landing shape: all strings, missing columns NULL.
 
-    Rows without an ingest time are stamped with the time of the load.
+    Further columns of the source are kept after the known ones, as text: what is not landed
+    cannot be got back. Rows without an ingest time are stamped with the time of the load.
     """
     present = set(df.columns)
     columns = []
@@ -22,7 +23,16 @@ def to_bronze(df: DataFrame, table: str) -> DataFrame:
         if f.name == INGEST_TS:
             value = F.coalesce(value.cast("timestamp"), F.current_timestamp())
         columns.append(value.cast(f.dataType).alias(f.name))
-    return df.select(*columns)
+    further = [f for f in df.schema if f.name not in BRONZE[table].names]
+    return df.select(*columns, *[_as_text(f).alias(f.name) for f in further])
+
+
+def _as_text(field: T.StructField) -> Column:
+    """The column as a string; nested values as JSON."""
+    value = F.col(quoted(field.name))
+    if isinstance(field.dataType, T.StructType | T.ArrayType | T.MapType):
+        return F.to_json(value)
+    return value.cast("string")
 
 
 def from_rows(spark: SparkSession, table: str, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -36,24 +46,59 @@ def string_schema(table: str) -> T.StructType:
     return T.StructType([f for f in BRONZE[table] if f.name != INGEST_TS])
 
 
-def from_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """CSV files with a header. Everything stays text; blanks around values are kept."""
-    schema = string_schema(table)
-    return to_bronze(spark.read.schema(schema).csv(path, **CSV_OPTIONS), table)
+def csv_schema(spark: SparkSession, table: str, path: str) -> T.StructType:
+    """The columns that the files' header names, in its order, and one for rows that do not fit.
+
+    All files of one load have the same header; files with another one are loaded apart.
+    """
+    names = spark.read.csv(path, header=True, **_QUOTING).columns
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+
+
+def from_csv(spark: SparkSession, table: str, path: str, multi_line: bool = False) -> DataFrame:
+    """CSV files with a header, in any order and with any further columns.
 
+    Everything stays text; blanks around values are kept, and quotes are doubled inside quoted
+    text. A row with more or fewer values than the header is kept, with its text in
+    `_corrupt_record`. `multi_line` allows line breaks inside quotes; such files are not
+    split, so a large one is read by one task.
+    """
+    reader = spark.read.schema(csv_schema(spark, table, path)).options(**CSV_OPTIONS)
+    return from_parsed(reader.csv(path, multiLine=multi_line), table)
+
+
+def from_parsed(rows: DataFrame, table: str) -> DataFrame:
+    """Rows read with CSV_OPTIONS: quoted empty text is text, nothing at all is NULL."""
+    columns = [
+        F.when(F.col(quoted(c)) == _EMPTY, "").otherwise(F.col(quoted(c))).alias(c) for c in rows.columns
+    ]
+    return to_bronze(rows.select(*columns), table)
 
+
+# How text is quoted. Quoted empty text is told from no text by a mark.
+_EMPTY = "\ue000empty"
+_QUOTING = {"quote": '"', "escape": '"'}
 # Blanks are data until Silver trims them; `enforceSchema` off checks the header's names.
 CSV_OPTIONS = {
+    **_QUOTING,
     "header": True,
     "enforceSchema": False,
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    "emptyValue": _EMPTY,
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
 }
 
 
-def load(lake: Lake, table: str, rows: DataFrame, replace: bool = False) -> None:
-    """Append rows to a landing table, or empty it first (`replace`)."""
+def load(
+    lake: Lake, table: str, rows: DataFrame, replace: bool = False, batch: str | None = None
+) -> None:
+    """Append rows to a landing table, or empty it first (`replace`).
+
+    Rows that come again under the name of an earlier `batch` take its place.
+    """
     if replace:
         lake.publish(table, rows)
     else:
-        lake.append(table, rows)
+        lake.append(table, rows, batch)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orderloom.config import CANCELLED, DELIVERED, PENDING, RETURNED, SHIPPED
 from orderloom.operators.dedupe import first_by_key
 from orderloom.operators.numbering import number_rows
-from orderloom.sources.landing import to_bronze
+from orderloom.sources.landing import string_schema, to_bronze
 
 # Base ingest time; timestamp format; registration date of customers and parts.
 INGEST_BASE = "2001-08-02 00:00:00"
@@ -190,6 +190,73 @@ def broken_items(lines: DataFrame) -> DataFrame:
     )
 
 
+def _dirty(rows: DataFrame, key: str, changed: dict[str, Column]) -> DataFrame:
+    """A parent table with newer versions, rows without a key and rows with an unreadable one."""
+    number = F.col(key).cast("bigint")
+    newer = rows.where(number % 11 == 0).withColumns({**changed, "_ingest_ts": _ingested(2)})
+    keyless = rows.where(number % 29 == 0).withColumn(key, F.lit(None).cast("string"))
+    unreadable = rows.where(number % 23 == 0).withColumn(key, F.concat(F.lit("x"), key))
+    return rows.unionByName(newer).unionByName(keyless).unionByName(unreadable).select(*rows.columns)
+
+
+def _taken_over(key: str, every: int, digits: int) -> Column:
+    """The padded number of the row, or of the row before for some: a key that two rows share."""
+    number = F.col(key).cast("bigint")
+    shift = ((number % every == 0) & (number > 0)).cast("int")
+    return F.lpad((number - shift).cast("string"), digits, "0")
+
+
+def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of which some have the email of the one before; newer ones got a phone."""
+    email = F.concat(F.lit(" Customer#"), _taken_over("customer_id", 31, 9), F.lit("@Mail.Example "))
+    rows = customers(spark, sf_dir).withColumn("email", email)
+    return _dirty(rows, "customer_id", {"phone": F.concat(F.lit("555-"), "customer_id")})
+
+
+def dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of which some have the SKU of the one before; newer ones got another category."""
+    sku = F.concat(F.lit(" sku-"), _taken_over("product_id", 37, 8), F.lit(" "))
+    rows = products(spark, sf_dir).withColumn("sku", sku)
+    return _dirty(rows, "product_id", {"category": F.lit("RENEWED")})
+
+
+def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with newer addresses, and copies with new ids of customers that do not exist."""
+    rows = orders(spark, sf_dir)
+    number = F.col("order_id").cast("bigint")
+    lost = rows.where(number % 17 == 0).withColumns(
+        {"order_id": _text(number + ID_STEP), "customer_id": F.lit("-1")}
+    )
+    changed = {"shipping_address": F.concat(F.lit("moved "), "shipping_address")}
+    return _dirty(rows, "order_id", changed).unionByName(lost)
+
+
+def moved_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ninth order again, dated forty days later."""
+    rows = orders(spark, sf_dir).where(F.col("order_id").cast("bigint") % 9 == 0)
+    later = F.to_timestamp("order_date", TS_FORMAT) + F.make_dt_interval(days=F.lit(40))
+    return rows.withColumns({"order_date": F.date_format(later, TS_FORMAT), "_ingest_ts": _ingested(2)})
+
+
+def quoted_items(lines: DataFrame) -> DataFrame:
+    """The dirty lines; some with quotes, commas and a line break in their status."""
+    rows = dirty_items(lines)
+    text = F.concat("line_status", F.lit(' "q", x\ny'))
+    odd = F.coalesce(F.col("order_id").cast("bigint") % 31 == 0, F.lit(False))
+    return rows.withColumn("line_status", F.when(odd, text).otherwise(F.col("line_status")))
+
+
+def misfit_lines(lines: DataFrame) -> DataFrame:
+    """CSV text of rows with a value too many or some too few, in one column named as the header."""
+    first = first_by_key(_orders_by(lines, 37), ["order_key"], [F.col("line_id")])
+    columns = string_schema("bronze_order_items").names
+    rows = _items(first).drop("_ingest_ts")
+    number = F.col("order_item_id").cast("bigint")
+    long = rows.select(F.concat_ws(",", _text(number + 6 * ID_STEP), *columns[1:], F.lit("more")))
+    short = rows.select(F.concat_ws(",", _text(number + 7 * ID_STEP), *columns[1:3]))
+    return long.union(short).toDF(",".join(columns))
+
+
 def dirty_items(lines: DataFrame) -> DataFrame:
     """All lines, with resent copies, corrected versions and broken rows among them."""
     return (

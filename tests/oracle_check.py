@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = "region nation customer supplier part orders lineitem documents embeddings pages".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -29,6 +29,7 @@ SAME_TYPE = {
     "string": "VARCHAR",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
     "decimal(18,2)": "DECIMAL(18,2)",
 }
 
@@ -71,7 +72,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
-    for name in sys.argv[2:] or contract.queries():
+    for name in sys.argv[2:] or contract.oracle_sql():
         start = time.time()
         try:
             found = differences(spark, con, name, sf_dir)
@@ -79,7 +80,7 @@ def main() -> None:
             found = f"{type(e).__name__}: {str(e)[:800]}"
         bad += found is not None
         print(f"{'ok  ' if found is None else 'FAIL'} {name} {time.time() - start:.1f}s {found or ''}", flush=True)
-    print(f"{bad} of {len(sys.argv[2:] or contract.queries())} differ")
+    print(f"{bad} of {len(sys.argv[2:] or contract.oracle_sql())} differ")
 
 
 if __name__ == "__main__":
