@@ -16,7 +16,8 @@ What keeps this linear and exact:
   c + max(rest of one, rest of the other) in common. Unrelated documents that share a passage fail this bound.
 * A column with many rows (a large group of near copies) is not multiplied out. It links its rows to one of
   them; what is linked is one component, and only pairs that lie in different components afterwards are
-  counted, in tiles of bounded size. Columns with very many rows are dealt to several tasks.
+  counted, in tiles of bounded size, after parity sketches have ruled out sets that differ too much. Columns
+  with very many rows are dealt to several tasks.
 
 Pairs that pass are compared exactly, set against set.
 """
@@ -42,6 +43,7 @@ SHORT = 24
 #: Entries of the matrix in a block, rows of a column in one task, and rows on a side of a tile.
 BLOCK, HOT, TILE = 1_500_000, 1_000_000, 2_000
 _PARTS = 64
+_SKETCH = 2048
 
 
 @dataclass
@@ -360,7 +362,7 @@ def similar(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
         left = staged.write(f"mixed-{step}", labelled.join(mixed.select("run", "rows"), "run"))
         if left.isEmpty():
             break
-        more = _through_one(left) if step == 2 else _all_across(left, percent)
+        more = _through_one(left) if step == 2 else _all_across(left.join(_sketches(rows), "node"), percent)
         if step == 3:
             more = more.join(counted.select("a", "b", F.col("c").alias("before")), ["a", "b"], "left").where(
                 _enough(F.col("c") + F.coalesce("before", F.lit(0)) + _bound(percent), percent)
@@ -390,24 +392,39 @@ def _through_one(left: DataFrame) -> DataFrame:
     return _ordered(pairs.select(F.col("first.x.node").alias("a"), F.col("first.x.n").alias("na"), F.col("x.node").alias("b"), F.col("x.n").alias("nb")))
 
 
+def _sketches(rows: DataFrame) -> DataFrame:
+    """node and sketch: for each value of the hash's last bits, whether the set has an odd number of such shingles.
+
+    Two sketches differ in at most as many bits as the sets differ in shingles.
+    """
+
+    def run(batches):
+        for batch in batches:
+            found = [np.packbits(np.bincount(np.frombuffer(s.as_buffer(), np.uint64) % np.uint64(_SKETCH), minlength=_SKETCH) & 1).tobytes() for s in batch.column("shingles")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "sketch"])
+
+    return rows.mapInArrow(run, "node long, sketch binary")
+
+
 def _all_across(left: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a column that lie in different components, counted over the columns, tile by tile."""
+    """Pairs of a column in different components that sizes and sketches allow, counted over the columns, by tile."""
     side = F.greatest(F.lit(1), F.expr(f"(rows + {TILE - 1}) div {TILE}"))
     dealt = left.withColumn("side", side).withColumn("own", F.pmod(F.xxhash64("node"), F.col("side")))
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("side") - 1)))
-    tiles = tiles.select("run", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label")
+    tiles = tiles.select("run", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "sketch")
 
     def run(key, table):
         first, second = key[1].as_py(), key[2].as_py()
         own, node, n, label = (table.column(c).to_numpy() for c in ("own", "node", "n", "label"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), _SKETCH // 64)
         x, y = np.flatnonzero(own == first), np.flatnonzero(own == second)
-        out = [np.zeros((0, 2), np.int64)]
+        out, theirs = [np.zeros((0, 2), np.int64)], sketch[y]
         for i in x:
             fits = label[y] != label[i]
             if first == second:
                 fits &= y > i
-            small, large = np.minimum(n[y], n[i]), np.maximum(n[y], n[i])
-            j = y[fits & (100 * small >= percent * large)]
+            apart = np.bitwise_count(theirs ^ sketch[i]).sum(axis=1, dtype=np.int64)
+            j = y[fits & ((100 + percent) * apart <= (100 - percent) * (n[y] + n[i]))]
             out.append(np.stack([np.full(len(j), i), j], axis=1))
         i, j = np.concatenate(out).T
         return pa.table({"a": node[i], "na": n[i].astype(np.int32), "b": node[j], "nb": n[j].astype(np.int32)})
