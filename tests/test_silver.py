@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators.integrity import REASON
-from orderloom.plans import silver
+from orderloom.plans import runs, silver
 from orderloom.schemas import INGEST_TS, SILVER, contract
 from tests import shop
 from tests.shop import rows
@@ -38,7 +38,7 @@ def test_products(built):
 def test_orders_without_customer_or_key_are_rejected(built):
     ids = [r[0] for r in rows(built.read("silver_orders"), "order_id")]
     assert ids == [c[0] for c in shop.CASES.values()]
-    reasons = rows(built.read("silver_orders_rejected").groupBy(REASON).count())
+    reasons = rows(runs.quarantine(built, "silver_orders").groupBy(REASON).count())
     assert reasons == [("bad_number", 1), ("null_key", 1), ("orphan_customer", 1)]
 
 
@@ -50,12 +50,12 @@ def test_one_spelling_of_a_key_is_one_row(built):
 
 
 def test_broken_items_are_rejected_with_their_reason(built):
-    found = built.read("silver_order_items_rejected").groupBy(REASON).count()
+    found = runs.quarantine(built, "silver_order_items").groupBy(REASON).count()
     assert dict(rows(found)) == shop.BROKEN_REASONS
 
 
 def test_quarantine_holds_rows_as_they_landed(built):
-    kept = built.read("silver_order_items_rejected").where("order_item_id = '902'").first()
+    kept = runs.quarantine(built, "silver_order_items").where("order_item_id = '902'").first()
     assert (kept.unit_price, kept.line_status, kept.quantity) == ("ten", "PENDING", "1")
 
 
@@ -66,7 +66,7 @@ def test_silver_and_quarantine_are_all_of_bronze(built, table):
     key = SILVER[table].names[0]
     landed = bronze.select(F.col(key).try_cast("bigint").alias(key), INGEST_TS).collect()
     good = {r[0] for r in built.read(table).select(key).collect()}
-    bad = built.read(f"{table}_rejected").count()
+    bad = runs.quarantine(built, table).count()
     assert len({r[0] for r in landed if r[0] is not None} - good) + len([1 for r in landed if r[0] is None]) == bad
 
 
