@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedupe import latest_by_key
+from orderloom.operators.upsert import merged_rows
 from orderloom.plans import gold, reports, runs, silver
 from tests import shop
 
@@ -91,6 +92,22 @@ def test_dedupe_limits_a_hot_key_before_the_shuffle(spark):
     assert kept.ts == 999
 
 
+def test_report_from_the_fact_groups_by_number(built):
+    """Names ride along; the exchanges are keyed by product and order ids."""
+    with settings(built.spark, **NO_BROADCAST):
+        text = plan(reports.top_product_last_month_from_fact(built.read(runs.FACT)), "simple")
+    keys = [line.split("Exchange hashpartitioning(")[1].split("), ")[0] for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert keys and not any("sku" in k or "name" in k or "category" in k for k in keys)
+
+
+def test_upsert_shuffles_its_target_once(spark):
+    target = spark.range(0, 1000, 1, 4).selectExpr("id AS k", "'a' AS v")
+    changes = spark.range(0, 10, 1, 2).selectExpr("id AS k", "'b' AS v")
+    with settings(spark, **NO_BROADCAST):
+        text = plan(merged_rows(target, changes, ["k"]), "simple")
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("LeftAnti") == 1
+
+
 def test_status_counts_before_it_joins(built):
     with settings(built.spark, **NO_BROADCAST):
         text = plan(runs.order_statuses(built), "simple")
