@@ -35,6 +35,13 @@ _GZIP = 31
 _LEVEL = 4
 
 
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder; Spark writes local ones as file:/path as well as file:///path."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
 def _id(name) -> str:
     return f"<urn:page:{'' if name is None else name}>"
 
@@ -89,7 +96,7 @@ def write_archives(planned: DataFrame, folder: str, date: str = "2024-01-01T00:0
     ship(planned.sparkSession)
 
     def run(batches):
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = _store(folder)
         store.create_dir(root, recursive=True)
         done: list[tuple[str, int]] = []
         out = packer = None
@@ -198,8 +205,8 @@ def normalise(archives: DataFrame, source: str, target: str) -> DataFrame:
     ship(archives.sparkSession)
 
     def run(batches):
-        store, root = fs.FileSystem.from_uri(source)
-        out_store, out_root = fs.FileSystem.from_uri(target)
+        store, root = _store(source)
+        out_store, out_root = _store(target)
         out_store.create_dir(out_root, recursive=True)
         for batch in batches:
             for path in batch.column("path").to_pylist():
@@ -246,7 +253,7 @@ def read_records(normalised: DataFrame, folder: str) -> DataFrame:
         return _page(fields["warc-record-id"]), kind, None, fields["warc-target-uri"], payload, len(payload), hashlib.sha1(payload).hexdigest()
 
     def run(batches):
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = _store(folder)
 
         def flush(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
