@@ -131,7 +131,8 @@ def place(spark: SparkSession, cut: DataFrame, max_tokens: int = SEQUENCE) -> Da
     dealt = spark.createDataFrame(slots(patterns(histogram, max_tokens)), SLOTS)
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
-    ranked = cut.join(before, ["length", "task"]).withColumn("_rank", F.col("_before") + F.col("nth"))
+    # The counts grow with the number of tasks: never broadcast, whatever their file size suggests.
+    ranked = cut.join(before.hint("merge"), ["length", "task"]).withColumn("_rank", F.col("_before") + F.col("nth"))
     # The slots depend on the sequence length only, so they are small on any corpus.
     slot = F.broadcast(dealt.withColumnRenamed("length", "_length"))
     inside = F.col("_rank") - F.col("rank_from")
