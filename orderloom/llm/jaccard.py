@@ -407,30 +407,36 @@ def _sketches(rows: DataFrame) -> DataFrame:
 
 
 def _all_across(left: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a column in different components that sizes and sketches allow, counted over the columns, by tile."""
+    """Pairs of a column in different components that sizes and sketches allow, and how many columns they share.
+
+    A pair is looked at in every tile that holds both rows, and given in that of its first common column alone.
+    """
+    own = left.groupBy("node").agg(F.sort_array(F.collect_set("run")).alias("runs"))
     side = F.greatest(F.lit(1), F.expr(f"(rows + {TILE - 1}) div {TILE}"))
-    dealt = left.withColumn("side", side).withColumn("own", F.pmod(F.xxhash64("node"), F.col("side")))
+    dealt = left.join(own, "node").withColumn("side", side).withColumn("own", F.pmod(F.xxhash64("node"), F.col("side")))
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("side") - 1)))
-    tiles = tiles.select("run", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "sketch")
+    tiles = tiles.select("run", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "sketch", "runs")
 
     def run(key, table):
-        first, second = key[1].as_py(), key[2].as_py()
+        column, first, second = (k.as_py() for k in key)
         own, node, n, label = (table.column(c).to_numpy() for c in ("own", "node", "n", "label"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), _SKETCH // 64)
+        runs = [set(r) for r in table.column("runs").to_pylist()]
         x, y = np.flatnonzero(own == first), np.flatnonzero(own == second)
-        out, theirs = [np.zeros((0, 2), np.int64)], sketch[y]
-        for i in x:
+        theirs, found = sketch[y], []
+        for i in x.tolist():
             fits = label[y] != label[i]
             if first == second:
                 fits &= y > i
             apart = np.bitwise_count(theirs ^ sketch[i]).sum(axis=1, dtype=np.int64)
-            j = y[fits & ((100 + percent) * apart <= (100 - percent) * (n[y] + n[i]))]
-            out.append(np.stack([np.full(len(j), i), j], axis=1))
-        i, j = np.concatenate(out).T
-        return pa.table({"a": node[i], "na": n[i].astype(np.int32), "b": node[j], "nb": n[j].astype(np.int32)})
-
-    pairs = _ordered(tiles.groupBy("run", "i", "j").applyInArrow(run, "a long, na int, b long, nb int"))
-    return pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("c"))
+            for j in y[fits & ((100 + percent) * apart <= (100 - percent) * (n[y] + n[i]))].tolist():
+                common = runs[i] & runs[j]
+                if min(common) == column:
+                    found.append((i, j, len(common)))
+        i, j, c = np.array(found, np.int64).reshape(-1, 3).T
+        return pa.table({"a": node[i], "na": n[i].astype(np.int32), "b": node[j], "nb": n[j].astype(np.int32), "c": c})
+
+    return _ordered(tiles.groupBy("run", "i", "j").applyInArrow(run, "a long, na int, b long, nb int, c long"))
 
 
 def document_classes(found: Similar) -> DataFrame:
