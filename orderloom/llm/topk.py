@@ -22,6 +22,8 @@ from orderloom.llm.common import Staged, only, ship
 SCALE, LEVELS = 256, (1, 4, 16)
 #: Queries and candidates in a block, and queries that are bounded at once.
 QUERIES, CANDIDATES, AT_ONCE = 8192, 2048, 512
+#: Share of pairs left from which a level is computed for all pairs at once.
+DENSE = 0.05
 
 
 def _blocks(vectors: DataFrame, size: int) -> DataFrame:
@@ -79,21 +81,41 @@ def best(queries: np.ndarray, query_ids: np.ndarray, values: np.ndarray, ids: np
         slack = 1e-9 * norm * np.sqrt((part * part).sum(axis=1)) + 1e-6
         bound = stats[0] @ fine[0].T
         bound[query_ids[low : low + AT_ONCE, None] == ids[None, :]] = -np.inf
-        beat = np.full(len(part), -np.inf)
-        if len(values) > k:
-            seeds = np.argpartition(-bound, k - 1, axis=1)[:, :k]
-            scores = np.einsum("ij,ikj->ik", whole, exact[seeds]).astype(np.float64)
-            scores[np.take_along_axis(bound, seeds, axis=1) == -np.inf] = -np.inf
-            beat = scores.min(axis=1)
-        q, x = np.nonzero((bound >= (beat - slack)[:, None]) & (bound > -np.inf))
-        for mine, theirs in zip(stats[1:], fine[1:]):
+        beat = np.full((len(part), 1), -np.inf)
+        alive = bound > -np.inf
+        # While many pairs are left, a level is one matrix product; then only the pairs left are bounded.
+        level = 0
+        while True:
+            if len(values) > k:
+                seeds = np.argpartition(-np.where(alive, bound, -np.inf), k - 1, axis=1)[:, :k]
+                scores = np.einsum("ij,ikj->ik", whole, exact[seeds]).astype(np.float64)
+                scores[~np.take_along_axis(alive, seeds, axis=1)] = -np.inf
+                beat = np.maximum(beat, scores.min(axis=1, keepdims=True))
+            alive &= bound >= beat - slack[:, None]
+            level += 1
+            if level == len(LEVELS) or np.count_nonzero(alive) < DENSE * alive.size:
+                break
+            bound = stats[level] @ fine[level].T
+        many = np.count_nonzero(alive) >= DENSE * alive.size
+        if many:
+            # Scores of all pairs; those from a query's k-th best on are kept, ties included.
+            scores = whole @ exact.T
+            least = -np.inf if scores.dtype.kind == "f" else np.iinfo(scores.dtype).min
+            scores = np.where(alive, scores, least)
+            if len(values) > k:
+                alive &= scores >= np.partition(scores, len(values) - k, axis=1)[:, len(values) - k, None]
+        q, x = np.nonzero(alive)
+        for mine, theirs in zip(stats[level:], fine[level:]):
             keep = np.concatenate([np.zeros(0, bool)] + [
-                np.einsum("ij,ij->i", mine[q[i : i + 100_000]], theirs[x[i : i + 100_000]]) >= (beat - slack)[q[i : i + 100_000]] for i in range(0, len(q), 100_000)
+                np.einsum("ij,ij->i", mine[q[i : i + 100_000]], theirs[x[i : i + 100_000]]) >= (beat[:, 0] - slack)[q[i : i + 100_000]] for i in range(0, len(q), 100_000)
             ])
             q, x = q[keep], x[keep]
-        score = np.concatenate([np.zeros(0, np.int64)] + [
-            np.einsum("ij,ij->i", whole[q[i : i + 100_000]], exact[x[i : i + 100_000]]).astype(np.int64) for i in range(0, len(q), 100_000)
-        ])
+        if many:
+            score = scores[q, x].astype(np.int64)
+        else:
+            score = np.concatenate([np.zeros(0, np.int64)] + [
+                np.einsum("ij,ij->i", whole[q[i : i + 100_000]], exact[x[i : i + 100_000]]).astype(np.int64) for i in range(0, len(q), 100_000)
+            ])
         order = np.lexsort((ids[x], -score, q))
         q, x, score = q[order], x[order], score[order]
         first = np.searchsorted(q, q, side="left")
