@@ -19,7 +19,7 @@ class UpsertResult:
     """Partitions that were rewritten, and the keys whose rows changed partition.
 
     `moved` is a table under `_kept` of the lake's root, or None; whoever asked for it by
-    `before_swap` removes it once its rows are dealt with.
+    `keep_moved` removes it once its rows are dealt with.
     """
 
     touched: list[dt.date | None]
@@ -40,6 +40,7 @@ def upsert(
     partition_by: str | None = None,
     newest: str | None = None,
     before_swap: Callable[[UpsertResult], None] | None = None,
+    keep_moved: bool = False,
 ) -> UpsertResult:
     """Update rows whose key exists, insert the others; `source` has one row per key.
 
@@ -48,7 +49,8 @@ def upsert(
     may then arrive late, twice, and in any order. Rows that the target has already change
     nothing. A partitioned table is read by key once to find the partitions that hold
     matching rows; only these are rewritten. `before_swap` is told what is about to change
-    before any of it can be seen.
+    before any of it can be seen; with `keep_moved` that includes a table of the keys that change
+    partition.
     """
     tell = before_swap or (lambda _: None)
     lake.recover(table)
@@ -77,7 +79,7 @@ def upsert(
         both = changes.select(partition_by).union(left.select(old))
         touched = partition_values(both, partition_by)
         moved = None
-        if before_swap is not None and not left.isEmpty():
+        if keep_moved and not left.isEmpty():
             moved = f"{table}-moved-{uuid.uuid4().hex}"
             left.select(*keys, partition_by, old).write.parquet(lake.kept_path(moved))
         result = UpsertResult(touched, moved)

@@ -136,11 +136,12 @@ def _upsert(lake: Lake, table: str, rows: DataFrame, newest: str | None) -> set[
     def tell(change: UpsertResult) -> None:
         if SILVER_LAYOUT[table] and change.touched:
             lake.note("months", [m and m.isoformat() for m in change.touched])
-        if table == "silver_orders" and change.moved:
+        if change.moved:
             lake.note("moved", change.moved)
 
-    key, layout = SILVER_KEYS[table], SILVER_LAYOUT[table]
-    return set(upsert(lake, table, rows, key, layout, newest, before_swap=tell).touched)
+    key, layout, orders = SILVER_KEYS[table], SILVER_LAYOUT[table], table == "silver_orders"
+    done = upsert(lake, table, rows, key, layout, newest, before_swap=tell, keep_moved=orders)
+    return set(done.touched)
 
 
 def _waiting_for(lake: Lake, child: str, key: str, parents: DataFrame) -> DataFrame:

@@ -192,7 +192,7 @@ def test_moved_rows_are_told_before_the_swap(spark, new_lake):
         told.append((change.touched, rows(lake.read(T), "k", "m")))
         told.append(rows(spark.read.parquet(lake.kept_path(change.moved)), "k", "_old_m", "m"))
 
-    upsert(lake, T, table(spark, (1, "a", 2, MAR)), ["k"], "m", "ts", before_swap=tell)
+    upsert(lake, T, table(spark, (1, "a", 2, MAR)), ["k"], "m", "ts", before_swap=tell, keep_moved=True)
     assert told == [([JAN, MAR], [(1, JAN), (2, FEB)]), [(1, JAN, MAR)]]
 
 
