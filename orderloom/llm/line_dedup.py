@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import CHUNK_CHARS, Staged, only, ship, texts_of
+from orderloom.llm.common import CHUNK_CHARS, Staged, ship, texts_of
 from orderloom.llm.components import components
 from orderloom.llm.shingles import mix, powers
 
