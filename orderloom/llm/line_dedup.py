@@ -10,7 +10,9 @@ A segment that very many lines share (a passage with one changed word in each co
 lines are linked to one of them; of the lines that lie in different classes afterwards, pairs are looked at in
 tiles of bounded size, where counts of characters rule most of them out before they are verified.
 
-Lines are compared without surrounding white space; lines of fewer than LEAST characters are left alone.
+Lines are compared without surrounding white space. Lines of fewer than LEAST characters, of which two edits are a
+large part, are the same only if they are equal: they are grouped by their hash and take no part in the join. Lines
+of white space alone are left alone.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from orderloom.llm.common import CHUNK_CHARS, Staged, ship, texts_of
 from orderloom.llm.components import components
 from orderloom.llm.shingles import mix, powers
 
-#: Edits within which lines are the same, and characters that a line must have.
+#: Edits within which lines are the same, and characters from which edits are allowed.
 EDITS, LEAST = 2, 24
 #: Lines of a segment that are paired one by one; postings in a block; lines on a side of a tile; pairs verified at once.
 SHORT, BLOCK, TILE, AT_ONCE = 24, 1_500_000, 2_000, 4096
@@ -37,8 +39,8 @@ def node_of(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def lines_of(text: str, least: int = LEAST) -> list[tuple[int, str]]:
-    """Number and stripped text of the lines that are looked at."""
+def lines_of(text: str, least: int = 1) -> list[tuple[int, str]]:
+    """Number and stripped text of the lines of so many characters, by default of all that are not blank."""
     return [(i, s) for i, line in enumerate(text.split("\n")) if len(s := line.strip()) >= least]
 
 
@@ -123,7 +125,7 @@ def within(left: list[str], right: list[str], edits: int = EDITS) -> np.ndarray:
     return result
 
 
-def _survey(docs: DataFrame, least: int) -> DataFrame:
+def _survey(docs: DataFrame) -> DataFrame:
     """doc_id, version (hash of the text), and numbers and nodes of the lines looked at."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "version", "numbers", "nodes"]
@@ -132,7 +134,7 @@ def _survey(docs: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             numbers, nodes = [], []
             for text in texts_of(batch.column("text")):
-                found = lines_of(text, least)
+                found = lines_of(text)
                 numbers.append([i for i, _ in found])
                 nodes.append([node_of(s) for _, s in found])
             columns = [batch.column("doc_id"), batch.column("version"), pa.array(numbers, pa.list_(pa.int32())), pa.array(nodes, pa.list_(pa.int64()))]
@@ -313,7 +315,7 @@ def _across(left: DataFrame, edits: int) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, staged: Staged, edits: int = EDITS, least: int = LEAST, short: int = SHORT) -> DataFrame:
     """doc_id, version, drop (numbers of the lines to leave out, null if none), n_lines, of (doc_id, text, version)."""
-    survey = staged.write("survey", _survey(docs, least))
+    survey = staged.write("survey", _survey(docs))
     spots = survey.select("doc_id", "version", F.explode(F.arrays_zip("numbers", "nodes")).alias("z")).select("doc_id", "version", F.col("z.numbers").alias("number"), F.col("z.nodes").alias("node"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "number")
     first = staged.write("first", spots.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")))
@@ -347,6 +349,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, staged: Staged, edits:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST, short: int = SHORT) -> DataFrame:
     """`docs` without lines that another document, or an earlier line of the same one, has within `edits` edits.
 
+    Lines of fewer than `least` characters go only where they are repeated exactly; blank lines stay.
     All columns stay, in order, and _lines_seen and _lines_dropped are added: lines that were looked at and lines
     left out. Of each class of linked lines the first place stays, by identifier, then number in the text. Null and empty texts stay as
     they are. Rows that repeat both identifier and text are treated alike. An empty table stays empty.

@@ -230,6 +230,15 @@ def test_repeated_lines_equal_a_plain_version(spark, short):
     assert len(got) == len(rows)
 
 
+def test_short_lines_go_where_they_are_repeated_exactly(spark):
+    licence = "All rights reserved."
+    near = ["x" * 23, "x" * 22 + "y"]  # within two edits, but too short for edits to count
+    texts = [f"{licence}\nfirst\n\n{near[0]}", f"  {licence}\r\nsecond\n\n\n{near[1]}", f"third\n{licence}\nthird", licence, f"{near[0]}\n\n "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.text, r._lines_seen, r._lines_dropped) for r in line_dedup.drop_repeated_lines(spark, docs).collect()}
+    assert got == {0: (texts[0], 3, 0), 1: (f"second\n\n\n{near[1]}", 3, 1), 2: ("third", 3, 2), 3: ("", 1, 1), 4: ("\n ", 1, 1)}
+
+
 def test_repeated_lines_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert line_dedup.drop_repeated_lines(spark, docs).count() == 0
