@@ -8,7 +8,9 @@ a banded, bit-parallel edit distance, many pairs at once.
 
 A segment that very many lines share (a passage with one changed word in each copy) is not multiplied out. Its
 lines are linked to one of them; of the lines that lie in different classes afterwards, pairs are looked at in
-tiles of bounded size, where counts of characters rule most of them out before they are verified.
+tiles of bounded size, where counts of characters rule most of them out before they are verified. The lines of a
+segment with more than HOT of them are dealt to several tasks. Such segments are told from the lines whose hash is a
+multiple of SAMPLE; a wrong count makes a task larger or smaller and never loses a link.
 
 Lines are compared without surrounding white space. Lines of fewer than LEAST characters, of which two edits are a
 large part, are the same only if they are equal: they are grouped by their hash and take no part in the join. Lines
@@ -17,6 +19,8 @@ of white space alone are left alone.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,6 +35,8 @@ from orderloom.llm.shingles import mix, powers
 EDITS, LEAST = 2, 24
 #: Lines of a segment that are paired one by one; postings in a block; lines on a side of a tile; pairs verified at once.
 SHORT, BLOCK, TILE, AT_ONCE = 24, 1_500_000, 2_000, 4096
+#: Lines of a segment in one task, and of how many lines one is counted to find the segments with more.
+HOT, SAMPLE = 500_000, 256
 _BITS = 1 << 24
 _BINS = 32
 
@@ -125,26 +131,59 @@ def within(left: list[str], right: list[str], edits: int = EDITS) -> np.ndarray:
     return result
 
 
-def _survey(docs: DataFrame) -> DataFrame:
-    """doc_id, version (hash of the text), and numbers and nodes of the lines looked at."""
+_SAMPLED = pa.struct([("key", pa.int64()), ("node", pa.int64()), ("own", pa.bool_())])
+
+
+def _survey(docs: DataFrame, edits: int, least: int) -> DataFrame:
+    """doc_id, version (hash of the text), numbers and nodes of the lines looked at, and the postings of sampled lines."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "version", "numbers", "nodes"]
+    names = ["doc_id", "version", "numbers", "nodes", "sampled"]
+    every = SAMPLE
 
     def run(batches):
         for batch in batches:
-            numbers, nodes = [], []
-            for text in texts_of(batch.column("text")):
+            numbers, nodes, sampled = [], [], []
+            lines, at = [], []
+            for row, text in enumerate(texts_of(batch.column("text"))):
                 found = lines_of(text)
                 numbers.append([i for i, _ in found])
                 nodes.append([node_of(s) for _, s in found])
-            columns = [batch.column("doc_id"), batch.column("version"), pa.array(numbers, pa.list_(pa.int32())), pa.array(nodes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                sampled.append([])
+                for (_, line), node in zip(found, nodes[-1]):
+                    if node % every == 0 and len(line) >= least:
+                        lines.append(line)
+                        at.append((row, node))
+            if lines:
+                for key, k, own in zip(*(x.tolist() for x in postings(lines, edits, least))):
+                    row, node = at[k]
+                    sampled[row].append({"key": key - (1 << 64) if key >> 63 else key, "node": node, "own": own})
+            columns = [pa.array(numbers, pa.list_(pa.int32())), pa.array(nodes, pa.list_(pa.int64())), pa.array(sampled, pa.list_(_SAMPLED))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), *columns], names)
+
+    return docs.mapInArrow(run, f"doc_id {kind}, version long, numbers array<int>, nodes array<long>, sampled array<struct<key long, node long, own boolean>>")
 
-    return docs.mapInArrow(run, f"doc_id {kind}, version long, numbers array<int>, nodes array<long>")
 
+@dataclass
+class _Hot:
+    """Segments with very many lines, by key: tasks of each, tasks of those before it, and a line that posted it, if known."""
 
-def _posted(docs: DataFrame, edits: int, least: int, blocks: int) -> DataFrame:
-    """Postings of the distinct lines of each task by block, as parallel arrays."""
+    keys: np.ndarray
+    salts: np.ndarray
+    before: np.ndarray
+    centres: dict[int, int]
+
+
+def _hot(survey: DataFrame) -> _Hot:
+    """At most one segment per HOT postings: a small part of the table of segments."""
+    seen = survey.select(F.explode("sampled").alias("s")).select("s.*").groupBy("key", "node").agg(F.max("own").alias("own"))
+    counted = seen.groupBy("key").agg(F.count("*").alias("n"), F.min(F.when(F.col("own"), F.col("node"))).alias("centre"))
+    rows = sorted((r["key"] % (1 << 64), -(-r["n"] * SAMPLE // HOT), r["centre"]) for r in counted.where(F.col("n") * SAMPLE > HOT).collect())
+    salts = np.array([r[1] for r in rows], np.int64)
+    return _Hot(np.array([r[0] for r in rows], np.uint64), salts, np.cumsum(salts) - salts, {r[0]: r[2] for r in rows if r[2] is not None})
+
+
+def _posted(docs: DataFrame, edits: int, least: int, blocks: int, hot: _Hot) -> DataFrame:
+    """Postings of the distinct lines of each task by block, as parallel arrays. Blocks from `blocks` on hold a share of one hot segment."""
 
     def run(batches):
         seen: set[int] = set()
@@ -156,11 +195,15 @@ def _posted(docs: DataFrame, edits: int, least: int, blocks: int) -> DataFrame:
             key, row, own = postings(lines, edits, least)
             node = np.array(nodes, np.int64)[row]
             block = (key >> np.uint64(33)).astype(np.int64) % blocks
+            if len(hot.keys):
+                place = np.minimum(np.searchsorted(hot.keys, key), len(hot.keys) - 1)
+                share = (mix(node.view(np.uint64)) % hot.salts[place].astype(np.uint64)).astype(np.int64)
+                block = np.where(hot.keys[place] == key, blocks + hot.before[place] + share, block)
             order = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order])) + 1
             parts = np.split(order, cuts)
             return pa.RecordBatch.from_arrays(
-                [pa.array([int(block[p[0]]) for p in parts], pa.int32()), *(pa.array([c[p].tobytes() for p in parts], pa.binary()) for c in (key, node, own))],
+                [pa.array([int(block[p[0]]) for p in parts], pa.int64()), *(pa.array([c[p].tobytes() for p in parts], pa.binary()) for c in (key, node, own))],
                 ["block", "key", "node", "own"],
             )
 
@@ -181,15 +224,18 @@ def _posted(docs: DataFrame, edits: int, least: int, blocks: int) -> DataFrame:
         if lines:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, "block int, key binary, node binary, own binary")
+    return docs.select("text").mapInArrow(run, "block long, key binary, node binary, own binary")
 
 
 _FOUND = "kind int, a long, b long, own boolean"
 _PAIR, _LONG = 0, 1
 
 
-def _meet(short: int):
-    """Candidates of one block. Rows: _PAIR a, b; _LONG a (key), b (line), own for segments with many lines."""
+def _meet(short: int, blocks: int, hot: _Hot):
+    """Candidates of one block. Rows: _PAIR a, b; _LONG a (key), b (line), own for segments with many lines.
+
+    The tasks of a hot segment link their lines to the same centre where one is known, and give all of them as _LONG.
+    """
 
     def run(key, table):
         join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
@@ -202,21 +248,29 @@ def _meet(short: int):
         start = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
         length = np.diff(np.concatenate([start, [len(node)]]))
         used = (length > 1) & np.logical_or.reduceat(own, start)
+        most = short
+        if key[0].as_py() >= blocks:
+            used, most = np.ones(len(start), bool), 0
         out = [np.zeros((0, 2), np.int64)]
-        for r in np.unique(length[used & (length <= short)]).tolist():
+        for r in np.unique(length[used & (length <= most)]).tolist():
             left, right = np.triu_indices(r, 1)
             at = start[used & (length == r), None]
             i, j = (at + left).ravel(), (at + right).ravel()
             fits = own[i] | own[j]
             out.append(np.stack([node[i[fits]], node[j[fits]]], axis=1))
         longs = [np.zeros(0, np.int64)]
-        for head, size in zip(start[used & (length > short)].tolist(), length[used & (length > short)].tolist()):
+        for head, size in zip(start[used & (length > most)].tolist(), length[used & (length > most)].tolist()):
             # The smallest line of the segment is its centre; lines that only probe must meet one that posted.
             rows = np.arange(head, head + size)
-            centre = rows[own[rows]][0]
-            others = rows[rows != centre]
-            out.append(np.sort(np.stack([np.full(len(others), node[centre]), node[others]], axis=1), axis=1))
             longs.append(rows)
+            posted = rows[own[rows]]
+            centre = hot.centres.get(int(segment[head])) if not most else None
+            if centre is None:
+                if not len(posted):
+                    continue
+                centre = node[posted[0]]
+            others = node[rows][node[rows] != centre]
+            out.append(np.sort(np.stack([np.full(len(others), centre, np.int64), others], axis=1), axis=1))
         pairs = np.unique(np.concatenate(out), axis=0)
         rows = np.concatenate(longs)
         count, more = len(pairs), len(rows)
@@ -315,13 +369,14 @@ def _across(left: DataFrame, edits: int) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, staged: Staged, edits: int = EDITS, least: int = LEAST, short: int = SHORT) -> DataFrame:
     """doc_id, version, drop (numbers of the lines to leave out, null if none), n_lines, of (doc_id, text, version)."""
-    survey = staged.write("survey", _survey(docs))
+    survey = staged.write("survey", _survey(docs, edits, least))
     spots = survey.select("doc_id", "version", F.explode(F.arrays_zip("numbers", "nodes")).alias("z")).select("doc_id", "version", F.col("z.numbers").alias("number"), F.col("z.nodes").alias("node"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "number")
     first = staged.write("first", spots.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")))
     probes = (edits + 1) * (edits + 2)
     blocks = max(6, -(-first.count() * probes // BLOCK))
-    found = staged.write("found", _posted(docs, edits, least, blocks).groupBy("block").applyInArrow(_meet(short), _FOUND))
+    hot = _hot(survey)
+    found = staged.write("found", _posted(docs, edits, least, blocks, hot).groupBy("block").applyInArrow(_meet(short, blocks, hot), _FOUND))
     longs = staged.write("long", found.where(F.col("kind") == _LONG).groupBy(F.col("a").alias("run"), F.col("b").alias("node")).agg(F.max("own").alias("own")))
     pairs = staged.write("pairs-1", found.where(F.col("kind") == _PAIR).select("a", "b").distinct())
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(longs.select("node")).distinct()
@@ -329,7 +384,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, staged: Staged, edits:
     links = staged.write("links-1", _verify(pairs, lines, edits))
     classes = components(staged, links, "classes-1")
     labelled = longs.join(classes, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    mixed = labelled.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows")).where("low <> high")
+    mixed = labelled.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows"), F.max("own").alias("posted")).where("low <> high and posted")
     left = staged.write("mixed", labelled.join(mixed.select("run", "rows"), "run").join(_counts(lines), "node"))
     if not left.isEmpty():
         more = staged.write("pairs-2", _across(left, edits).join(pairs, ["a", "b"], "left_anti"))

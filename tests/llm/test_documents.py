@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,6 +240,39 @@ def test_short_lines_go_where_they_are_repeated_exactly(spark):
     assert got == {0: (texts[0], 3, 0), 1: (f"second\n\n\n{near[1]}", 3, 1), 2: ("third", 3, 2), 3: ("", 1, 1), 4: ("\n ", 1, 1)}
 
 
+def test_lines_of_one_template_are_dealt_to_several_tasks(spark, monkeypatch):
+    rng = random.Random(11)
+    template = "entry %s of the very long common template that all of these lines share"
+    lines = [template % "".join(rng.choice("0123456789") for _ in range(n)) for n in (8, 8, 8, 9) for _ in range(60)]
+    lines += [_edited(rng, x, "xyz", 3) for x in lines[:80]]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").repartition(3)
+    read = lambda: sorted((r.doc_id, r.text, r._lines_dropped) for r in line_dedup.drop_repeated_lines(spark, docs).collect())
+    whole = read()
+    monkeypatch.setattr(line_dedup, "HOT", 40)
+    monkeypatch.setattr(line_dedup, "TILE", 30)
+    plain = line_dedup._Hot(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), {})
+
+    def largest(*args):
+        posted = line_dedup._posted(docs.select("text"), 2, 24, 6, *args)
+        counts = Counter()
+        for r in posted.collect():
+            for key in np.frombuffer(r.key, np.uint64).tolist():
+                counts[r.block, key] += 1
+        return max(counts.values())
+
+    slim = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
+    assert largest(plain) > 200
+    # With a sample the count is only roughly known; the result is the same.
+    monkeypatch.setattr(line_dedup, "SAMPLE", 4)
+    hot = line_dedup._hot(line_dedup._survey(slim, 2, 24))
+    assert len(hot.keys) and hot.salts.max() > 1
+    assert largest(hot) < 100
+    assert read() == whole
+    # Shares without a known centre, or without a line that posted, lose nothing.
+    monkeypatch.setattr(line_dedup, "_hot", lambda survey: line_dedup._Hot(hot.keys, hot.salts, hot.before, {}))
+    assert read() == whole
+
+
 def test_repeated_lines_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert line_dedup.drop_repeated_lines(spark, docs).count() == 0
