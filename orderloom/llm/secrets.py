@@ -23,6 +23,8 @@ _HEX = re.compile(r"[0-9a-f]{32,}+")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})PRIVATE KEY-----([A-Za-z0-9+/=\s\\]+)-----END ")
 _PEM_END = re.compile(r"[A-Z0-9 ]{0,40}PRIVATE KEY-----")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}+={0,2}")
+# A first byte of 0x30, the tag of a sequence of any length, or the start of the OpenSSH magic.
+_KEY_START = re.compile(r"M[A-P]|b3BlbnNza")
 _HEX_KEY = re.compile(r"30(?:8[12])?[0-9a-fA-F]{60,}+")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]*+")
 _SSH_MAGIC = b"openssh-key-v1\0"
@@ -127,7 +129,7 @@ def _structural(text: str) -> list[Span]:
     inside = lambda a, b: any(x <= a and b <= y for _, x, y, _ in found)
     for match in _BASE64.finditer(text):
         run = match.group()
-        if not run.startswith(("MI", "MF", "MC", "ME", "MH", "b3BlbnNza")) or inside(*match.span()):
+        if not _KEY_START.match(run) or inside(*match.span()):
             continue
         data = _decode(run)
         if data and is_private_key(data):

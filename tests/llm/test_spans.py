@@ -100,6 +100,25 @@ def test_keys_and_tokens_are_confirmed_by_structure():
         assert kinds(text) == []
 
 
+def test_short_keys_are_confirmed_by_structure():
+    rng = random.Random(9)
+    p224, p256, secp256k1 = b"\x2b\x81\x04\x00\x21", b"\x2a\x86\x48\xce\x3d\x03\x01\x07", b"\x2b\x81\x04\x00\x0a"
+    sec1 = lambda size, curve, public=b"": _der(0x30, _der(2, b"\1") + _der(4, rng.randbytes(size)) + _der(0xA0, _der(6, curve)) + public)
+    inner = _der(0x30, _der(2, b"\1") + _der(4, rng.randbytes(32)))
+    ec = _der(0x30, _der(6, b"\x2a\x86\x48\xce\x3d\x02\x01") + _der(6, secp256k1))
+    keys = {"MDECAQEE": sec1(32, p256), "MD4CAQAw": _der(0x30, _der(2, b"\0") + ec + _der(4, inner)), "MGgCAQEE": sec1(28, p224, _der(0xA1, _der(3, b"\0\4" + rng.randbytes(56))))}
+    for start, key in keys.items():
+        for encoded in (base64.b64encode(key).decode(), base64.urlsafe_b64encode(key).decode()):
+            assert encoded.startswith(start)
+            assert [s for s in secrets.find(f"x {encoded} y") if not s[3]] == [("der", 2, 2 + len(encoded), False)]
+    # Sequences of every length that one byte can tell, and the same cut short or filled up.
+    for size in range(40, 124):
+        key = _der(0x30, _der(2, b"\1") + _der(4, rng.randbytes(size - 5)))
+        assert [k for k, _, _, base in secrets.find(base64.b64encode(key).decode()) if not base] == ["der"]
+        for other in (key[:-1], key + b"\0"):
+            assert [k for k, _, _, base in secrets.find(base64.b64encode(other).decode()) if not base] == []
+
+
 def test_long_runs_take_linear_time():
     start = time.process_time()
     for text in ("1" * 200_000, "a" * 200_000, "1." * 100_000, "+" + "1" * 200_000, "+1 " * 60_000, "a@" * 100_000, "ey" * 100_000, "3082" * 60_000, "token " * 30_000, "-----BEGIN PRIVATE KEY-----" * 8000, "one " * 50_000):
