@@ -49,7 +49,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), added=packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
     digest = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(spark, digest).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

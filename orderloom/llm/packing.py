@@ -11,7 +11,11 @@ so that no task holds a whole length), and the number tells the sequence and the
 from __future__ import annotations
 
 import heapq
+import json
+import re
 from collections import defaultdict
+from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.bpe import vocabulary
+from orderloom.llm.bpe import Vocabulary, vocabulary
 from orderloom.llm.common import Staged, chunks, id_text, texts_of
 
 SEQUENCE = 2048
@@ -30,9 +34,32 @@ END_ID = 1
 SLOTS = "length long, rank_from long, rank_to long, sequence_from long, offset_from long, copies long"
 
 
-def pieces(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
+def added_tokens(json_path: str) -> dict[str, int]:
+    """Text and id of the added tokens of a `tokenizers` file, which that library matches in texts before all else."""
+    found = json.loads(Path(json_path).read_text(encoding="utf-8"))["added_tokens"]
+    for token in found:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} asks for more than a plain match")
+    return {token["content"]: token["id"] for token in found}
+
+
+def _encode(words: Vocabulary, texts: list[str], added: dict[str, int]) -> Iterator[bytes]:
+    """The ids of every text; added tokens get their own id, and what lies between them is encoded by itself."""
+    if not added:
+        yield from (packed for packed, _, _ in words.encode(texts))
+        return
+    marks = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+    cuts = [marks.split(text) for text in texts]
+    packed = (ids for ids, _, _ in words.encode([part for cut in cuts for part in cut[::2]]))
+    for cut in cuts:
+        yield b"".join(np.uint32(added[part]).tobytes() if i % 2 else next(packed) for i, part in enumerate(cut))
+
+
+def pieces(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = SEQUENCE, end_id: int = END_ID, added: dict[str, int] | None = None) -> DataFrame:
     """Every document's ids, ended by `end_id` and cut into pieces of at most `max_tokens`.
 
+    Texts of the tokens in `added` become their ids; without it they are encoded as ordinary text.
+
     Columns: doc_id, start, length, doc_tokens, ids (binary, little-endian unsigned 32-bit), and task and
     nth, which number the pieces of a length within the task. A null or empty text gives the end id alone.
     """
@@ -50,7 +77,7 @@ def pieces(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
             row = 0
             for start, end in chunks(texts):
                 rows, cut = [], []
-                for packed, _, _ in words.encode(texts[start:end]):
+                for packed in _encode(words, texts[start:end], added or {}):
                     packed += last
                     for at in range(0, len(packed), size):
                         part = packed[at : at + size]

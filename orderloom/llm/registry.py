@@ -21,7 +21,7 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = packing.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    cut = packing.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), added=packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
     digest = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(spark, digest).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

@@ -106,6 +106,23 @@ def test_packing_is_gapless_and_whole(spark):
     assert packing.place(spark, packing.pieces(docs.limit(0), RANKS)).count() == 0
 
 
+def test_queries_match_added_tokens_as_the_library_does(spark, tmp_path):
+    import corpus_pipeline
+    from orderloom.llm import registry
+
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} x", mark, f"{mark}{mark} b's", f"\n {mark}\n{mark[:-1]}", f"{mark}é" * 600, f"<{mark}>", "plain", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = {i: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for i, t in enumerate(texts)}
+    assert ids[0].tolist() == [64, 220, 50256, 2124, 1]
+    for placed in (registry.queries()["op1_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, "")):
+        rows = placed.collect()
+        assert all(zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in rows)
+        assert all(r.doc_tokens == len(ids[r.doc_id]) for r in rows) and sum(r.length for r in rows) == sum(map(len, ids.values()))
+
+
 def test_query_agrees_with_the_library(spark):
     from orderloom.llm import registry
 
