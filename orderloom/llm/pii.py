@@ -51,7 +51,7 @@ def _glyphs() -> dict[str, str]:
 _GLYPHS = _glyphs()
 _TOKEN = re.compile(
     r"\x20?[\[({<]\x20?(?P<boxed>at|dot)\x20?[\])}>]\x20?"
-    r"|(?<![^\W_])(?P<word>at|dot|plus|" + "|".join(_WORDS) + r")(?![^\W_])"
+    r"|(?<![^\W_])(?P<word>(?a:at|dot|plus|" + "|".join(_WORDS) + r"))(?![^\W_])"
     r"|[" + "".join(map(re.escape, _GLYPHS)) + r"]",
     re.IGNORECASE,
 )
@@ -165,22 +165,35 @@ def normalise(text: str) -> tuple[str, list[int], list[tuple[int, int]], list[tu
 
 _GLYPH = re.compile("[" + "".join(map(re.escape, _GLYPHS)) + "]")
 _BOXED = re.compile(r"[\[({<]\x20?(?:at|dot)\x20?[\])}>]")
-_DIGIT_WORD = "(?:" + "|".join(_WORDS) + ")"
-_SPELLED = re.compile(rf"(?<![^\W_]){_DIGIT_WORD}(?:[\x20-]{{1,2}}{_DIGIT_WORD}){{3}}(?![^\W_])")
+_DIGIT_WORD = r"(?<![^\W_])(?:" + "|".join(_WORDS) + r")(?![^\W_])"
+_SPELLED = re.compile(_DIGIT_WORD)
+_NEXT = re.compile(rf"(?:[\x20-]{{1,2}}|\.)(?:[0-9]|{_DIGIT_WORD})")
+_LED = re.compile(rf"\+[\x20().0-9-]*+{_DIGIT_WORD}")
+_PLUS = re.compile(rf"plus[\x20-]{{1,2}}(?:[0-9]|{_DIGIT_WORD})")
 # Endings of addresses that are believed where "at" and "dot" are plain words.
 _ENDINGS = frozenset("com org net edu gov mil int info biz name io co ai dev app me tv eu us uk de fr es it nl ch at be pl se no dk fi pt ie ca au nz jp cn in br mx ru".split())
 
 
 def _worth(text: str) -> bool:
-    """Whether the text may hold a disguise, told by searches that are cheap on ordinary prose."""
+    """Whether the text may hold a disguise: whatever `_disguised` can find meets one of these conditions.
+
+    A span holds a rewritten piece. Look-alikes, boxes and "dot" as a word are looked for as such, and "at" as a word
+    counts only with a "dot". A "plus" must precede a number. A digit word lies in a chain of digits, or behind a "+".
+    """
     low = text.lower()
-    if " dot " in low and ("@" in low or " at " in low or low.count(" dot ") >= 3):
+    if " dot " in low or (" at " in low and "dot" in low):
         return True
     if not text.isascii() and _GLYPH.search(text):
         return True
     if any(c in low for c in "[({<") and _BOXED.search(low):
         return True
-    return _SPELLED.search(low) is not None
+    if ("+" in low and _LED.search(low)) or ("plus" in low and _PLUS.search(low)):
+        return True
+    for match in _SPELLED.finditer(low):
+        start = match.start()
+        if _NEXT.match(low, match.end()) or (start > 1 and low[start - 1] in " -." and low[start - 2] in "0123456789"):
+            return True
+    return False
 
 
 def _disguised(text: str) -> list[tuple[str, int, int]]:

@@ -72,6 +72,36 @@ def test_disguises(text, kind, source):
     assert [(k, text[a:b], base) for k, a, b, base in pii.find(text) if k == kind] == [(kind, source, False)]
 
 
+@pytest.mark.parametrize(
+    "text, kind, source",
+    [
+        ("call +1 four one five 555 0199 now", "phone", "+1 four one five 555 0199"),
+        ("call +1 (four) 155-550199", "phone", "+1 (four) 155-550199"),
+        ("call plus 1 415 555 0199", "phone", "plus 1 415 555 0199"),
+        ("ip 192.168.zero.one", "ip", "192.168.zero.one"),
+        ("ip 192 dot 168 dot 0.1", "ip", "192 dot 168 dot 0.1"),
+        ("card four 111 1111 1111 1111", "card", "four 111 1111 1111 1111"),
+    ],
+)
+def test_partly_spelled_identifiers(text, kind, source):
+    assert [(k, text[a:b], base) for k, a, b, base in pii.find(text) if k == kind] == [(kind, source, False)]
+
+
+def test_gate_skips_nothing_that_the_transducer_finds(monkeypatch):
+    rng = random.Random(4)
+    parts = ["one", "Four", "zero", "seven", "1", "41", "192", "555 0199", "0.1", "+1", "+", "plus", "dot", " dot ", "at", " at ", "@", "[at]", "(dot)", ".", "-", " ", " ", " ", "  ", "(", ")", "joe", "example", "com", "DOT.com", "ſix", "fıve", "_", "\u200b", "\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(2, 30))) for _ in range(40_000)]
+    gated = [pii.find(t) for t in texts]
+    monkeypatch.setattr(pii, "_worth", lambda text: True)
+    found = [pii.find(t) for t in texts]
+    assert gated == found
+    assert {k for spans in found for k, _, _, base in spans if not base} == set(pii.KINDS)
+
+
+def test_letters_that_only_fold_to_ascii_spell_no_digit():
+    assert pii.find("ſix ſeven fıve оne") == []
+
+
 @pytest.mark.parametrize("text", ["", "met at example.com today", "look at the dot there", "one at two dot three of nine", "привет, как дела", "at one two three dot"])
 def test_clean_prose_has_no_personal_data(text):
     assert pii.find(text) == []
