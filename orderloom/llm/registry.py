@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, digest_dedup, jaccard, language, line_dedup, packing, pii, secrets, spans, topk, warc
+from orderloom.llm import bpe, digest_dedup, filter_audit, jaccard, language, line_dedup, packing, pii, secrets, spans, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark, _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -89,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe_round_trip": op8_bpe_round_trip,
         "op9_line_dedup": op9_line_dedup,
         "op10_top_k": op10_top_k,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
@@ -120,6 +125,45 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_OP11 = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+flags AS (
+  SELECT doc_id, part, CAST(len(w) < 100 AS INTEGER) AS a,
+         CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INTEGER) AS b,
+         CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS INTEGER) AS c,
+         CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER) AS d,
+         CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INTEGER) AS e
+  FROM words),
+good AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n,
+         count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+  FROM flags LEFT JOIN good USING (doc_id) GROUP BY 1, 2),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(letter, bit)),
+steps AS (
+  WITH RECURSIVE s(filter_order, taken, done) AS (
+    SELECT letter, bit, 1 FROM letters
+    UNION ALL SELECT filter_order || letter, taken + bit, done + 1 FROM s, letters WHERE taken & bit = 0)
+  SELECT o.filter_order, CAST(x.done AS INTEGER) AS step, l.bit, x.taken - l.bit AS earlier, x.taken
+  FROM s o, s x, letters l
+  WHERE o.done = 5 AND starts_with(o.filter_order, x.filter_order) AND l.letter = right(x.filter_order, 1)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+         CAST(coalesce(sum(n) FILTER (mask & taken = 0), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier <> 0), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS toxic_lost
+  FROM masks, steps GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _OP3, "op4_warc": _OP4, "op10_top_k": _OP10}
+    return {"op3_exact_dedup": _OP3, "op4_warc": _OP4, "op10_top_k": _OP10, "op11_filter_audit": _OP11}
