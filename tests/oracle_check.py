@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem documents embeddings pages".split()
+TABLES = "region nation customer supplier part orders lineitem documents embeddings pages benchmark labels conversations".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
