@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, digest_dedup, filter_audit, jaccard, language, line_dedup, packing, pii, secrets, spans, topk, warc
+from orderloom.llm import bpe, collocations, digest_dedup, filter_audit, jaccard, language, line_dedup, packing, pii, secrets, spans, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, _table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -94,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": op9_line_dedup,
         "op10_top_k": op10_top_k,
         "op11_filter_audit": op11_filter_audit,
+        "op12_collocations": op12_collocations,
     }
 
 
@@ -164,6 +169,34 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM counted
 """
 
+_OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+spots AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM worded),
+f AS (
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS a
+  FROM spots, (VALUES (1), (2), (3)) v(m) WHERE i + m - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY 1),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.m, c.a, k, l.a AS l, r.a AS r,
+         CAST(1000000 * c.a::HUGEINT * c.a::HUGEINT // (l.a::HUGEINT * r.a::HUGEINT) AS BIGINT) AS score
+  FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.w, 1, k), ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.w, k + 1, c.m), ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + 1), ' ') AS phrase, max(a) AS longer
+  FROM candidates, (VALUES (1), (2)) v(i) WHERE m = 3 GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _OP3, "op4_warc": _OP4, "op10_top_k": _OP10, "op11_filter_audit": _OP11}
+    return {"op3_exact_dedup": _OP3, "op4_warc": _OP4, "op10_top_k": _OP10, "op11_filter_audit": _OP11, "op12_collocations": _OP12}
