@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, collocations, digest_dedup, filter_audit, jaccard, language, line_dedup, packing, pii, secrets, spans, topk, warc
+from orderloom.llm import bpe, collocations, digest_dedup, filter_audit, jaccard, language, license_notices, line_dedup, packing, pii, secrets, spans, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(spark, _table(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices.summary(license_notices.scan(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -99,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_top_k": op10_top_k,
         "op11_filter_audit": op11_filter_audit,
         "op12_collocations": op12_collocations,
+        "op13_license_scan": op13_license_scan,
     }
 
 
