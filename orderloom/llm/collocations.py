@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,9 +28,9 @@ from orderloom.llm.common import Staged, ship
 from orderloom.llm.shingles import mix
 
 #: Phrases a task holds before it spills, entries of a container before it bursts, trie levels above containers.
-HELD, BURST, LEVELS = 600_000, 2_000, 2
+HELD, BURST, LEVELS = 400_000, 4_000, 2
 #: Bytes of text handled at once, and different words a task numbers before it starts again.
-BLOCK, WORDS = 1 << 20, 400_000
+BLOCK, WORDS = 1 << 21, 300_000
 #: Bits of the filter for frequent shorter phrases (8 MB, whatever the input); shares of a prefix.
 BITS, SHARES = 1 << 26, 256
 #: Bits of a word number in a packed phrase, so that three of them fit a 64-bit number.
@@ -173,16 +175,16 @@ def _lang_hash(lang: str) -> int:
 
 
 def _filter(spark: SparkSession, frequent: DataFrame, width: int):
-    """A broadcast filter over the phrases in `frequent` (lang, w1 …): 8 MB at most, from at most 2,048 rows of 4 KB."""
-    columns = [f"w{i + 1}" for i in range(width)]
+    """A broadcast filter over the phrases in `frequent` (lang, phrase): 8 MB at most, from at most 2,048 rows of 4 KB."""
 
     def run(batches):
         for batch in batches:
-            words = [np.array([xxhash.xxh64_intdigest(w) for w in batch.column(c).cast(pa.binary()).to_pylist()], np.uint64) for c in columns]
+            split = [p.split(b" ") for p in batch.column("phrase").cast(pa.binary()).to_pylist()]
+            words = [np.array([xxhash.xxh64_intdigest(w[i]) for w in split], np.uint64) for i in range(width)]
             langs = np.array([_lang_hash(x) for x in batch.column("lang").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_places(_phrase_hash(words, langs))))], ["p"])
 
-    places = frequent.select("lang", *columns).mapInArrow(run, "p long")
+    places = frequent.select("lang", "phrase").mapInArrow(run, "p long")
     rows = places.groupBy(F.expr("p div 32768").alias("bucket")).agg(F.expr("bitmap_construct_agg(p % 32768)").alias("bits")).collect()
     bits = np.zeros((BITS // 32768, 4096), np.uint8)
     for row in rows:
@@ -191,8 +193,8 @@ def _filter(spark: SparkSession, frequent: DataFrame, width: int):
 
 
 def _runs(rows: DataFrame, width: int, known, held: int, words: int) -> DataFrame:
-    """Sorted runs of the phrases of `rows` (lang, text): lang, w1 … , n. `known` filters the parts of a phrase."""
-    names = ["lang", *(f"w{i + 1}" for i in range(width)), "n"]
+    """Sorted runs of the phrases of `rows` (lang, text): prefix, lang, phrase, n. `known` filters the parts of a phrase."""
+    names = ["prefix", "lang", "phrase", "n"]
 
     def run(batches):
         numbers, tries = _Numbers(), {}
@@ -203,15 +205,19 @@ def _runs(rows: DataFrame, width: int, known, held: int, words: int) -> DataFram
             vocabulary = list(numbers)
             rank = np.zeros(len(vocabulary), np.int64)
             rank[sorted(range(len(vocabulary)), key=vocabulary.__getitem__)] = np.arange(len(vocabulary))
-            table = pa.array(vocabulary, pa.binary()).cast(pa.string())
+            table, hashes = pa.array(vocabulary, pa.binary()), np.array(numbers.hashes, np.uint64)
             share = most // max(1, len(tries))
             for lang, trie in tries.items():
                 phrases, counts = trie.take(share)
                 parts = [phrases >> (_WIDE * (width - i - 1)) & (1 << _WIDE) - 1 for i in range(width)]
+                # All words but the last, and a share of the last one.
+                prefix = _phrase_hash([*(hashes[p] for p in parts[:-1]), hashes[parts[-1]] % np.uint64(SHARES)], _lang_hash(lang))
                 order = np.lexsort([rank[p] for p in reversed(parts)])
                 for a in range(0, len(order), 50_000):
                     at = order[a : a + 50_000]
-                    columns = [pa.array([lang] * len(at), pa.string()), *(table.take(pa.array(p[at])) for p in parts), pa.array(counts[at])]
+                    words = [table.take(pa.array(p[at])) for p in parts]
+                    phrase = pc.binary_join_element_wise(*words, b" ") if width > 1 else words[0]
+                    columns = [pa.array(prefix[at].view(np.int64)), pa.repeat(pa.scalar(lang, pa.string()), len(at)), phrase.cast(pa.string()), pa.array(counts[at])]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
         def count(lang: str, text: bytes):
@@ -241,7 +247,7 @@ def _runs(rows: DataFrame, width: int, known, held: int, words: int) -> DataFram
                     tries[lang] = HatTrie(width)
                 tries[lang].add(phrases, counts)
                 if sum(t.size for t in tries.values()) > held:
-                    yield from spill(held // 2)
+                    yield from spill(held // 4)
 
         def drain():
             for lang, texts in waiting.items():
@@ -249,8 +255,9 @@ def _runs(rows: DataFrame, width: int, known, held: int, words: int) -> DataFram
             waiting.clear()
 
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                raw = text.encode("utf-8", "surrogatepass").translate(_FOLD)
+            # One text after the other: a batch of long texts is not copied as a whole.
+            for lang, text in zip(batch.column("lang"), batch.column("text").cast(pa.binary())):
+                lang, raw = lang.as_py(), text.as_py().translate(_FOLD)
                 waiting.setdefault(lang, []).append(raw)
                 size += len(raw)
                 if size >= BLOCK:
@@ -259,16 +266,16 @@ def _runs(rows: DataFrame, width: int, known, held: int, words: int) -> DataFram
         yield from drain()
         yield from spill(0)
 
-    kinds = ", ".join(f"{n} string" for n in names[:-1])
-    return rows.mapInArrow(run, f"{kinds}, n long")
+    return rows.mapInArrow(run, "prefix long, lang string, phrase string, n long")
 
 
-def phrase_counts(spark: SparkSession, rows: DataFrame, width: int, known=None, held: int = HELD, words: int = WORDS) -> DataFrame:
-    """lang, w1 …, n: every phrase of `width` words, of which `known` knows both shorter parts, with its count."""
-    columns = [f"w{i + 1}" for i in range(width)]
-    runs = _runs(rows, width, known, held, words).withColumn("share", F.pmod(F.xxhash64(columns[-1]), F.lit(SHARES)))
-    prefix = ["lang", *columns[:-1], "share"]
-    return runs.repartition(*prefix).groupBy("lang", *columns, "share").agg(F.sum("n").alias("n")).drop("share")
+def phrase_counts(rows: DataFrame, width: int, known=None, held: int = HELD, words: int = WORDS) -> DataFrame:
+    """lang, phrase, n: every phrase of `width` words, of which `known` knows both shorter parts, with its count.
+
+    A phrase has one prefix, so that the runs dealt by prefix are merged where they arrive.
+    """
+    runs = _runs(rows, width, known, held, words).repartition("prefix")
+    return runs.groupBy("prefix", "lang", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
 
 
 def collocations(
@@ -291,16 +298,15 @@ def collocations(
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     known, totals, frequent = None, None, []
     for width in range(1, longest + 1):
-        counted = staged.write(f"counts-{width}", phrase_counts(spark, rows, width, known, held, words))
+        counted, often = phrase_counts(rows, width, known, held, words), F.col("n") >= least
+        counted = staged.write(f"counts-{width}", counted if width == 1 else counted.where(often))
         if width == 1:
             totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-        counted = counted.where(F.col("n") >= least)
-        phrase = F.concat_ws(" ", *(f"w{i + 1}" for i in range(width)))
-        frequent.append(counted.select("lang", F.lit(width).alias("width"), phrase.alias("phrase"), F.col("n").alias("a")))
+            counted = counted.where(often)
+        frequent.append(counted.select("lang", F.lit(width).alias("width"), "phrase", F.col("n").alias("a")))
         if width < longest:
             known = _filter(spark, counted, width)
-    known_phrases = staged.write("frequent", frequent[0].unionByName(frequent[1]) if longest == 2 else frequent[0].unionByName(frequent[1]).unionByName(frequent[2]))
-    return _ranked(known_phrases, totals, percent, top)
+    return _ranked(staged.write("frequent", reduce(DataFrame.unionByName, frequent)), totals, percent, top)
 
 
 def _ranked(frequent: DataFrame, totals: DataFrame, percent: int, top: int | None) -> DataFrame:
