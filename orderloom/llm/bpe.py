@@ -128,8 +128,9 @@ def boundaries(points: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Ranks of a byte-level vocabulary, with a bounded cache of merged slices."""
 
-    #: Entries in the cache; it is emptied when full. Slices of over LONG bytes are merged one by one.
-    CACHE, LONG = 200_000, 64
+    #: Slices and bytes of a generation of the cache: once it is full, the one before it is forgotten and slices that
+    #: are met again move on. Slices of over LONG bytes are merged one by one.
+    CACHE, CACHE_BYTES, LONG = 400_000, 1 << 25, 64
 
     def __init__(self, path: str):
         with open(path, "rb") as lines:
@@ -148,7 +149,10 @@ class Vocabulary:
                     merged.append(rank)
         order = np.argsort(keys)
         self.keys, self.merged = np.array(keys, np.int64)[order], np.array(merged, np.int32)[order]
-        self._forget()
+        # A generation of the cache: numbers of slices, and the ids of number n at flat[first[n]:first[n + 1]].
+        self.cache: dict[bytes, int] = {}
+        self.flat, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self._turn()
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left.astype(np.int64) << _SHIFT) | right
@@ -234,10 +238,29 @@ class Vocabulary:
         mask = (1 << int(_SHIFT)) - 1
         return {(k >> int(_SHIFT), k & mask): m for k, m in zip(self.keys.tolist(), self.merged.tolist())}
 
-    def _forget(self) -> None:
-        self.cache: dict[bytes, int] = {}
+    def _turn(self) -> None:
+        """Begin a generation of the cache; the one that was full becomes the older one."""
+        self.older = (self.cache, self.flat, self.first)
+        self.cache, self.held = {}, 0
         self.flat, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Add slices that the cache lacks: from the older generation, or merged now."""
+        numbers, flat, first = self.older
+        known = [p for p in pieces if p in numbers]
+        fresh = [p for p in pieces if p not in numbers] if known else pieces
+        merged = self.merge_many(fresh)
+        at = np.array([numbers[p] for p in known], np.int64)
+        sizes = np.concatenate([first[at + 1] - first[at], np.array([len(x) // 4 for x in merged], np.int64)])
+        upto = np.cumsum(sizes)
+        kept = int(upto[len(at) - 1]) if len(at) else 0
+        moved = flat[np.arange(kept) + np.repeat(first[at] - (upto - sizes)[: len(at)], sizes[: len(at)])]
+        base = len(self.first) - 1
+        self.cache.update(zip([*known, *fresh], range(base, base + len(pieces))))
+        self.held += sum(map(len, pieces))
+        self.flat = np.concatenate([self.flat, moved, np.frombuffer(b"".join(merged), "<u4")])
+        self.first = np.concatenate([self.first, self.first[-1] + upto])
+
     def _numbers(self, raw: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """A number for each slice of `raw`; `flat[first[n]:first[n + 1]]` are the ids of number n.
 
@@ -258,18 +281,14 @@ class Vocabulary:
         chosen = np.concatenate([order[fresh], np.flatnonzero(sizes >= 16)])
         begin, end = starts[chosen], starts[chosen] + sizes[chosen]
         pieces = [raw[a:b] for a, b in zip(begin.tolist(), end.tolist())]
-        if len(self.cache) + len(pieces) > self.CACHE:
-            self._forget()
+        if self.cache and (len(self.cache) + len(pieces) > self.CACHE or self.held > self.CACHE_BYTES):
+            self._turn()
         get = self.cache.get
-        got = [get(p, -1) for p in pieces]
-        lacking = list({p for p, n in zip(pieces, got) if n < 0})
+        got = list(map(get, pieces))
+        lacking = {p for p, n in zip(pieces, got) if n is None}
         if lacking:
-            ids = self.merge_many(lacking)
-            base = len(self.first) - 1
-            self.cache.update(zip(lacking, range(base, base + len(lacking))))
-            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) // 4 for x in ids])])
-            got = [get(p) if n < 0 else n for p, n in zip(pieces, got)]
+            self._learn(list(lacking))
+            got = list(map(get, pieces))
         number = np.empty(len(starts), np.int64)
         numbers = np.array(got, np.int64)
         kinds = int(fresh.sum())
