@@ -1,8 +1,8 @@
 """Phrases whose words stand together more often than apart, by language, counted in HAT-tries.
 
 A task numbers the words it meets and counts phrases in a trie of word numbers: hash containers under a trie that
-stays shallow, since only a container that outgrows BURST is split by its next word. When a task holds too many
-phrases, it spills its largest subtrees whole, as a run sorted by words; at its end it hands on the rest in the
+stays shallow, since only a container that outgrows BURST is split, by the next digit of the phrases' words. When a
+task holds too many phrases, it spills its largest subtrees whole, as a run sorted by words; at its end it hands on the rest in the
 same way. Runs are dealt by prefix (language, all words but the last, and a share of the last word, so that
 the followers of a very frequent prefix do not meet in one task) and merged there by adding up equal phrases.
 
@@ -28,13 +28,15 @@ from orderloom.llm.common import Staged, ship
 from orderloom.llm.shingles import mix
 
 #: Phrases a task holds before it spills, entries of a container before it bursts, trie levels above containers.
-HELD, BURST, LEVELS = 400_000, 4_000, 2
+HELD, BURST, LEVELS = 1_000_000, 50_000, 2
 #: Bytes of text handled at once, and different words a task numbers before it starts again.
 BLOCK, WORDS = 1 << 21, 300_000
 #: Bits of the filter for frequent shorter phrases (8 MB, whatever the input); shares of a prefix.
 BITS, SHARES = 1 << 26, 256
 #: Bits of a word number in a packed phrase, so that three of them fit a 64-bit number.
 _WIDE = 21
+#: Bits of a word number on which the trie branches.
+_DIGIT = 6
 
 # Fixed values of the contract: characters that end a piece.
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -46,80 +48,117 @@ for _end in _ENDS:
 _FOLD = bytes(_FOLD)
 
 
+class Box:
+    """A hash container: open addressing over arrays, so that many phrases are looked up and added at once."""
+
+    def __init__(self, room: int = 256):
+        self.keys = np.full(room, -1, np.int64)
+        self.counts = np.zeros(room, np.int64)
+        self.size = 0
+
+    def add(self, phrases: np.ndarray, counts: np.ndarray) -> None:
+        """Add counts of different phrases."""
+        if 2 * (self.size + len(phrases)) > len(self.keys):
+            self._grow(self.size + len(phrases))
+        mask = len(self.keys) - 1
+        at = (mix(phrases.view(np.uint64)) & np.uint64(mask)).astype(np.int64)
+        while len(phrases):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = phrases[free]  # of those that want one place, one gets it
+            mine = self.keys[at] == phrases
+            self.size += int(np.count_nonzero(mine & free))
+            self.counts[at[mine]] += counts[mine]
+            phrases, counts, at = phrases[~mine], counts[~mine], (at[~mine] + 1) & mask
+
+    def _grow(self, entries: int) -> None:
+        phrases, counts = self.entries()
+        self.__init__(1 << (4 * entries).bit_length())
+        self.add(phrases, counts)
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        used = np.flatnonzero(self.keys != -1)
+        return self.keys[used], self.counts[used]
+
+
+class Node:
+    """A branching of the trie: the subtrees of the phrases that agree in some digits of their word numbers."""
+
+    def __init__(self):
+        self.children: dict[int, Box | Node] = {}
+
+
 class HatTrie:
-    """Counts of phrases of `width` word numbers, each packed into one number, first word highest."""
+    """Counts of phrases of `width` word numbers, each packed into one number, first word highest.
+
+    The trie branches on digits of the word numbers, beginning with the first word's: a subtree holds all phrases
+    whose first words agree in these digits.
+    """
 
     def __init__(self, width: int, burst: int = BURST, levels: int = LEVELS):
-        self.width, self.burst, self.levels = width, burst, min(levels, width - 1)
-        self.root: dict | _Node = {}
+        self.burst, self.levels = burst, levels
+        self.shift = _WIDE * (width - 1)
+        self.root: Box | Node = Box()
         self.size = 0
 
     def add(self, phrases: np.ndarray, counts: np.ndarray) -> None:
-        """Add counts of different phrases, given in ascending order."""
+        """Add counts of different phrases."""
         self.root = self._add(self.root, phrases, counts, 0)
 
-    def _add(self, tree, phrases: np.ndarray, counts: np.ndarray, level: int):
-        if isinstance(tree, dict):
-            before, get = len(tree), tree.get
-            for phrase, n in zip(phrases.tolist(), counts.tolist()):
-                tree[phrase] = get(phrase, 0) + n
-            self.size += len(tree) - before
-            return self._burst(tree, level) if len(tree) > self.burst and level < self.levels else tree
-        for head, a, b in self._by_head(phrases, level):
-            tree.children[head] = self._add(tree.children.get(head, {}), phrases[a:b], counts[a:b], level + 1)
+    def _add(self, tree: Box | Node, phrases: np.ndarray, counts: np.ndarray, level: int) -> Box | Node:
+        if isinstance(tree, Box):
+            before = tree.size
+            tree.add(phrases, counts)
+            self.size += tree.size - before
+            return self._burst(tree, level) if tree.size > self.burst and level < self.levels else tree
+        for digit, part in self._by_digit(phrases, level):
+            tree.children[digit] = self._add(tree.children.get(digit) or Box(), phrases[part], counts[part], level + 1)
         return tree
 
-    def _by_head(self, phrases: np.ndarray, level: int) -> Iterator[tuple[int, int, int]]:
-        """Next word of the phrases at this level, and the range of phrases that have it."""
-        head = phrases >> (_WIDE * (self.width - level - 1)) & (1 << _WIDE) - 1
-        cuts = (np.flatnonzero(head[1:] != head[:-1]) + 1).tolist()
-        yield from zip(head[[0, *cuts]].tolist(), [0, *cuts], [*cuts, len(head)])
-
-    def _burst(self, box: dict, level: int) -> _Node:
-        phrases, counts = _sorted(box.items())
-        node = _Node()
-        for head, a, b in self._by_head(phrases, level):
-            node.children[head] = dict(zip(phrases[a:b].tolist(), counts[a:b].tolist()))
+    def _by_digit(self, phrases: np.ndarray, level: int) -> Iterator[tuple[int, np.ndarray]]:
+        """The digits at this level, and which phrases have each."""
+        digit = (phrases >> (self.shift + _DIGIT * level) & (1 << _DIGIT) - 1).astype(np.uint8)
+        order = np.argsort(digit, kind="stable")
+        ends = np.cumsum(np.bincount(digit, minlength=1 << _DIGIT))
+        for value, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+            if a < b:
+                yield value, order[a:b]
+
+    def _burst(self, box: Box, level: int) -> Node:
+        phrases, counts = box.entries()
+        node = Node()
+        for digit, part in self._by_digit(phrases, level):
+            node.children[digit] = Box(1 << (4 * len(part)).bit_length())
+            node.children[digit].add(phrases[part], counts[part])
         return node
 
     def take(self, most: int) -> tuple[np.ndarray, np.ndarray]:
         """Remove the largest subtrees under the root, whole, until at most `most` phrases are left; all phrases in them."""
-        if isinstance(self.root, dict) or not most:
-            found = list(_entries(self.root))
-            self.root = {}
+        if isinstance(self.root, Box) or not most:
+            gone, self.root = [self.root], Box()
         else:
-            sizes = {head: _size(child) for head, child in self.root.children.items()}
-            found, left = [], self.size
-            for head in sorted(sizes, key=sizes.get, reverse=True):
+            sizes = {digit: _size(child) for digit, child in self.root.children.items()}
+            gone, left = [], self.size
+            for digit in sorted(sizes, key=sizes.get, reverse=True):
                 if left <= most:
                     break
-                left -= sizes[head]
-                found += _entries(self.root.children.pop(head))
-        self.size -= len(found)
-        return _sorted(found)
+                left -= sizes[digit]
+                gone.append(self.root.children.pop(digit))
+        boxes = [box.entries() for tree in gone for box in _boxes(tree)]
+        phrases, counts = (np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (zip(*boxes) if boxes else ([], [])))
+        self.size -= len(phrases)
+        return phrases, counts
 
 
-class _Node:
-    def __init__(self):
-        self.children: dict[int, dict | _Node] = {}
-
-
-def _entries(tree) -> Iterator[tuple[int, int]]:
-    if isinstance(tree, dict):
-        yield from tree.items()
+def _boxes(tree: Box | Node) -> Iterator[Box]:
+    if isinstance(tree, Box):
+        yield tree
     else:
         for child in tree.children.values():
-            yield from _entries(child)
-
-
-def _size(tree) -> int:
-    return len(tree) if isinstance(tree, dict) else sum(map(_size, tree.children.values()))
+            yield from _boxes(child)
 
 
-def _sorted(entries) -> tuple[np.ndarray, np.ndarray]:
-    pairs = np.array(list(entries), np.int64).reshape(-1, 2)
-    pairs = pairs[np.argsort(pairs[:, 0])]
-    return pairs[:, 0], pairs[:, 1]
+def _size(tree: Box | Node) -> int:
+    return sum(box.size for box in _boxes(tree))
 
 
 class _Numbers(dict):

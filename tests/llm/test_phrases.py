@@ -100,20 +100,31 @@ def _packed(phrases):
 @pytest.mark.parametrize("width", [1, 2, 3])
 def test_trie_bursts_and_spills_whole_subtrees(width):
     rng = random.Random(width)
-    trie, total, taken = HatTrie(width, burst=5), Counter(), Counter()
-    for _ in range(40):
-        batch = Counter(tuple(min(rng.randrange(2, 30), rng.randrange(2, 30)) for _ in range(width)) for _ in range(100))
-        phrases = sorted(batch)
+    trie, total, taken, spills = HatTrie(width, burst=5), Counter(), Counter(), 0
+    for _ in range(60):
+        batch = Counter(tuple(min(rng.randrange(2, 3000), rng.randrange(2, 3000)) for _ in range(width)) for _ in range(100))
+        phrases = list(batch)
         trie.add(_packed(phrases), np.array([batch[p] for p in phrases]))
         total.update({int(k): batch[p] for k, p in zip(_packed(phrases), phrases)})
-        if trie.size > 150:
-            keys, counts = trie.take(75)
-            assert (np.diff(keys) > 0).all() and trie.size <= 75
-            if width > 1:  # no phrase that begins with a spilled first word is left
-                gone = set((keys >> 21 * (width - 1)).tolist())
-                assert not gone & set(trie.root.children)
+        if trie.size > 700:
+            assert isinstance(trie.root, collocations.Node)
+            keys, counts = trie.take(350)
+            spills += 1
+            assert len(set(keys.tolist())) == len(keys) and trie.size <= 350
+            # No phrase is left whose first word agrees in the first digits with a spilled one.
+            assert not set((keys >> 21 * (width - 1) & 63).tolist()) & set(trie.root.children)
             taken.update(dict(zip(keys.tolist(), counts.tolist())))
-    assert width == 1 or isinstance(trie.root, collocations._Node)
+    assert spills > 2 and any(isinstance(c, collocations.Node) for c in trie.root.children.values())
     keys, counts = trie.take(0)
     taken.update(dict(zip(keys.tolist(), counts.tolist())))
     assert taken == total and trie.size == 0
+
+
+def test_container_grows_and_keeps_counts():
+    rng, box, total = random.Random(9), collocations.Box(4), Counter()
+    for _ in range(50):
+        batch = Counter(rng.choice([rng.randrange(50), rng.randrange(1 << 62)]) for _ in range(rng.randrange(1, 200)))
+        box.add(np.array(list(batch), np.int64), np.array(list(batch.values()), np.int64))
+        total.update(batch)
+    keys, counts = box.entries()
+    assert dict(zip(keys.tolist(), counts.tolist())) == total and box.size == len(total)
