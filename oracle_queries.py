@@ -122,6 +122,27 @@ _SOLD = "CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(line_total) AS DE
 _JULY = """line_status = 'DELIVERED' AND order_date >= TIMESTAMP '2001-07-01 00:00:00'
       AND order_date < TIMESTAMP '2001-08-01 00:00:00'"""
 
+_REJECTED = """
+WITH ordered AS (SELECT DISTINCT l_orderkey AS n FROM lineitem),
+rules AS (
+    SELECT * FROM (VALUES (13, 'bad_status'), (17, 'orphan_order'),
+        (19, 'orphan_product'), (23, 'bad_number'), (29, 'null_key')) r(k, reject_reason)
+),
+parents AS (
+    SELECT 'customers' AS table_name, c_custkey AS n FROM customer
+    UNION ALL SELECT 'products', p_partkey FROM part
+    UNION ALL SELECT 'orders', o_orderkey FROM orders
+)
+SELECT 'order_items' AS table_name, reject_reason, count(*) AS n_rows
+FROM ordered JOIN rules ON n % k = 0 GROUP BY ALL
+UNION ALL
+SELECT table_name, reject_reason, count(*) FROM parents
+JOIN (VALUES (23, 'bad_number'), (29, 'null_key')) r(k, reject_reason) ON n % k = 0
+GROUP BY ALL
+UNION ALL
+SELECT 'orders', 'orphan_customer', count(*) FROM orders WHERE o_orderkey % 17 = 0
+HAVING count(*) > 0"""
+
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
@@ -160,6 +181,17 @@ def oracle_sql() -> dict[str, str]:
     registered = "TIMESTAMP '1995-01-01 00:00:00'"
     order = "o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date"
     cleaned = _with(lines, _VERSIONS, _LATEST)
+    on_moved = _with(
+        lines,
+        _VERSIONS,
+        _LATEST,
+        """
+moved_orders AS (
+    SELECT * REPLACE (CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate + INTERVAL 40 DAY
+                           ELSE o_orderdate END AS o_orderdate) FROM orders
+)""",
+        _FACT.format(items="latest").replace("JOIN orders o", "JOIN moved_orders o"),
+    )
     return {
         "silver_customers": f"""
             SELECT {customer}, lower(c_name) || '@mail.example' AS email,
@@ -247,26 +279,8 @@ def oracle_sql() -> dict[str, str]:
         "check_orders_without_items": f"""
             SELECT {order} FROM orders
             WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
-        "check_quarantine": """
-            WITH ordered AS (SELECT DISTINCT l_orderkey AS n FROM lineitem),
-            rules AS (
-                SELECT * FROM (VALUES (13, 'bad_status'), (17, 'orphan_order'),
-                    (19, 'orphan_product'), (23, 'bad_number'), (29, 'null_key')) r(k, reject_reason)
-            ),
-            parents AS (
-                SELECT 'customers' AS table_name, c_custkey AS n FROM customer
-                UNION ALL SELECT 'products', p_partkey FROM part
-                UNION ALL SELECT 'orders', o_orderkey FROM orders
-            )
-            SELECT 'order_items' AS table_name, reject_reason, count(*) AS n_rows
-            FROM ordered JOIN rules ON n % k = 0 GROUP BY ALL
-            UNION ALL
-            SELECT table_name, reject_reason, count(*) FROM parents
-            JOIN (VALUES (23, 'bad_number'), (29, 'null_key')) r(k, reject_reason) ON n % k = 0
-            GROUP BY ALL
-            UNION ALL
-            SELECT 'orders', 'orphan_customer', count(*) FROM orders WHERE o_orderkey % 17 = 0
-            HAVING count(*) > 0""",
+        "check_quarantine": _REJECTED,
+        "rejects_by_load": _REJECTED,
         "silver_customers_dirty": f"""
             SELECT {customer},
                    'customer#' || lpad(CAST(c_custkey - CAST(c_custkey % 31 = 0 AND c_custkey > 0
@@ -309,18 +323,24 @@ def oracle_sql() -> dict[str, str]:
                    NULL, TRUE FROM first_raw WHERE n % 37 = 0""",
         "land_batch_then_stream": _with(lines, _LANDED) + "SELECT * FROM landed",
         "late_parent_items": cleaned + f"SELECT {_ITEM_COLUMNS} FROM latest",
-        "stream_mart_monthly_replayed": _with(
-            lines,
-            _VERSIONS,
-            _LATEST,
-            """
-moved_orders AS (
-    SELECT * REPLACE (CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate + INTERVAL 40 DAY
-                           ELSE o_orderdate END AS o_orderdate) FROM orders
-)""",
-            _FACT.format(items="latest").replace("JOIN orders o", "JOIN moved_orders o"),
-        )
-        + monthly,
+        "stream_mart_monthly_replayed": on_moved + monthly,
+        "mart_daily_by_deltas": on_moved + daily,
+        "mart_weekly_by_deltas": on_moved + weekly,
+        "mart_monthly_by_deltas": on_moved + monthly,
+        "items_still_waiting": _with(lines)
+        + """SELECT CAST(order_item_id AS VARCHAR) AS order_item_id, CAST(order_id AS VARCHAR) AS order_id,
+                    CAST(product_id AS VARCHAR) AS product_id, 'orphan_order' AS reject_reason
+             FROM lines WHERE order_id % 3 = 0""",
+        "csv_mixed_headers": _with(lines)
+        + """SELECT CAST(order_item_id AS VARCHAR) AS order_item_id, CAST(order_id AS VARCHAR) AS order_id,
+                    CAST(product_id AS VARCHAR) AS product_id, CAST(quantity AS VARCHAR) AS quantity,
+                    CAST(CAST(unit_price AS DECIMAL(10,2)) AS VARCHAR) AS unit_price,
+                    CASE WHEN order_id % 5 = 0 THEN ' ' || lower(line_status) || ' ' ELSE line_status END
+                        AS line_status,
+                    CASE WHEN order_id % 3 <> 2 THEN strftime(status_updated_at, '%Y-%m-%d %H:%M:%S') END
+                        AS status_updated_at,
+                    CASE WHEN order_id % 3 = 1 THEN 'WEB' END AS channel
+             FROM lines""",
         "stream_bronze_items": _with(lines, _LANDED) + "SELECT * FROM landed",
         "stream_silver_items": cleaned + f"SELECT {_ITEM_COLUMNS} FROM latest",
         "stream_mart_monthly": _with(lines, _VERSIONS, _LATEST, _FACT.format(items="latest"))

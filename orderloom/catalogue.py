@@ -401,6 +401,78 @@ def stream_mart_monthly(s: SampleLake) -> DataFrame:
     return lake.read(runs.MONTHLY)
 
 
+def rejects_by_load(s: SampleLake) -> DataFrame:
+    """What a rebuild of Silver from dirty tables counted while it wrote them."""
+    lake = new_lake(s.spark, "counted")
+    customers, products, orders = s.dirty_parents()
+    landed = {"bronze_customers": customers, "bronze_products": products, "bronze_orders": orders, "bronze_order_items": s.dirty_items()}
+    for table, rows in landed.items():
+        landing.load(lake, table, rows, replace=True)
+    counts = runs.run_silver(lake)
+    found = [
+        (table.removeprefix("silver_"), reason, n)
+        for table, reasons in counts.items()
+        for reason, n in reasons.items()
+        if reason != runs.ACCEPTED
+    ]
+    return s.spark.createDataFrame(found, "table_name string, reject_reason string, n_rows long")
+
+
+def _marts_by_deltas(s: SampleLake) -> Lake:
+    """Marts of clean lines, brought up to date for corrected, late and moved ones by what changed alone."""
+
+    def build() -> Lake:
+        lake = s.copy_of_parents("deltas")
+        late = F.col("order_id").cast("bigint") % 8 == 0
+        lines = sample_tables.items(s.lines())
+        runs.absorb(lake, ITEMS, lines.where(~late))
+        runs.run_gold(lake)
+        runs.absorb(lake, ITEMS, s.dirty_items(), "corrected-and-late")
+        runs.refresh_gold(lake, dimensions=False)
+        runs.absorb(lake, "silver_orders", sample_tables.moved_orders(s.spark, s.sf_dir), "moved")
+        runs.refresh_gold(lake, dimensions=False)
+        return lake
+
+    return s._once("deltas", build)
+
+
+def _mart_by_deltas(table: str, column: str) -> Callable[[SampleLake], DataFrame]:
+    return lambda s: _marts_by_deltas(s).read(table).drop(*({MONTH} - {column}))
+
+
+def items_still_waiting(s: SampleLake) -> DataFrame:
+    """Lines that land in many batches before some of their orders and products; then the products come."""
+    source, lake = s.silver(), new_lake(s.spark, "waiting")
+    held_back = {"silver_products": F.col("product_id") % 5 == 0, "silver_orders": F.col("order_id") % 3 == 0}
+    lake.publish("silver_customers", source.read("silver_customers"))
+    for table, late in held_back.items():
+        lake.publish(table, source.read(table).where(~late), SILVER_LAYOUT[table])
+    lines, batches = sample_tables.items(s.lines()), runs.COMPACT_AFTER + 2
+    for n in range(batches):
+        runs.absorb(lake, ITEMS, lines.where(F.col("order_id").cast("bigint") % batches == n), f"batch-{n}")
+    products = source.read("bronze_products").where(held_back["silver_products"])
+    runs.absorb(lake, "silver_products", products, "products")
+    waiting = runs.quarantine(lake, ITEMS)
+    return waiting.select("order_item_id", "order_id", "product_id", "reject_reason")
+
+
+def csv_mixed_headers(s: SampleLake) -> DataFrame:
+    """CSV files with different headers in one folder: columns in another order, a new one, one that is missing."""
+    table, lake = "bronze_order_items", new_lake(s.spark, "headers")
+    rows = sample_tables.items(s.lines()).drop(INGEST_TS)
+    part = F.col("order_id").cast("bigint") % 3
+    as_is = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    kinds = [
+        rows.where(part == 0),
+        rows.where(part == 1).select(*reversed(rows.columns)).withColumn("channel", F.lit("WEB")),
+        rows.where(part == 2).drop("status_updated_at"),
+    ]
+    for kind in kinds:
+        kind.write.mode("append").csv(f"{lake.root}/incoming", escape='"', **as_is)
+    landing.load(lake, table, landing.from_csv(s.spark, table, f"{lake.root}/incoming"), replace=True)
+    return lake.read(table).select(*landing.string_schema(table).names, "channel")
+
+
 _QUERIES: dict[str, Callable[[SampleLake], DataFrame]] = {
     "silver_customers": silver_customers,
     "silver_products": silver_products,
@@ -448,6 +520,12 @@ _QUERIES: dict[str, Callable[[SampleLake], DataFrame]] = {
     "stream_silver_items": stream_silver_items,
     "stream_mart_monthly": stream_mart_monthly,
     "stream_mart_monthly_replayed": stream_mart_monthly_replayed,
+    "rejects_by_load": rejects_by_load,
+    "mart_daily_by_deltas": _mart_by_deltas(runs.DAILY, gold.DAY),
+    "mart_weekly_by_deltas": _mart_by_deltas(runs.WEEKLY, gold.WEEK),
+    "mart_monthly_by_deltas": _mart_by_deltas(runs.MONTHLY, gold.MONTH_START),
+    "items_still_waiting": items_still_waiting,
+    "csv_mixed_headers": csv_mixed_headers,
 }
 
 

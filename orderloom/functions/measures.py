@@ -15,6 +15,13 @@ UNIT_COLUMNS = {
     CANCELLED: "units_cancelled",
     RETURNED: "units_returned",
 }
+#: Columns of the measures, in the order of the marts.
+MEASURES = [
+    UNIT_COLUMNS[DELIVERED],
+    "revenue_delivered",
+    *[c for s, c in UNIT_COLUMNS.items() if s != DELIVERED],
+    "distinct_orders",
+]
 COUNT_COLUMNS = {
     DELIVERED: "delivered_count",
     SHIPPED: "shipped_count",

@@ -21,10 +21,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--since", type=dt.datetime.fromisoformat, help="upsert rows ingested after this time"
     )
+    parser.add_argument("--passes", type=int, default=1, help="shares of the keys that a rebuild takes at a time")
     args = parser.parse_args(argv)
     names = LakeNames(bronze=args.bronze_schema, silver=args.silver_schema, catalog=args.catalog)
     spark = SparkSession.builder.appName("orderloom-silver").getOrCreate()
-    run_silver(Lake(spark, args.root, names), rebuild=not args.upsert, since=args.since)
+    run_silver(Lake(spark, args.root, names), rebuild=not args.upsert, since=args.since, passes=args.passes)
 
 
 if __name__ == "__main__":

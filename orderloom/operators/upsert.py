@@ -11,19 +11,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.periods import ordered
+from orderloom.operators.key_index import KeyIndex
 from orderloom.sources.lake import Lake, Scratch
 
 
 @dataclass(frozen=True)
 class UpsertResult:
-    """Partitions that were rewritten, and the keys whose rows changed partition.
+    """Partitions that were rewritten, the keys whose rows changed partition, and what the changed rows refer to.
 
-    `moved` is a table under `_kept` of the lake's root, or None; whoever asked for it by
-    `keep_moved` removes it once its rows are dealt with.
+    `moved` and `changed` are tables under `_kept` of the lake's root, or None; whoever asked for them by
+    `keep_moved` and `keep` removes them once they are dealt with.
     """
 
     touched: list[dt.date | None]
-    moved: str | None
+    moved: str | None = None
+    changed: str | None = None
 
 
 def merged_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,23 +43,26 @@ def upsert(
     newest: str | None = None,
     before_swap: Callable[[UpsertResult], None] | None = None,
     keep_moved: bool = False,
+    keep: str | None = None,
 ) -> UpsertResult:
     """Update rows whose key exists, insert the others; `source` has one row per key.
 
     A source row always replaces the target's row. With `newest` the row with the higher
     value of that column stays, and equal ones are decided as `latest_by_key` does: batches
     may then arrive late, twice, and in any order. Rows that the target has already change
-    nothing. A partitioned table is read by key once to find the partitions that hold
-    matching rows; only these are rewritten. `before_swap` is told what is about to change
-    before any of it can be seen; with `keep_moved` that includes a table of the keys that change
-    partition.
+    nothing. Of a partitioned table, only the partitions that its key index names for the
+    source's keys are read, and only those with changes are rewritten. `before_swap` is told
+    what is about to change before any of it can be seen; with `keep_moved` that includes a
+    table of the keys that change partition, with `keep` one of the values that the changed
+    rows have and had in that column.
     """
     tell = before_swap or (lambda _: None)
     lake.recover(table)
     if not lake.exists(table):
         with Scratch(lake.spark) as scratch:
             rows = scratch.stage(source, f"{table}-first")
-            result = UpsertResult(partition_values(rows, partition_by), None)
+            changed = _keep(lake, table, rows.select(keep)) if keep and not rows.isEmpty() else None
+            result = UpsertResult(partition_values(rows, partition_by), changed=changed)
             tell(result)
             lake.publish(table, rows, partition_by)
         return result
@@ -65,30 +70,44 @@ def upsert(
     with Scratch(lake.spark) as scratch:
         target = lake.read(table)
         source = scratch.stage(source.select(*target.columns), f"{table}-source")
-        changes = _changes(target, source, keys, partition_by, newest, scratch, table)
+        index = KeyIndex(lake, table, keys, partition_by) if partition_by else None
+        near = in_partitions(target, partition_by, index.partitions(source)) if index else target
+        changes = _changes(near, source, keys, partition_by, newest, scratch, table, keep)
         if changes.isEmpty():
-            return UpsertResult([], None)
+            return UpsertResult([])
         rows = changes.select(*target.columns)
         if partition_by is None:
-            tell(UpsertResult([], None))
+            tell(UpsertResult([]))
             lake.publish(table, merged_rows(target, rows, keys))
-            return UpsertResult([], None)
+            return UpsertResult([])
 
         old = F.col(f"_old_{partition_by}")
         left = changes.where(F.col("_hit") & ~old.eqNullSafe(F.col(partition_by)))
         both = changes.select(partition_by).union(left.select(old))
         touched = partition_values(both, partition_by)
-        moved = None
+        moved = changed = None
         if keep_moved and not left.isEmpty():
             moved = f"{table}-moved-{uuid.uuid4().hex}"
             left.select(*keys, partition_by, old).write.parquet(lake.kept_path(moved))
-        result = UpsertResult(touched, moved)
+        if keep:
+            values = changes.select(keep)
+            if keep not in keys:
+                values = values.union(changes.where("_hit").select(f"_old_{keep}"))
+            changed = _keep(lake, table, values)
+        result = UpsertResult(touched, moved, changed)
         tell(result)
+        index.add(changes.where(F.col("_hit").isNull() | ~old.eqNullSafe(F.col(partition_by))))
         rewritten = in_partitions(target, partition_by, touched)
         lake.replace_partitions(table, merged_rows(rewritten, rows, keys), partition_by, touched)
         return result
 
 
+def _keep(lake: Lake, table: str, values: DataFrame) -> str:
+    name = f"{table}-changed-{uuid.uuid4().hex}"
+    values.distinct().write.parquet(lake.kept_path(name))
+    return name
+
+
 def _changes(
     target: DataFrame,
     source: DataFrame,
@@ -97,16 +116,17 @@ def _changes(
     newest: str | None,
     scratch: Scratch,
     table: str,
+    keep: str | None = None,
 ) -> DataFrame:
     """Source rows that will stand in the table and do not yet, written out once.
 
-    They carry `_hit` (the key exists) and the old partition. Of the target only keys, the
+    They carry `_hit` (the key exists), the old partition and the old value of `keep`. Of the target only keys, the
     partition, the time and a hash of the row are joined; whole rows are read for keys whose
     versions have the same time and differ, which is rare.
     """
     others = [c for c in target.columns if c not in keys and c != newest]
     content = F.xxhash64(*[F.col(c) for c in target.columns if c not in keys])
-    carried = [c for c in (partition_by, newest) if c]
+    carried = [c for c in dict.fromkeys((partition_by, newest, keep)) if c and c not in keys]
     present = near_keys(target, source, keys).select(
         *keys,
         *[F.col(c).alias(f"_old_{c}") for c in carried],

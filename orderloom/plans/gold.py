@@ -44,11 +44,18 @@ def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -
     """One row per line with its order's date and its product's names.
 
     Orders and products are unique by key, so the joins keep the grain. No join hint: the
-    product side is broadcast where its size allows it and shuffled where it does not.
+    product side is broadcast where its size allows it and shuffled where it does not. Lines
+    are stored under the month of their order: where both sides have it, it is a key of the
+    join, so that a filter on the months of one side prunes the other as well.
     """
-    order_facts = orders.select("order_id", "customer_id", "order_date")
+    by_month = MONTH in items.columns and MONTH in orders.columns
+    month = [F.col(MONTH).alias("_month")] if by_month else []
+    order_facts = orders.select(F.col("order_id").alias("_order"), "customer_id", "order_date", *month)
+    same = F.col("_order") == F.col("order_id")
+    if by_month:
+        same = same & F.col("_month").eqNullSafe(F.col(MONTH))
     names = products.select(*PRODUCT_COLUMNS)
-    lines = items.drop(MONTH).join(order_facts, "order_id").join(names, "product_id")
+    lines = items.join(order_facts, same).drop(MONTH, "_month", "_order").join(names, "product_id")
     return lines.select(
         "order_item_id",
         "order_id",

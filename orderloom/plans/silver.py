@@ -35,6 +35,7 @@ BROKEN_ROW = "broken_row"
 ORPHAN_CUSTOMER = "orphan_customer"
 ORPHAN_ORDER = "orphan_order"
 ORPHAN_PRODUCT = "orphan_product"
+REASONS = (NULL_KEY, BAD_NUMBER, BAD_STATUS, BROKEN_ROW, ORPHAN_CUSTOMER, ORPHAN_ORDER, ORPHAN_PRODUCT)
 # A parent may land later than its child: such rows are tried again.
 RETRIED = (ORPHAN_CUSTOMER, ORPHAN_ORDER, ORPHAN_PRODUCT)
 

@@ -1,10 +1,11 @@
-"""Parquet tables under one root folder, published to the session catalog as views.
+"""Parquet tables under one root folder, shown in the session catalog.
 
 A rebuild writes a new `v=<n>` folder and readers move to it once its `_SUCCESS` file is
 there; nothing is overwritten while it is being read, and a failed job leaves the table as it
-was. Smaller changes replace whole partitions inside the current version. Tables that only
-grow (landing tables and quarantines) hold a folder per batch inside the version, whoever
-writes it: a batch that is written again replaces itself.
+was. Smaller changes replace whole partitions inside the current version, by Spark's dynamic
+partition overwrite. Tables that only grow (landing tables, quarantines, key indexes) hold a
+folder per batch inside the version, whoever writes it: a batch that is written again
+replaces itself.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ import datetime as dt
 import json
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +25,21 @@ from pyspark.sql import types as T
 from orderloom.config import LakeNames
 from orderloom.schemas import required
 from orderloom.session import filesystem, new_work_path, tune
+from orderloom.sources import catalog
+from orderloom.sources.catalog import quoted
 
 _SCHEMA_FILE = "_schema.json"
 _BATCH = "_batch"
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+@dataclass(frozen=True)
+class Replacement:
+    """Rows that become the whole content of the partitions `values`; the others are left alone."""
+
+    rows: DataFrame
+    column: str
+    values: list[dt.date | None]
+    sort_by: str | None = None
 
 
 @dataclass(frozen=True)
@@ -76,8 +86,17 @@ class Lake:
 
     @staticmethod
     def grows(table: str) -> bool:
-        """Landing tables and quarantines only get further rows, batch by batch."""
-        return table.startswith("bronze_") or table.endswith(("_rejected", "_orphans"))
+        """Landing tables, quarantines and key indexes only get further rows, batch by batch."""
+        return table.startswith("bronze_") or table.endswith(("_rejected", "_orphans", "_keys"))
+
+    def batches(self, table: str) -> int:
+        """Batch folders in the current version of a table that grows."""
+        return len(self._folders(self.current_path(table)))
+
+    def _folders(self, path: str) -> list[str]:
+        """Names of the partition folders under `path`."""
+        fs, pattern = filesystem(self.spark, f"{path}/*=*")
+        return sorted(s.getPath().getName() for s in fs.globStatus(pattern) or [])
 
     # ---- reading -----------------------------------------------------------------------
 
@@ -106,24 +125,29 @@ class Lake:
         return rows.select(*[F.col(quoted(c)) for c in schema.names])
 
     def _noted_schema(self, path: str) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self._text_of(f"{path}/{_SCHEMA_FILE}")))
+        return T.StructType.fromJson(json.loads(self.text_of(f"{path}/{_SCHEMA_FILE}")))
 
-    def _text_of(self, path: str) -> str:
+    def text_of(self, path: str) -> str:
         fs, hadoop_path = filesystem(self.spark, path)
         stream = fs.open(hadoop_path)
         text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()
         return text
 
-    def _put_text(self, path: str, text: str) -> None:
+    def is_file(self, path: str) -> bool:
+        fs, hadoop_path = filesystem(self.spark, path)
+        return fs.exists(hadoop_path)
+
+    def put_text(self, path: str, text: str) -> None:
         fs, hadoop_path = filesystem(self.spark, path)
         stream = fs.create(hadoop_path, True)
         stream.write(bytearray(text, "utf-8"))
         stream.close()
 
-    def _note_schema(self, path: str, schema: T.StructType) -> None:
-        """Keep the schema beside the files; a table without rows has no files to tell it."""
-        self._put_text(f"{path}/{_SCHEMA_FILE}", schema.json())
+    def _note_schema(self, path: str, schema: T.StructType, folder: str | None) -> None:
+        """Keep the schema beside the files, and which column is stored as folders."""
+        fields = [T.StructField(f.name, f.dataType, f.nullable, {"folder": True} if f.name == folder else {}) for f in schema]
+        self.put_text(f"{path}/{_SCHEMA_FILE}", T.StructType(fields).json())
 
     # ---- writing -----------------------------------------------------------------------
 
@@ -148,8 +172,8 @@ class Lake:
             into = f"{path}/{_BATCH}=published-{n}" if self.grows(table) else path
             write_parquet(required(df, table), into, partition_by, sort_by, add=n > 0)
             if n == 0:
-                self._note_schema(path, df.schema)
-        self._put_text(f"{path}/_SUCCESS", "")
+                self._note_schema(path, df.schema, partition_by)
+        self.put_text(f"{path}/_SUCCESS", "")
         self._register(table, path)
         self._forget_old_versions(table)
 
@@ -160,22 +184,32 @@ class Lake:
             fs, done = filesystem(self.spark, f"{self.path(table)}/v={newer}/_SUCCESS")
             age = time.time() - fs.getFileStatus(done).getModificationTime() / 1000
             if age > self.keep_for.total_seconds():
+                if self.in_catalog:
+                    catalog.forget(self.spark, self._in_schema_of(table), table, f"{self.path(table)}/v={old}")
                 self._delete(f"{self.path(table)}/v={old}")
 
-    def append(self, table: str, df: DataFrame, batch: str | None = None) -> None:
+    def append(
+        self,
+        table: str,
+        df: DataFrame,
+        batch: str | None = None,
+        partition_by: str | None = None,
+        sort_by: str | None = None,
+    ) -> None:
         """Add rows to a table that grows. Under the name of an earlier batch they replace it.
 
         Columns that the table does not have yet are added to it; earlier rows have NULL there.
         """
         if not self.exists(table):
-            self.publish_parts(table, [df.where("false")])
+            self.publish_parts(table, [df.where("false")], partition_by, sort_by)
         path = self.current_path(table)
         known = self._noted_schema(path)
         new = [f for f in df.schema if f.name not in known.names]
-        df.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch or uuid.uuid4().hex}")
+        folder = f"{_BATCH}={quote(batch or uuid.uuid4().hex, safe='')}"
+        write_parquet(df, f"{path}/{folder}", partition_by, sort_by)
         if new:
-            self._note_schema(path, T.StructType([*known, *new]))
-        self._register(table, path)
+            self._note_schema(path, T.StructType([*known, *new]), None)
+        self._register(table, path, [folder])
 
     def replace_partitions(
         self,
@@ -185,93 +219,77 @@ class Lake:
         values: list[dt.date | None],
         sort_by: str | None = None,
     ) -> None:
-        """Make `df` the whole content of the partitions `values`; leave the others alone.
+        """Make `df`, which may read the table itself, the whole content of the partitions `values`."""
+        self.replace({table: Replacement(df, column, values, sort_by)})
+
+    def replace(self, changes: dict[str, Replacement]) -> None:
+        """Replace partitions of several tables, all of them or none.
 
-        `df` may read the table itself: it is written beside the table first. Should the
-        driver be lost while partitions are swapped, `recover` finishes the swap.
+        The new rows are written beside the tables first and then noted. From there on the change will be made:
+        should the driver be lost while Spark swaps partitions, `recover` makes it again from these rows.
         """
-        self.recover(table)
-        path = self.current_path(table)
-        pending = f"{path}/_pending"
-        self._delete(pending)
-        write_parquet(required(df, table), pending, column, sort_by)
-        fs, _ = filesystem(self.spark, path)
-        for value in values:  # a value without rows leaves an empty folder
-            fs.mkdirs(self._hadoop_path(f"{pending}/{_partition_folder(column, value)}"))
-        fs.create(self._hadoop_path(f"{pending}/_ready"), True).close()
-        self._finish_replacement(path)
-        self._register(table, path)
+        self.recover(*changes)
+        steps = []
+        try:
+            for table, change in changes.items():
+                rows = f"{table}-rows-{uuid.uuid4().hex}"
+                step = {"table": table, "path": self.current_path(table), "rows": rows, "column": change.column, "sort_by": change.sort_by}
+                steps.append(step | {"values": [_partition_folder(change.column, v) for v in change.values]})
+                write_parquet(required(change.rows, table), self.kept_path(rows), change.column, change.sort_by)
+        except BaseException:
+            for step in steps:
+                self.drop_kept(step["rows"])
+            raise
+        self._carry_out(self.note("replace", steps), steps)
 
     def recover(self, *tables: str) -> None:
-        """Finish swaps that were cut short. For the table's one writer, before it reads."""
-        for table in tables:
-            if self.exists(table):
-                self._finish_replacement(self.current_path(table))
-
-    def _finish_replacement(self, path: str) -> None:
-        """Swap in the folders that were fully written beside the table, if there are any.
-
-        A folder is moved aside before the new one takes its place, and all that was moved is
-        deleted at the end only. Each step can be repeated, so a swap that was cut short goes
-        on where it stopped; a move that fails stops it with nothing lost.
-        """
-        pending = f"{path}/_pending"
-        fs, ready = filesystem(self.spark, f"{pending}/_ready")
-        if not fs.exists(ready):
-            return
-        aside = f"{pending}/_replaced"
-        fs.mkdirs(self._hadoop_path(aside))
-        for status in fs.globStatus(self._hadoop_path(f"{pending}/*=*")) or []:
-            new = status.getPath()
-            current = self._hadoop_path(f"{path}/{new.getName()}")
-            replaced = self._hadoop_path(f"{aside}/{new.getName()}")
-            if fs.exists(current) and not fs.exists(replaced):
-                self._move(fs, current, replaced)
-            if fs.listStatus(new):
-                self._move(fs, new, current)
-        fs.delete(ready, False)
-        self._delete(pending)
-
-    def _move(self, fs, source, target) -> None:
-        if not fs.rename(source, target):
-            raise OSError(f"could not move {source} to {target}; run again to go on")
-
-    def _hadoop_path(self, path: str):
-        return filesystem(self.spark, path)[1]
+        """Make changes that were noted and cut short. For the tables' one writer, before it reads."""
+        for note, steps in self.notes("replace").items():
+            if any(step["table"] in tables for step in steps):
+                self._carry_out(note, steps)
+
+    def _carry_out(self, note: str, steps: list[dict]) -> None:
+        for step in steps:
+            if step["path"] == self.current_path(step["table"]):  # a rebuild since then has made up for it
+                self._overwrite(step)
+        self.forget([note])
+        for step in steps:
+            self.drop_kept(step["rows"])
+
+    def _overwrite(self, step: dict) -> None:
+        """One table's part of a change; may be repeated."""
+        path, source = step["path"], self.kept_path(step["rows"])
+        fs, cut_short = filesystem(self.spark, f"{path}/.spark-staging-*")
+        for status in fs.globStatus(cut_short) or []:
+            fs.delete(status.getPath(), True)
+        rows = self.spark.read.schema(self._noted_schema(path)).parquet(source)
+        write_parquet(rows, path, step["column"], step["sort_by"], swap=True)
+        for folder in set(step["values"]) - set(self._folders(source)):
+            self._delete(f"{path}/{folder}")
+        self._register(step["table"], path, self._folders(source))
 
     def show_in_catalog(self, table: str) -> None:
-        """Make a stored table known to this session's catalog."""
+        """Make a stored table known to this session's catalog, with all that others have added to it."""
         self._register(table, self.current_path(table))
 
-    def _register(self, table: str, path: str) -> None:
-        """Show the table in the catalog under its schema, as a view of the current folder.
+    def _in_schema_of(self, table: str) -> Callable[[str], str]:
+        return lambda name: self._qualified(self.schema_of(table), name)
 
-        The view has the noted columns and types, also while the table has no file to tell them.
-        """
-        if not self.in_catalog:
+    def _register(self, table: str, path: str, changed: list[str] | None = None) -> None:
+        """Show the version in the catalog; `changed` names the folders that are new or replaced, None: any."""
+        if not self.in_catalog or table.endswith("_keys"):
             return
         self.create_schema(table)
-        fs, files = filesystem(self.spark, f"{path}/{{part-*,*=*/part-*}}")
-        fields = self._noted_schema(path).fields
-        if fs.globStatus(files):
-            merge = self.grows(table)
-            there = self.spark.read.option("mergeSchema", merge).parquet(path).columns
-            columns = [quoted(f.name) if f.name in there else "NULL" for f in fields]
-            source = f"FROM parquet.{quoted(path)} WITH ('mergeSchema' = '{str(merge).lower()}')"
-        else:
-            columns, source = ["NULL"] * len(fields), "WHERE false"
-        listed = ", ".join(
-            f"CAST({c} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
-            for c, f in zip(columns, fields)
-        )
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.view_name(table)} AS SELECT {listed} {source}")
+        schema = self._noted_schema(path)
+        folder = _BATCH if self.grows(table) else next((f.name for f in schema if f.metadata.get("folder")), None)
+        catalog.show(self.spark, self._in_schema_of(table), table, path, schema, folder, lambda: self._folders(path), changed)
 
     # ---- notes that outlive the driver -------------------------------------------------
 
     def note(self, kind: str, content: object) -> str:
         """Keep a small note under the lake's root; returns its name."""
         name = f"{kind}-{uuid.uuid4().hex}"
-        self._put_text(f"{self.root.rstrip('/')}/_notes/{name}", json.dumps(content))
+        self.put_text(f"{self.root.rstrip('/')}/_notes/{name}", json.dumps(content))
         return name
 
     def notes(self, kind: str) -> dict[str, object]:
@@ -279,7 +297,7 @@ class Lake:
         folder = f"{self.root.rstrip('/')}/_notes"
         fs, pattern = filesystem(self.spark, f"{folder}/{kind}-*")
         names = sorted(s.getPath().getName() for s in fs.globStatus(pattern) or [])
-        return {n: json.loads(self._text_of(f"{folder}/{n}")) for n in names}
+        return {n: json.loads(self.text_of(f"{folder}/{n}")) for n in names}
 
     def forget(self, names: Iterable[str]) -> None:
         for name in names:
@@ -303,8 +321,11 @@ def write_parquet(
     partition_by: str | None = None,
     sort_by: str | None = None,
     add: bool = False,
+    swap: bool = False,
 ) -> None:
-    """Write to a fresh path, or `add` to it; partitioned output gets few files per partition.
+    """Write to a fresh path, `add` to it, or `swap` the partitions that `df` has rows of.
+
+    Partitioned output gets few files per partition.
 
     The rebalance hint sends rows of one partition value to few tasks, and lets adaptive
     execution split a value that is too large for one task. Sorted files let a filter on
@@ -316,6 +337,8 @@ def write_parquet(
         if sort_by:
             df = df.sortWithinPartitions(partition_by, sort_by)
     writer = df.write.mode("append" if add else "overwrite")
+    if swap:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
@@ -352,5 +375,4 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def _partition_folder(column: str, value: dt.date | None) -> str:
-    # Fixed value: the folder name Spark gives to a NULL partition value.
-    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+    return f"{column}={catalog.NULL_FOLDER if value is None else value}"

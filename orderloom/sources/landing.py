@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.schemas import BRONZE, CORRUPT, INGEST_TS
-from orderloom.sources.lake import Lake, quoted
+from orderloom.session import filesystem
+from orderloom.sources.catalog import quoted
+from orderloom.sources.lake import Lake
 
 
 def to_bronze(df: DataFrame, table: str) -> DataFrame:
@@ -46,25 +51,62 @@ def string_schema(table: str) -> T.StructType:
     return T.StructType([f for f in BRONZE[table] if f.name != INGEST_TS])
 
 
-def csv_schema(spark: SparkSession, table: str, path: str) -> T.StructType:
-    """The columns that the files' header names, in its order, and one for rows that do not fit.
-
-    All files of one load have the same header; files with another one are loaded apart.
-    """
-    names = spark.read.csv(path, header=True, **_QUOTING).columns
+def csv_schema(spark: SparkSession, *paths: str) -> T.StructType:
+    """The columns that the header of these files names, in its order, and one for rows that do not fit."""
+    names = spark.read.csv(list(paths), header=True, **_QUOTING).columns
     return T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
 
 
-def from_csv(spark: SparkSession, table: str, path: str, multi_line: bool = False) -> DataFrame:
-    """CSV files with a header, in any order and with any further columns.
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The files under `path`; none of them is opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return sorted(r[0] for r in found.collect())
 
-    Everything stays text; blanks around values are kept, and quotes are doubled inside quoted
-    text. A row with more or fewer values than the header is kept, with its text in
-    `_corrupt_record`. `multi_line` allows line breaks inside quotes; such files are not
-    split, so a large one is read by one task.
+
+def by_header(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """The files in groups that share their first line; files without one are left out.
+
+    Only the beginning of each file is read, many files at a time. A header is one line, also where values may hold
+    line breaks.
+    """
+    with ThreadPoolExecutor(_READERS) as pool:
+        headers = pool.map(lambda file: _first_line(spark, file), files)
+        groups: dict[str, list[str]] = {}
+        for header, file in zip(headers, files):
+            if header is not None:
+                groups.setdefault(header, []).append(file)
+    return [groups[header] for header in sorted(groups)]
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """First line of a text file, compressed or not."""
+    jvm = spark._jvm
+    fs, path = filesystem(spark, file)
+    stream = fs.open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
+        plain = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def from_csv(spark: SparkSession, table: str, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """CSV files with a header each, in any order and with any further columns; a folder or a list of files.
+
+    Files need not have the same header: each group of files with one is a scan of its own, and a
+    column that some of them lack is NULL in their rows. Everything stays text; blanks around
+    values are kept, and quotes are doubled inside quoted text. A row with more or fewer values
+    than its header is kept, with its text in `_corrupt_record`. `multi_line` allows line breaks
+    inside quotes; such files are not split, so a large one is read by one task.
     """
-    reader = spark.read.schema(csv_schema(spark, table, path)).options(**CSV_OPTIONS)
-    return from_parsed(reader.csv(path, multiLine=multi_line), table)
+    scans = []
+    for files in by_header(spark, csv_files(spark, path) if isinstance(path, str) else path):
+        reader = spark.read.schema(csv_schema(spark, files[0])).options(**CSV_OPTIONS)
+        scans.append(from_parsed(reader.csv(files, multiLine=multi_line), table))
+    if not scans:  # no file, or no line in any
+        return to_bronze(spark.createDataFrame([], string_schema(table)), table)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def from_parsed(rows: DataFrame, table: str) -> DataFrame:
@@ -75,6 +117,8 @@ def from_parsed(rows: DataFrame, table: str) -> DataFrame:
     return to_bronze(rows.select(*columns), table)
 
 
+#: Files whose first lines are read at a time.
+_READERS = 32
 # How text is quoted. Quoted empty text is told from no text by a mark.
 _EMPTY = "\ue000empty"
 _QUOTING = {"quote": '"', "escape": '"'}
@@ -88,6 +132,8 @@ CSV_OPTIONS = {
     "emptyValue": _EMPTY,
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
+    # A row is judged by all its values, also where only some columns are asked for.
+    "columnPruning": False,
 }
 
 

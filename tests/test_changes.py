@@ -1,0 +1,240 @@
+"""Costs and results of changes: the key index, marts by deltas, rows that wait, passes of a rebuild, mixed headers."""
+
+import datetime as dt
+import gzip
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.operators import key_index
+from orderloom.operators.key_index import KeyIndex
+from orderloom.operators.upsert import upsert
+from orderloom.plans import deltas, runs
+from orderloom.sources import landing
+from orderloom.streaming import flows
+from tests import shop
+from tests.shop import rows
+from tests.test_storage import JAN, T, full_state, item
+
+MONTHS = [dt.date(2024, m, 1) for m in range(1, 13)]
+ITEMS = "silver_order_items"
+
+
+def table(spark, *values):
+    return spark.createDataFrame(list(values), "k long, v string, ts int, m date")
+
+
+# ---- key index --------------------------------------------------------------------------
+
+
+def spoil(lake, name, but=()):
+    """Make the files of all folders unreadable, except those of these months."""
+    for file in Path(lake.current_path(name)).rglob("*.parquet"):
+        if not any(f"={m}" in str(file) for m in but):
+            file.write_bytes(b"spoilt")
+
+
+def test_batch_with_an_old_and_a_new_key_reads_two_months(spark, new_lake):
+    lake = new_lake()
+    lake.publish(T, table(spark, *[(n, "x", 1, MONTHS[n // 10]) for n in range(110)]), "m")
+    first = upsert(lake, T, table(spark, (5, "early", 2, JAN)), ["k"], "m", newest="ts")
+    assert first.touched == [JAN]  # also builds the index
+    spoil(lake, T, but=(MONTHS[3], MONTHS[11]))
+    done = upsert(lake, T, table(spark, (35, "old", 2, MONTHS[3]), (500, "new", 1, MONTHS[11])), ["k"], "m", newest="ts")
+    assert done.touched == [MONTHS[3], MONTHS[11]]
+    kept = lake.read(T).where(F.col("m").isin(MONTHS[3], MONTHS[11]))
+    assert rows(kept.where("v <> 'x'"), "k", "v") == [(35, "old"), (500, "new")] and kept.count() == 11
+
+
+def test_index_reads_few_spans(spark, new_lake, monkeypatch):
+    monkeypatch.setattr(key_index, "SPAN_KEYS", 10)
+    lake = new_lake()
+    lake.publish(T, table(spark, *[(n, "x", 1, MONTHS[n // 100]) for n in range(1200)]), "m")
+    index = KeyIndex(lake, T, ["k"], "m")
+    assert index.partitions(table(spark, (0, "", 0, None))) == [JAN]
+    folders = list(Path(lake.current_path(index.name)).glob("_batch=*/_span=*"))
+    assert len(folders) >= 100
+    for folder in folders:  # a look-up of two keys opens the spans of these two alone
+        if folder.name not in {"_span=3", "_span=117"}:
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"spoilt")
+    assert index.partitions(table(spark, (35, "", 0, None), (1175, "", 0, None), (5000, "", 0, None))) == [JAN, MONTHS[11]]
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "v"]])
+def test_index_names_every_partition_of_a_key(spark, new_lake, monkeypatch, keys):
+    """Sparse, negative and null keys, null partitions, merges and moves, against the table itself."""
+    monkeypatch.setattr(key_index, "SPAN_KEYS", 3)
+    monkeypatch.setattr(key_index, "MERGE_AFTER", 3)
+    lake, rng = new_lake(), random.Random(1)
+    values = [rng.choice([n, -n, n * 10**15, -(2**62) + n]) for n in range(1, 60)]
+    month = lambda: rng.choice([*MONTHS[:4], None])
+    state = {k: month() for k in values[:30]}
+    lake.publish(T, table(spark, *[(k, str(k), 0, m) for k, m in state.items()]), "m")
+    index = KeyIndex(lake, T, keys, "m")
+    for step in range(1, 7):
+        batch = {k: month() for k in rng.sample(values, 12)}
+        state |= batch
+        upsert(lake, T, table(spark, *[(k, str(k), step, m) for k, m in batch.items()]), keys, "m", newest="ts")
+        assert sorted(rows(lake.read(T), "k", "m"), key=str) == sorted(state.items(), key=str)
+        wanted = rng.sample(values, 5)
+        named = index.partitions(table(spark, *[(k, str(k), 0, None) for k in wanted]))
+        assert {state[k] for k in wanted if k in state} <= set(named)
+        assert lake.batches(index.name) <= 4
+    assert index.partitions(table(spark, (7, "x", 0, None)).where("k > 7")) == []
+
+
+def test_rebuilt_table_gets_a_new_index(spark, new_lake):
+    lake = new_lake()
+    for month in MONTHS[:2]:
+        lake.publish(T, table(spark, (1, "a", 1, month)), "m")
+        assert KeyIndex(lake, T, ["k"], "m").partitions(table(spark, (1, "", 0, None))) == [month]
+    lake.publish(T, table(spark, (1, "a", 1, JAN)).where("k > 1"), "m")
+    assert KeyIndex(lake, T, ["k"], "m").partitions(table(spark, (1, "", 0, None))) == []
+    assert upsert(lake, T, table(spark, (1, "b", 1, JAN)), ["k"], "m", newest="ts").touched == [JAN]
+
+
+# ---- marts by deltas --------------------------------------------------------------------
+
+
+def test_changed_orders_alone_are_recomputed(spark, new_lake, monkeypatch):
+    """Cancelled, late, moved and undated lines; the month is never computed anew, and the result is that of a rebuild."""
+    lake = new_lake()
+    shop.build(lake)
+    stamps = {r.product_id: r._refreshed_at for r in lake.read(runs.MONTHLY).where("month_start = DATE'2024-07-01'").collect()}
+
+    def never(*_):
+        raise AssertionError("a whole month was computed")
+
+    monkeypatch.setattr(runs, "_refresh_months", never)
+    changes = [
+        (ITEMS, [item(101, 10, "CANCELLED", shop.T2), item(131, 13, "CANCELLED", shop.T2)]),
+        (ITEMS, [item(109, 10, "DELIVERED", shop.T1, "2"), item(171, 17, "SHIPPED", shop.T1), item(209, 20, "PENDING", shop.T1)]),
+        ("silver_orders", [("14", "1", "2024-01-31 00:00:00", "x", shop.T1), ("12", "1", "2024-03-28 00:00:00", "x", shop.T1), ("16", "1", None, "x", shop.T1)]),
+        (ITEMS, [item(141, 18, "DELIVERED", shop.T2)]),  # a line that goes to another order
+        ("silver_orders", [("20", "1", "2024-03-03 00:00:00", "x", shop.T2)]),
+    ]
+    for changed, values in changes:
+        months = runs.absorb(lake, changed, shop.bronze(spark, runs.BRONZE_OF[changed], values))
+        runs.refresh_gold(lake, months, dimensions=False)
+        assert lake.notes("months") == {}
+    refreshed = full_state(lake)
+    after = {r.product_id: r._refreshed_at for r in lake.read(runs.MONTHLY).where("month_start = DATE'2024-07-01'").collect()}
+    assert after == stamps  # rows that did not change were not refreshed
+    runs.run_gold(lake)
+    assert refreshed == full_state(lake)
+    kept = Path(lake.kept_path("x")).parent
+    assert not kept.exists() or not list(kept.glob("[!.]*"))
+
+
+def test_day_changes_count_orders_exactly(spark):
+    columns = "product_id long, order_id long, order_date timestamp, quantity int, line_total decimal(12,2), line_status string"
+
+    def lines(*values):
+        return spark.createDataFrame([(p, o, dt.datetime(2024, 1, d), q, None, s) for p, o, d, q, s in values], columns).withColumn("line_total", F.col("quantity").cast("decimal(12,2)"))
+
+    old = lines((1, 1, 1, 2, "DELIVERED"), (1, 1, 1, 3, "PENDING"), (1, 2, 1, 1, "DELIVERED"), (2, 3, 5, 4, "SHIPPED"), (1, 4, 9, 1, "PENDING"))
+    new = lines((1, 1, 1, 2, "DELIVERED"), (1, 2, 2, 1, "DELIVERED"), (2, 3, 5, 4, "RETURNED"), (1, 4, 9, 1, "PENDING"), (3, 5, 9, 7, "DELIVERED"))
+    got = {(r.product_id, r.order_day.day): r for r in deltas.day_changes(deltas.signed(old, new)).collect()}
+    assert {k: r.distinct_orders for k, r in got.items()} == {(1, 1): -1, (1, 2): 1, (2, 5): 0, (3, 9): 1}
+    assert (got[1, 1].units_pending, got[1, 1].units_delivered, got[1, 1].revenue_delivered) == (-3, -1, -1)
+    assert (got[2, 5].units_shipped, got[2, 5].units_returned) == (-4, 4)
+    assert deltas.net(deltas.signed(old, old)).isEmpty() and deltas.day_changes(deltas.signed(old, old)).isEmpty()
+
+
+# ---- rows that wait ---------------------------------------------------------------------
+
+
+def test_files_of_waiting_rows_do_not_grow_with_the_batches(spark, new_lake, monkeypatch):
+    monkeypatch.setattr(runs, "COMPACT_AFTER", 2)
+    lake = new_lake()
+    shop.build(lake)
+    most = 0
+    for n in range(7):
+        early = shop.bronze(spark, "bronze_order_items", [item(7000 + n, 700 + n, "DELIVERED", shop.T1)])
+        runs.absorb(lake, ITEMS, early, f"line-{n}")
+        if n in (1, 4):
+            order = shop.bronze(spark, "bronze_orders", [(str(700 + n), "1", "2024-05-05 00:00:00", "x", shop.T1)])
+            runs.absorb(lake, "silver_orders", order, f"order-{n}")
+        most = max(most, lake.batches(f"{ITEMS}_orphans"))
+    assert most <= runs.COMPACT_AFTER + 1
+    early = "order_id between 700 and 799"
+    waiting = runs.quarantine(lake, ITEMS).where(early)
+    assert sorted(r.order_id for r in waiting.collect()) == ["700", "702", "703", "705", "706"]
+    assert rows(lake.read(ITEMS).where(early), "order_id") == [(701,), (704,)]
+    assert lake.read(f"{ITEMS}_orphans").where("order_id = '701'").isEmpty()  # solved ones went with a compaction
+
+
+def test_row_waits_for_what_it_was_rejected_for(spark, new_lake):
+    lake = new_lake()
+    shop.build(lake)
+    line = shop.bronze(spark, "bronze_order_items", [item(800, 80, "DELIVERED", shop.T1, "9")])
+    runs.absorb(lake, ITEMS, line)
+    product = shop.bronze(spark, "bronze_products", [("9", "late", "Late", "x", "1.00", None, shop.T1)])
+    order = shop.bronze(spark, "bronze_orders", [("80", "1", "2024-05-05 00:00:00", "x", shop.T1)])
+    reasons = lambda: rows(runs.quarantine(lake, ITEMS).where("order_item_id = '800'"), "reject_reason")
+    assert reasons() == [("orphan_order",)]
+    runs.absorb(lake, "silver_orders", order)
+    assert reasons() == [("orphan_product",)]
+    runs.absorb(lake, "silver_products", product)
+    assert reasons() == [] and lake.read(ITEMS).where("order_item_id = 800").count() == 1
+
+
+# ---- rebuild in passes ------------------------------------------------------------------
+
+
+def test_rebuild_in_passes_equals_one(spark, new_lake):
+    once, passes = new_lake("once"), new_lake("passes")
+    for lake, n in ((once, 1), (passes, 3)):
+        shop.land(lake)
+        runs.run_silver(lake, passes=n)
+    for t in runs.BRONZE_OF:
+        assert rows(passes.read(t)) == rows(once.read(t), *passes.read(t).columns)
+        one, many = runs.quarantine(once, t), runs.quarantine(passes, t)
+        assert rows(many) == rows(one, *many.columns)
+
+
+# ---- CSV files with different headers -----------------------------------------------------
+
+
+def csv_folder(tmp_path):
+    folder = tmp_path / "mixed"
+    (folder / "later").mkdir(parents=True)
+    (folder / "a.csv").write_text("order_id,customer_id,order_date,shipping_address\n1,2,d,x\n")
+    (folder / "b.csv").write_text("shipping_address,order_id,channel,customer_id,order_date\ny,2,WEB,2,d\nz,3\n")
+    (folder / "later" / "c.csv").write_text("order_id,customer_id,order_date,shipping_address\n4,2,d,w\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "header.csv").write_text("order_id,colour\n")
+    with gzip.open(folder / "d.csv.gz", "wt") as out:
+        out.write("order_id,colour\n5,red\n")
+    return folder
+
+
+EXPECTED = [("1", "x", None, None, False), ("2", "y", "WEB", None, False), ("3", "z", None, None, True), ("4", "w", None, None, False), ("5", None, None, "red", False)]
+
+
+def _landed(df):
+    found = df.withColumn("broken", F.col("_corrupt_record").isNotNull())
+    return sorted(tuple(r) for r in found.select("order_id", "shipping_address", "channel", "colour", "broken").collect())
+
+
+def test_folder_of_csv_files_with_different_headers(spark, tmp_path):
+    folder = csv_folder(tmp_path)
+    assert len(landing.by_header(spark, landing.csv_files(spark, str(folder)))) == 3
+    assert _landed(landing.from_csv(spark, "bronze_orders", str(folder))) == EXPECTED
+    (tmp_path / "none").mkdir()
+    assert landing.from_csv(spark, "bronze_orders", str(tmp_path / "none")).count() == 0
+
+
+def test_csv_files_with_new_columns_arrive(spark, new_lake, tmp_path):
+    lake, folder, checkpoint = new_lake(), csv_folder(tmp_path), str(tmp_path / "progress")
+    late = (folder / "b.csv").read_text()
+    (folder / "b.csv").unlink()
+    for extra in (None, late):
+        if extra:
+            (folder / "b.csv").write_text(extra)
+        stream = flows.arriving(spark, "bronze_orders", f"{folder}", "csv", files_per_batch=2)
+        flows.land(stream, lake, "bronze_orders", checkpoint).awaitTermination()
+    assert _landed(lake.read("bronze_orders")) == [r for r in EXPECTED if r[0] != "4"]  # a stream reads one folder

@@ -111,32 +111,128 @@ def test_replace_partitions_leaves_the_others_alone(spark, new_lake):
     assert rows(lake.read(T), "k", "v", "m") == [(1, "new", JAN), (2, "b", FEB)]
 
 
-def test_interrupted_swap_is_finished_before_the_next_change(spark, new_lake, monkeypatch):
-    lake = new_lake()
-    lake.publish(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB), (3, "c", 0, MAR)), "m")
-
-    class Lost(Exception):
-        pass
-
-    def lost(self, path):
-        if filesystem(spark, f"{path}/_pending/_ready")[0].exists(self._hadoop_path(f"{path}/_pending/_ready")):
-            raise Lost
+class Lost(Exception):
+    """The driver is gone."""
+
+
+@pytest.mark.parametrize("lost_in", ["before the first table", "between the tables", "while partitions are swapped"])
+def test_interrupted_swap_is_finished_before_the_next_change(spark, new_lake, monkeypatch, lost_in):
+    lake, other = new_lake(), "silver_other"
+    for name in (T, other):
+        lake.publish(name, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB), (3, "c", 0, MAR)), "m")
+    plain, calls = type(lake)._overwrite, []
+
+    def lost(self, step):
+        calls.append(step)
+        if lost_in == "between the tables" and len(calls) == 1:
+            plain(self, step)
+            return
+        if lost_in == "while partitions are swapped":  # Spark deletes a partition before it moves the new one
+            for folder in step["values"]:
+                self._delete(f"{step['path']}/{folder}")
+            self._put_text(f"{step['path']}/.spark-staging-x/m=2024-01-01/part-0", "half")
+        raise Lost
 
+    changes = {
+        name: lake_module.Replacement(table(spark, (9, "z", 0, JAN)), "m", [JAN, FEB]) for name in (T, other)
+    }
     with monkeypatch.context() as m:
-        m.setattr(type(lake), "_finish_replacement", lost)
+        m.setattr(type(lake), "_overwrite", lost)
         with pytest.raises(Lost):
-            lake.replace_partitions(T, table(spark, (9, "z", 0, JAN)), "m", [JAN, FEB])
+            lake.replace(changes)
     lake.recover(T)
-    assert rows(lake.read(T), "k", "v", "m") == [(3, "c", MAR), (9, "z", JAN)]
-    fs, pending = filesystem(spark, f"{lake.current_path(T)}/_pending")
-    assert not fs.exists(pending)
+    for name in (T, other):
+        assert rows(lake.read(name), "k", "v", "m") == [(3, "c", MAR), (9, "z", JAN)]
+    assert lake.notes("replace") == {}
+    fs, left = filesystem(spark, f"{lake.current_path(T)}/.spark-staging-*")
+    assert not list(fs.globStatus(left) or []) and not list(fs.globStatus(lake_path(spark, lake.kept_path("*"))) or [])
+
+
+def lake_path(spark, path):
+    return filesystem(spark, path)[1]
 
 
-def test_staged_rows_without_ready_mark_are_ignored(spark, new_lake):
+def test_change_that_cannot_be_computed_changes_nothing(spark, new_lake):
+    lake, other = new_lake(), "silver_other"
+    for name in (T, other):
+        lake.publish(name, table(spark, (1, "a", 0, JAN)), "m")
+    good, bad = table(spark, (9, "z", 0, JAN)), table(spark, (9, "z", 0, JAN)).withColumn("v", F.expr("raise_error('no')"))
+    with pytest.raises(Exception):
+        lake.replace({T: lake_module.Replacement(good, "m", [JAN]), other: lake_module.Replacement(bad, "m", [JAN])})
+    lake.recover(T, other)
+    assert rows(lake.read(T), "k") == rows(lake.read(other), "k") == [(1,)]
+
+
+def test_rebuild_makes_up_for_a_lost_swap(spark, new_lake, monkeypatch):
     lake = new_lake()
     lake.publish(T, table(spark, (1, "a", 0, JAN)), "m")
-    table(spark, (5, "x", 0, JAN)).write.partitionBy("m").parquet(f"{lake.current_path(T)}/_pending")
-    assert rows(lake.read(T), "k") == [(1,)]
+    with monkeypatch.context() as m:
+        m.setattr(type(lake), "_overwrite", lambda *_: (_ for _ in ()).throw(Lost()))
+        with pytest.raises(Lost):
+            lake.replace_partitions(T, table(spark, (9, "z", 0, JAN)), "m", [JAN])
+    lake.publish(T, table(spark, (5, "new", 0, JAN)), "m")
+    lake.recover(T)
+    assert rows(lake.read(T), "k") == [(5,)] and lake.notes("replace") == {}
+
+
+# ---- catalog ----------------------------------------------------------------------------
+
+
+@pytest.fixture
+def shown_lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "shown"), LakeNames("shown_bronze", "shown_silver", "shown_gold"), keep_for=dt.timedelta(0))
+
+
+def test_catalog_follows_every_change(spark, shown_lake):
+    lake = shown_lake
+
+    def check():
+        assert rows(spark.table(f"shown_silver.{T}"), "k", "m") == rows(lake.read(T), "k", "m")
+
+    lake.publish(T, table(spark, (1, "a", 0, JAN)).where("k > 1"), "m")
+    check()
+    lake.replace_partitions(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, None)), "m", [JAN, None])
+    check()
+    lake.replace_partitions(T, table(spark, (3, "c", 0, FEB)), "m", [JAN, FEB])
+    check()
+    lake.replace_partitions(T, table(spark, (3, "d", 0, FEB)), "m", [FEB, None])
+    check()
+    assert spark.table(f"shown_silver.{T}").first().v == "d"
+    lake.publish(T, lake.read(T).withColumn("w", F.lit(1)), "m")
+    check()
+    assert spark.table(f"shown_silver.{T}").columns == lake.read(T).columns
+    stored = [t.name for t in spark.catalog.listTables("shown_silver") if t.name.startswith(f"{T}__")]
+    assert len(stored) == 1  # the replaced version is gone from the catalog as well
+
+
+def test_catalog_prunes_months_without_listing_the_others(spark, shown_lake):
+    shown_lake.publish(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB)), "m")
+    files = spark.table(f"shown_silver.{T}").where("m = DATE'2024-02-01'").inputFiles()
+    assert files and all("m=2024-02-01" in f for f in files)
+
+
+def test_append_costs_the_same_however_many_batches_there_are(spark, shown_lake, monkeypatch):
+    """Neither jobs nor files that are opened or listed grow with the number of batches."""
+    lake, name = shown_lake, "bronze_products"
+    some = landing.from_rows(spark, name, ["product_id"], [("1",)]).coalesce(1)
+    tracker, jobs, listed = spark.sparkContext.statusTracker(), [], []
+    plain = type(lake)._folders
+    monkeypatch.setattr(type(lake), "_folders", lambda self, path: listed.append(path) or plain(self, path))
+    for n in range(25):
+        spark.sparkContext.setJobGroup(f"append-{n}", "append")
+        listed.clear()
+        landing.load(lake, name, some if n != 20 else some.withColumn("colour", F.lit("red")), batch=str(n))
+        jobs.append((len(tracker.getJobIdsForGroup(f"append-{n}")), len(listed)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(set(jobs[2:])) == 1 and jobs[-1][1] == 0
+    shown = spark.table(f"shown_bronze.{name}")
+    assert shown.count() == 25 and shown.where("colour = 'red'").count() == 1
+    # Another session would find all that was written.
+    spark.sql(f"DROP VIEW shown_bronze.{name}")
+    for t in spark.catalog.listTables("shown_bronze"):
+        spark.sql(f"DROP TABLE shown_bronze.{t.name}")
+    lake.show_in_catalog(name)
+    assert spark.table(f"shown_bronze.{name}").count() == 25
 
 
 # ---- upsert -----------------------------------------------------------------------------
@@ -204,30 +300,6 @@ def test_losing_version_of_equal_time_moves_nothing(spark, new_lake):
     assert rows(lake.read(T), "k", "v", "m") == [(1, "b", FEB)]
 
 
-def test_failed_move_loses_nothing_and_can_be_repeated(spark, new_lake, monkeypatch):
-    lake = new_lake()
-    lake.publish(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB)), "m")
-
-    class Stubborn:
-        def __init__(self, fs):
-            self.fs = fs
-
-        def rename(self, *_):
-            return False
-
-        def __getattr__(self, name):
-            return getattr(self.fs, name)
-
-    plain = lake_module.filesystem
-    with monkeypatch.context() as m:
-        m.setattr(lake_module, "filesystem", lambda *a: (Stubborn(plain(*a)[0]), plain(*a)[1]))
-        with pytest.raises(OSError):
-            lake.replace_partitions(T, table(spark, (9, "z", 0, JAN)), "m", [JAN])
-        assert rows(lake.read(T), "k", "v", "m") == [(1, "a", JAN), (2, "b", FEB)]
-    lake.recover(T)
-    assert rows(lake.read(T), "k", "v", "m") == [(2, "b", FEB), (9, "z", JAN)]
-
-
 def test_null_in_a_required_column_fails_the_write(spark, new_lake):
     lake = new_lake()
     bad = spark.sql("SELECT CAST(NULL AS BIGINT) AS order_id, 1L AS customer_id")
