@@ -139,6 +139,7 @@ class Vocabulary:
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
+        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         keys, merged = [], []
         for token, rank in self.ranks.items():
@@ -327,6 +328,23 @@ class Vocabulary:
         """The bytes of a run of ids; ids that the vocabulary lacks are an error."""
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    def decode_slices(self, ids: bytes, starts: np.ndarray, counts: np.ndarray) -> bytes:
+        """The bytes of a run of ids, slice by slice, each of which must span what its start and the next one's say.
+
+        `starts` are code points in the text, `counts` ids of each slice, as `encode` gives them. An offset that does not
+        fit the ids is an error.
+        """
+        numbers, decoded = np.frombuffer(ids, "<u4"), self.decode(ids)
+        if int(counts.sum()) != len(numbers):
+            raise ValueError("slices do not cover the ids")
+        ends = np.r_[0, np.cumsum(self.sizes[numbers])][np.cumsum(counts)]
+        # Code points of the decoded bytes: all but continuation bytes begin one.
+        begins = (np.frombuffer(decoded, np.uint8) & 0xC0) != 0x80
+        upto = np.r_[0, np.cumsum(begins)]
+        if (len(starts) and starts[0] != 0) or not np.array_equal(upto[ends[:-1]], starts[1:]) or not begins[ends[:-1]].all():
+            raise ValueError("slices do not lie where their offsets say")
+        return decoded
+
 
 @lru_cache(4)
 def vocabulary(path: str) -> Vocabulary:
@@ -364,7 +382,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
 
 def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`encode`, and `decode` of the ids that it gave, in one pass: doc_id, n_tokens, ids, decoded.
+    """`encode`, and the bytes of the ids that it gave, decoded by its offsets, in one pass: doc_id, n_tokens, ids, decoded.
 
     The same as applying one after the other, with one Python worker and one copy of the vocabulary per task.
     """
@@ -377,8 +395,9 @@ def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_co
         for batch in batches:
             texts, row = texts_of(batch.column("text")), 0
             for start, end in chunks(texts):
-                ids = [x[0] for x in words.encode(texts[start:end])]
-                back = pa.array([words.decode(x) for x in ids], pa.binary())
+                found = list(words.encode(texts[start:end]))
+                ids = [x for x, _, _ in found]
+                back = pa.array([words.decode_slices(*x) for x in found], pa.binary())
                 counts = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(ids)), counts, pa.array(ids, pa.binary()), back], names)
                 row += len(ids)

@@ -75,7 +75,7 @@ def test_empty_table(spark):
 
 def test_very_long_text(spark):
     rng = random.Random(4)
-    text = " ".join(rng.choice(["aa", "bb", "cc", "dd", "e" * 300, "f."]) for _ in range(60_000))
+    text = " ".join(rng.choice(["aa", "bb", "cc", "dd", "e" * 300, "f."]) for _ in range(90_000))
     assert len(text) > 2 * collocations.BLOCK
     rows = [(1, text, "en"), (2, "e" * (2 * collocations.BLOCK), "en")]
     got = collocations.collocations(spark, spark.createDataFrame(rows, SCHEMA))
