@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import Staged, id_text, only, texts_of
 from orderloom.llm.components import components
+from orderloom.llm.membership import bitmap, probably_in
 from orderloom.llm.shingles import sets
 
 #: Words in a shingle, and the similarity in percent from which documents are linked.
@@ -61,6 +62,11 @@ def _first(n: np.ndarray | int, percent: int):
     return n - (n * percent + 99) // 100 + 1
 
 
+def _node(found: np.ndarray) -> int | None:
+    """Name of a row of the matrix: a digest of its set; none for an empty set."""
+    return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if len(found) else None
+
+
 def _buckets(documents: int) -> int:
     """Entries of the count table: four per document, within bounds that a broadcast can bear."""
     return 1 << min(24, max(20, (4 * documents).bit_length()))
@@ -69,7 +75,7 @@ def _buckets(documents: int) -> int:
 def _survey(docs: DataFrame, width: int, buckets: int) -> DataFrame:
     """Per document its set's size and digest (part is null); per task its count table, in parts."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n", "node", "part", "task", "counts"]
+    names = ["doc_id", "at", "n", "node", "part", "task", "counts"]
 
     def run(batches):
         from pyspark import TaskContext
@@ -80,7 +86,7 @@ def _survey(docs: DataFrame, width: int, buckets: int) -> DataFrame:
             sizes, nodes, seen, held = [], [], [], 0
             for found in sets(texts_of(batch.column("text")), width):
                 sizes.append(len(found))
-                nodes.append(xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if len(found) else None)
+                nodes.append(_node(found))
                 seen.append(found)
                 held += len(found)
                 if held > 1_000_000:
@@ -89,13 +95,13 @@ def _survey(docs: DataFrame, width: int, buckets: int) -> DataFrame:
             if held:
                 counts += np.bincount(np.concatenate(seen) & np.uint64(buckets - 1), minlength=buckets)
             none = pa.nulls(len(sizes), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none, pa.nulls(len(sizes), pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("at"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none, pa.nulls(len(sizes), pa.binary())], names)
         if ids is not None:
             parts = np.minimum(counts, 65535).astype(np.uint16).reshape(_PARTS, -1)
             task = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays([pa.nulls(_PARTS, ids), pa.nulls(_PARTS, pa.int64()), pa.nulls(_PARTS, pa.int64()), pa.array(range(_PARTS), pa.int32()), pa.array([task] * _PARTS, pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(_PARTS, ids), pa.nulls(_PARTS, pa.int64()), pa.nulls(_PARTS, pa.int64()), pa.nulls(_PARTS, pa.int64()), pa.array(range(_PARTS), pa.int32()), pa.array([task] * _PARTS, pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, node long, part int, task int, counts binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, at long, n long, node long, part int, task int, counts binary")
 
 
 def _count_table(survey: DataFrame, buckets: int) -> np.ndarray:
@@ -156,8 +162,8 @@ def _entries(docs: DataFrame, width: int, percent: int, table, blocks: int) -> D
         for batch in batches:
             for found in sets(texts_of(batch.column("text")), width):
                 n = len(found)
-                node = xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if n else 0
-                if not n or node in seen:
+                node = _node(found)
+                if node is None or node in seen:
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(node)
@@ -272,31 +278,29 @@ def _bound(percent: int):
 
 
 def _set_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The sets of the nodes in `wanted` (doc_id, node), from the texts of these documents alone.
+    """The sets of the nodes in `wanted` (node, at), each from the text of one row that has it.
 
-    A bitmap of fixed size over hashes of identifiers keeps most other texts out before the join.
+    Rows are told by `at`, a hash of identifier and text, so that null and repeated identifiers do no harm; a filter of
+    fixed size keeps most others out before their sets are computed. A set is taken for a node only if its digest says so.
     """
-    bits = 1 << 24
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    bitmap = (
-        wanted.select(place.alias("p")).groupBy(F.expr("p div 32768").alias("bucket")).agg(F.expr("bitmap_construct_agg(p % 32768)").alias("bits"))
-    )
-    kept = (
-        docs.withColumn("_p", place)
-        .withColumn("bucket", F.expr("_p div 32768"))
-        .join(F.broadcast(bitmap), "bucket")  # at most 512 rows of 4 KB
-        .where(F.expr("(cast(conv(hex(substring(bits, cast((_p % 32768) div 8 as int) + 1, 1)), 16, 10) as int) & shiftleft(1, cast(_p % 8 as int))) <> 0"))
-        .select("doc_id", "text")
-    )
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kept = probably_in(docs, "at", bitmap(wanted, "at")).select("at", "text")
 
     def run(batches):
+        given: set[int] = set()
         for batch in batches:
-            found = [x.tobytes() for x in sets(texts_of(batch.column("text")), width)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "shingles"])
+            rows: dict[str, list] = {"at": [], "node": [], "shingles": []}
+            for at, found in zip(batch.column("at").to_pylist(), sets(texts_of(batch.column("text")), width)):
+                node = _node(found)
+                if node is None or node in given:
+                    continue
+                if len(given) < 1_000_000:
+                    given.add(node)
+                for name, value in (("at", at), ("node", node), ("shingles", found.tobytes())):
+                    rows[name].append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), (pa.int64(), pa.int64(), pa.binary()))], list(rows))
 
-    computed = kept.mapInArrow(run, f"doc_id {kind}, shingles binary")
-    return computed.join(wanted, "doc_id").select("node", "shingles")
+    computed = kept.mapInArrow(run, "at long, node long, shingles binary")
+    return computed.join(wanted, ["node", "at"]).groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def _compare(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -321,16 +325,17 @@ def similar(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     """All documents whose sets of `width`-word shingles have a Jaccard similarity of `percent` or more.
 
     A text of fewer words is one shingle, a text without words has an empty set and is linked with nothing;
-    null counts as empty. Equal texts are members of one node. A null identifier is a row like any other, but
-    two texts under one identifier are compared as they come. An empty table gives empty results.
+    null counts as empty. Equal texts are members of one node. Rows with a null identifier, and different texts under
+    one identifier, are rows like any other, and links lead through them. An empty table gives empty results.
     """
     staged = Staged(spark)
-    docs = id_text(docs, id_col, text_col)
+    docs = id_text(docs, id_col, text_col).withColumn("at", F.xxhash64("doc_id", "text"))
     buckets = _buckets(docs.count())
     survey = staged.write("survey", _survey(docs, width, buckets))
     table = spark.sparkContext.broadcast(_count_table(survey, buckets))
-    members = survey.where("part is null").select("doc_id", F.col("n").alias("n_shingles"), "node")
-    nodes = staged.write("nodes", members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")))
+    rows_seen = survey.where("part is null").select("doc_id", "at", F.col("n").alias("n_shingles"), "node")
+    members = rows_seen.drop("at")
+    nodes = staged.write("nodes", rows_seen.where("node is not null").groupBy("node").agg(F.min("at").alias("at"), F.first("n_shingles").alias("n")))
     entries = only(nodes.agg(F.sum(F.expr(f"n - (n * {percent} + 99) div 100 + 1"))).collect())
     blocks = max(6, -(-entries // BLOCK))
     product = _entries(docs, width, percent, table, blocks).groupBy("block").applyInArrow(_multiply(percent, short), _FOUND)
@@ -348,7 +353,7 @@ def similar(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     pairs = staged.write("pairs-1", passing.union(stars).distinct())
 
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(longs.select("node")).distinct()
-    wanted = staged.write("wanted", nodes.join(needed, "node").select("doc_id", "node"))
+    wanted = staged.write("wanted", nodes.join(needed, "node").select("node", "at"))
     rows = staged.write("sets", _set_rows(docs, wanted, width))
     links = staged.write("links-1", _compare(pairs, rows, percent))
     classes = components(staged, links, "classes-1")
@@ -440,7 +445,10 @@ def _all_across(left: DataFrame, percent: int) -> DataFrame:
 
 
 def document_classes(found: Similar) -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest doc_id that a document reaches by links, itself included."""
+    """doc_id, n_shingles, component_id: the smallest doc_id that a document reaches by links, itself included.
+
+    A row without an identifier that reaches none has a null component.
+    """
     least = found.members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     whole = least.join(found.classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
     smallest = whole.groupBy("class").agg(F.min("least").alias("component_id"))
