@@ -19,6 +19,7 @@ of white space alone are left alone.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -405,8 +406,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc
     """`docs` without lines that another document, or an earlier line of the same one, has within `edits` edits.
 
     Lines of fewer than `least` characters go only where they are repeated exactly; blank lines stay.
-    All columns stay, in order, and _lines_seen and _lines_dropped are added: lines that were looked at and lines
-    left out. Of each class of linked lines the first place stays, by identifier, then number in the text. Null and empty texts stay as
+    All columns stay, in order, whatever their names, and _lines_seen and _lines_dropped (in place of such columns) are
+    added: lines that were looked at and lines left out. Of each class of linked lines the first place stays, by identifier, then number in the text. Null and empty texts stay as
     they are. Rows that repeat both identifier and text are treated alike. An empty table stays empty.
     """
     ship(spark)
@@ -414,9 +415,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc
     version = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), version.alias("version"))
     plan = repeated_lines(spark, slim, staged, edits, least, short)
-    plan = plan.select(F.col("doc_id").alias("_plan_id"), F.col("version").alias("_plan_version"), F.col("n_lines").alias("_lines_seen"), F.col("drop").alias("_drop"))
-    joined = docs.withColumn("_version", version).join(plan, F.col(id_col).eqNullSafe(F.col("_plan_id")) & (F.col("_version") == F.col("_plan_version")))
-    without = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("_drop", i)), "\n")
-    text = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(without)
-    columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return joined.select(*columns, F.col("_lines_seen").cast("long").alias("_lines_seen"), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_lines_dropped"))
+    # Names that no column of the documents can have.
+    own = {n: f"_{n}_{uuid.uuid4().hex}" for n in ("doc_id", "version", "n_lines", "drop", "this")}
+    plan = plan.select(*(F.col(n).alias(own[n]) for n in ("doc_id", "version", "n_lines", "drop")))
+    same = F.col(id_col).eqNullSafe(F.col(own["doc_id"])) & (F.col(own["this"]) == F.col(own["version"]))
+    joined = docs.withColumn(own["this"], version).join(plan, same)
+    without = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(own["drop"], i)), "\n")
+    text = F.when(F.col(own["drop"]).isNull(), F.col(text_col)).otherwise(without)
+    added = {"_lines_seen": F.col(own["n_lines"]), "_lines_dropped": F.coalesce(F.size(own["drop"]), F.lit(0))}
+    columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in added]
+    return joined.select(*columns, *(c.cast("long").alias(n) for n, c in added.items()))
