@@ -22,12 +22,14 @@ from orderloom.llm.common import Staged, only, ship
 SCALE, LEVELS = 256, (1, 4, 16)
 #: Queries and candidates in a block, and queries that are bounded at once.
 QUERIES, CANDIDATES, AT_ONCE = 8192, 2048, 512
+#: Bytes of a block, and blocks of candidates that a block of queries meets in one task at most.
+BLOCK_BYTES, TOGETHER = 1 << 22, 16
 #: Share of pairs left from which a level is computed for all pairs at once.
 DENSE = 0.05
 
 
 def _blocks(vectors: DataFrame, size: int) -> DataFrame:
-    """Blocks of at most `size` vectors of one length: block, length, ids and values (binary)."""
+    """Blocks of at most `size` vectors of one length and BLOCK_BYTES: block, length, ids and values (binary)."""
     names = ["part", "length", "ids", "values"]
 
     def run(batches):
@@ -43,7 +45,7 @@ def _blocks(vectors: DataFrame, size: int) -> DataFrame:
             for name, values in zip(batch.column("vec_id").to_pylist(), batch.column("v").to_pylist()):
                 rows = held.setdefault(len(values), [])
                 rows.append((name, values))
-                if len(rows) >= size:
+                if len(rows) >= min(size, max(1, BLOCK_BYTES // (8 * max(1, len(values))))):
                     yield pack(len(values))
         for length in list(held):
             yield pack(length)
@@ -145,14 +147,16 @@ def top_k(spark: SparkSession, table: DataFrame, is_query: Column, k: int = 5, i
     candidates = staged.write("candidates", _blocks(vectors.select("vec_id", "v"), CANDIDATES))
     queries = vectors.where("_query").select("vec_id", "v").distinct()
     queries = staged.write("queries", _blocks(queries, QUERIES))
-    # Candidate blocks are dealt to as many shares as there are blocks; every block of queries goes to every share.
-    shares = max(1, candidates.count())
+    # Candidate blocks are dealt to shares, enough to keep all tasks busy; every block of queries goes to every share.
+    found = max(1, candidates.count())
+    shares = max(min(found, 4 * spark.sparkContext.defaultParallelism), -(-found // TOGETHER))
     blocks = max(1, only(queries.agg(F.count("*")).collect()))
     left = candidates.select("length", "ids", "values", F.pmod(F.xxhash64("block"), F.lit(shares)).alias("share"))
     numbered = queries.select("length", F.col("ids").alias("qids"), F.col("values").alias("qvalues"), F.pmod(F.xxhash64("block"), F.lit(blocks)).alias("to"), "block")
     left = left.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     right = numbered.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
-    met = left.join(right, ["length", "to", "share"]).select("length", "ids", "values", "qids", "qvalues", "block")
+    # The copies are not seen in the size of the stored blocks, so that Spark must not choose to broadcast them.
+    met = left.hint("merge").join(right, ["length", "to", "share"]).select("length", "ids", "values", "qids", "qvalues", "block")
 
     def run(batches):
         for batch in batches:
@@ -161,9 +165,9 @@ def top_k(spark: SparkSession, table: DataFrame, is_query: Column, k: int = 5, i
                 length, ids, query_ids = batch.column("length")[i].as_py(), read("ids", "<i8"), read("qids", "<i8")
                 values, queries = read("values", "<f8").reshape(len(ids), length), read("qvalues", "<f8").reshape(len(query_ids), length)
                 q, at, score = best(queries, query_ids, values, ids, k)
-                row = np.full(len(q), batch.column("block")[i].as_py() << 20, np.int64) + q
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(query_ids[q]), pa.array(ids[at]), pa.array(score)], ["row", "query_id", "vec_id", "score"])
+                block = np.full(len(q), batch.column("block")[i].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (block, q, query_ids[q], ids[at], score)], ["block", "row", "query_id", "vec_id", "score"])
 
-    found = met.mapInArrow(run, "row long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    scored = met.mapInArrow(run, "block long, row long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("block", "row").orderBy(F.desc("score"), "vec_id"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
