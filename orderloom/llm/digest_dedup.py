@@ -52,7 +52,7 @@ def mark_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         .select(
             "doc_id",
             "row",
-            F.sha2(text.cast("binary"), 256).alias("digest"),
+            F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"),
             F.octet_length(text).alias("bytes"),
             F.xxhash64(text).alias("check"),
             F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("row")), F.lit(runs)).alias("run"),
@@ -66,8 +66,9 @@ def mark_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         place = FAN**step
         own = F.expr(f"at div {place}") % FAN
         new = F.expr(f"pmod(check, {runs}) div {place}") % FAN
-        merged = merged.withColumn("at", F.col("at") + (new - own) * place)
-        merged = merged.groupBy("at", *_KEY).agg(chosen("stays").alias("stays"), F.sum("n").alias("n"))
+        # A run is one partition: it is sorted by digest there, and entries that follow each other are merged.
+        merged = merged.withColumn("at", F.col("at") + (new - own) * place).repartition("at")
+        merged = merged.sortWithinPartitions("at", *_KEY).groupBy("at", *_KEY).agg(chosen("stays").alias("stays"), F.sum("n").alias("n"))
     merged = staged.write("merged", merged.drop("at"))
     back = entries.select("run", *_KEY).join(merged, [*_KEY])
     return rows.join(back, ["run", *_KEY]).select(
@@ -75,5 +76,5 @@ def mark_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         F.col("stays.doc_id").alias("keep_id"),
         F.col("n").alias("group_size"),
         (F.col("row") == F.col("stays.row")).alias("kept"),
-        F.col("digest").alias("text_sha256"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )
