@@ -114,7 +114,7 @@ def test_bounds_never_drop_a_winner():
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_its_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     got = registry.queries()[name](spark, SF_DIR)
     rows = duck.execute(f"SELECT {', '.join(got.columns)} FROM ({registry.oracle_sql()[name]})").fetchall()
