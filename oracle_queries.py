@@ -192,6 +192,20 @@ moved_orders AS (
 )""",
         _FACT.format(items="latest").replace("JOIN orders o", "JOIN moved_orders o"),
     )
+    # Every 50th order arrives last, when the others have moved the watermark to seven days before the newest line.
+    dealt = _with(
+        lines,
+        fact,
+        """
+marks AS (
+    SELECT max(order_date) FILTER (WHERE order_id % 50 <> 0) - INTERVAL 7 DAY AS before_late,
+           max(order_date) - INTERVAL 7 DAY AS at_end FROM fact
+),
+dealt AS (
+    SELECT fact.*, order_id % 50 = 0 AND date_trunc('week', order_date) + INTERVAL 7 DAY <= before_late AS late,
+           date_trunc('week', order_date) + INTERVAL 7 DAY <= at_end AS closed FROM fact, marks
+)""",
+    )
     return {
         "silver_customers": f"""
             SELECT {customer}, lower(c_name) || '@mail.example' AS email,
@@ -327,6 +341,10 @@ moved_orders AS (
         "mart_daily_by_deltas": on_moved + daily,
         "mart_weekly_by_deltas": on_moved + weekly,
         "mart_monthly_by_deltas": on_moved + monthly,
+        "weekly_windows_closed": dealt + weekly.replace("FROM fact", "FROM dealt WHERE closed AND NOT late"),
+        "weekly_windows_late": dealt
+        + """SELECT order_item_id, order_id, product_id, order_date, quantity, line_total, line_status,
+                    'late' AS late_reason FROM dealt WHERE late""",
         "items_still_waiting": _with(lines)
         + """SELECT CAST(order_item_id AS VARCHAR) AS order_item_id, CAST(order_id AS VARCHAR) AS order_id,
                     CAST(product_id AS VARCHAR) AS product_id, 'orphan_order' AS reject_reason

@@ -32,12 +32,13 @@ from orderloom.schemas import (
 from orderloom.session import filesystem, new_work_path, tune
 from orderloom.sources import landing, sample_tables
 from orderloom.sources.lake import Lake, stage
-from orderloom.streaming import flows
+from orderloom.streaming import flows, weekly
 
-# The day the reports are asked on, a day with sales, the month read on its own.
+# The day the reports are asked on, a day with sales, the month read on its own, where the history is halved.
 AS_OF = dt.date(2001, 8, 2)
 BUSY_DAY = dt.date(2001, 7, 26)
 LAST_MONTH = dt.date(2001, 7, 1)
+HALFWAY = dt.date(1998, 1, 1)
 
 ITEMS = "silver_order_items"
 
@@ -418,6 +419,31 @@ def rejects_by_load(s: SampleLake) -> DataFrame:
     return s.spark.createDataFrame(found, "table_name string, reject_reason string, n_rows long")
 
 
+def _week_feed(s: SampleLake) -> Lake:
+    """The fact as lines that arrive in three runs: the earlier half, the later half, and some lines of both that are late."""
+
+    def build() -> Lake:
+        source, lake = s.gold(), new_lake(s.spark, "weeks")
+        lake.publish(runs.DIM_PRODUCT, source.read(runs.DIM_PRODUCT))
+        fact, folder = source.read(runs.FACT), f"{lake.root}/incoming"
+        behind, later = F.col("order_id") % 50 == 0, F.col("order_date") >= F.lit(HALFWAY)
+        for arrived in (~behind & ~later, ~behind & later, behind):
+            fact.where(arrived).write.mode("append").parquet(folder)
+            lines = s.spark.readStream.schema(fact.schema).parquet(folder)
+            weekly.close_weeks(lines, lake, f"{lake.root}/checkpoint").awaitTermination()
+        return lake
+
+    return s._once("weeks", build)
+
+
+def weekly_windows_closed(s: SampleLake) -> DataFrame:
+    return weekly.closed_weeks(_week_feed(s))
+
+
+def weekly_windows_late(s: SampleLake) -> DataFrame:
+    return _week_feed(s).read(weekly.LATE)
+
+
 def _marts_by_deltas(s: SampleLake) -> Lake:
     """Marts of clean lines, brought up to date for corrected, late and moved ones by what changed alone."""
 
@@ -524,6 +550,8 @@ _QUERIES: dict[str, Callable[[SampleLake], DataFrame]] = {
     "mart_daily_by_deltas": _mart_by_deltas(runs.DAILY, gold.DAY),
     "mart_weekly_by_deltas": _mart_by_deltas(runs.WEEKLY, gold.WEEK),
     "mart_monthly_by_deltas": _mart_by_deltas(runs.MONTHLY, gold.MONTH_START),
+    "weekly_windows_closed": weekly_windows_closed,
+    "weekly_windows_late": weekly_windows_late,
     "items_still_waiting": items_still_waiting,
     "csv_mixed_headers": csv_mixed_headers,
 }

@@ -86,8 +86,8 @@ class Lake:
 
     @staticmethod
     def grows(table: str) -> bool:
-        """Landing tables, quarantines and key indexes only get further rows, batch by batch."""
-        return table.startswith("bronze_") or table.endswith(("_rejected", "_orphans", "_keys"))
+        """Landing tables, quarantines, key indexes and closed weeks only get further rows, batch by batch."""
+        return table.startswith("bronze_") or table.endswith(("_rejected", "_orphans", "_keys", "_closed", "_late"))
 
     def batches(self, table: str) -> int:
         """Batch folders in the current version of a table that grows."""
