@@ -2,7 +2,8 @@
 
 A candidate run of base64 or hex is decoded and parsed before it is reported: private keys as nested
 DER lengths or as length-prefixed OpenSSH fields, signed tokens by their JSON header. Whatever does not
-parse to its end is not reported on this ground.
+parse to its end is not reported on this ground. A key may begin anywhere in a run and ends with it, or where the
+alphabet of the run changes; runs that are wrapped at the ends of lines, quoted or parted by colons are joined first.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 
 from orderloom.llm.spans import Span
 
@@ -20,13 +22,20 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}+")
 # Candidates for structural confirmation.
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})PRIVATE KEY-----([A-Za-z0-9+/=\s\\]+)-----END ")
-_PEM_END = re.compile(r"[A-Z0-9 ]{0,40}PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----")
+_PEM_END = re.compile(r"-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----")
+_PEM_LINE = re.compile(r"\\r|\\n|[\r\n]")
+_PEM_HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}+={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{40,76}+[\x20\t]{0,4}\r?\n[\x20\t>|#*]{0,12})+[A-Za-z0-9+/]+={0,2}")
 # A first byte of 0x30, the tag of a sequence of any length, or the start of the OpenSSH magic.
 _KEY_START = re.compile(r"M[A-P]|b3BlbnNza")
-_HEX_KEY = re.compile(r"30(?:8[12])?[0-9a-fA-F]{60,}+")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]*+")
+_HEX_RUN = re.compile(r"[0-9a-fA-F]{64,}+")
+_PARTED_HEX = re.compile(r"(?<![0-9a-fA-F])[0-9a-fA-F]{2}(?::\s{0,12}[0-9a-fA-F]{2}){30,}+(?![0-9a-fA-F])")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9])ey[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]*+")
+_TOKEN_START = re.compile(r"(?<=[_-])ey")
+#: Bytes of the largest key, and characters of the longest token header, that are looked for inside a longer run.
+MOST_KEY, MOST_HEADER = 1 << 14, 1 << 13
 _SSH_MAGIC = b"openssh-key-v1\0"
 _SEQUENCE, _INTEGER, _OCTETS, _OBJECT = 0x30, 0x02, 0x04, 0x06
 
@@ -118,30 +127,113 @@ def is_signed_token(run: str) -> bool:
         return False
 
 
-def _structural(text: str) -> list[Span]:
+def _pem(text: str) -> list[Span]:
+    """Keys between marks: what stands between is a key, or encrypted by the header lines that precede it."""
     found: list[Span] = []
-    if "PRIVATE KEY-----" in text:
-        for match in _PEM.finditer(text):
-            end = _PEM_END.match(text, match.end())
-            data = _decode(re.sub(r"\\n|\s", "", match[2]))
-            if end and data and (is_private_key(data) or is_ssh_key(data)):
-                found.append(("pem", match.start(), end.end(), False))
-    inside = lambda a, b: any(x <= a and b <= y for _, x, y, _ in found)
+    for match in _PEM.finditer(text):
+        stop = text.find("-----", match.end())
+        end = _PEM_END.match(text, stop) if stop >= 0 else None
+        if not end:
+            continue
+        lines = [line.strip(" \t>|#*\"'") for line in _PEM_LINE.split(text[match.end() : stop])]
+        body = [line for line in lines if not _PEM_HEADER.match(line)]
+        data = _decode("".join("".join(body).split()))
+        encrypted = any(line.startswith("Proc-Type:") and "ENCRYPTED" in line for line in lines) and any(line.startswith("DEK-Info:") for line in lines)
+        if data and (is_private_key(data) or is_ssh_key(data) or (encrypted and len(data) >= 32 and len(data) % 8 == 0)):
+            found.append(("pem", match.start(), end.end(), False))
+    return found
+
+
+def _size_at(data: bytes) -> int:
+    """Bytes of the sequence that begins here, as its header tells, if a private key may; else 0."""
+    if len(data) < 6 or data[0] != _SEQUENCE:
+        return 0
+    width = data[1] & 0x7F if data[1] & 0x80 else 0
+    if width > 4 or len(data) < 3 + width or data[2 + width] not in (_INTEGER, _SEQUENCE):
+        return 0
+    return 2 + (width + int.from_bytes(data[2 : 2 + width], "big") if width else data[1])
+
+
+def _keys_in(run: str, breaks: frozenset[int] = frozenset()) -> list[tuple[str, int, int]]:
+    """Kind, start and end of the keys in a base64 run; a key ends with it, at a break, or where the alphabet changes."""
+    found, upto = [], 0
+    for match in _KEY_START.finditer(run):
+        start = match.start()
+        if start < upto:
+            continue
+        if match.group() == "b3BlbnNza":
+            data = _decode(run[start:])
+            if data and is_ssh_key(data):
+                found.append(("ssh", start, len(run)))
+                upto = len(run)
+            continue
+        size = _size_at(_decode(run[start : start + 12]) or b"")
+        chars = -(-size * 4 // 3)
+        end = start + chars
+        if not size or size > MOST_KEY or end > len(run.rstrip("=")):
+            continue
+        key, after = run[start:end], run[end : end + 1]
+        if ("+" in key or "/" in key) and ("-" in key or "_" in key):
+            continue
+        ends = not after or after == "=" or end in breaks or (after in "-_" and not ("-" in key or "_" in key)) or (after in "+/" and not ("+" in key or "/" in key))
+        data = _decode(key) if ends else None
+        if data and len(data) == size and is_private_key(data):
+            while run[end : end + 1] == "=":
+                end += 1
+            found.append(("der", start, end))
+            upto = end
+    return found
+
+
+def _hex_key_in(data: bytes) -> int | None:
+    """Where a key begins that ends with these bytes."""
+    for match in re.finditer(b"\x30", data):
+        at = match.start()
+        if _size_at(data[at : at + 8]) == len(data) - at and is_private_key(data[at:]):
+            return at
+    return None
+
+
+def _structural(text: str) -> list[Span]:
+    found = _pem(text) if "PRIVATE KEY-----" in text else []
+    # Spans that are found, in order: nothing inside them is reported again.
+    taken = [(a, b) for _, a, b, _ in found]
+
+    def add(kind: str, a: int, b: int) -> None:
+        i = bisect_right(taken, (a, len(text)))
+        if (i and taken[i - 1][1] > a) or (i < len(taken) and taken[i][0] < b):
+            return
+        taken.insert(i, (a, b))
+        found.append((kind, a, b, False))
+
+    for match in _WRAPPED.finditer(text) if "\n" in text else ():
+        at = [i for i, c in enumerate(match.group(), match.start()) if c.isalnum() or c in "+/="]
+        breaks = frozenset(n for n in range(1, len(at)) if at[n] - at[n - 1] > 1)
+        for kind, a, b in _keys_in("".join(text[i] for i in at), breaks):
+            add(kind, at[a], at[b - 1] + 1)
     for match in _BASE64.finditer(text):
+        for kind, a, b in _keys_in(match.group()):
+            add(kind, match.start() + a, match.start() + b)
+    for match in _HEX_RUN.finditer(text):
         run = match.group()
-        if not _KEY_START.match(run) or inside(*match.span()):
+        at = _hex_key_in(bytes.fromhex(run[len(run) % 2 :])) if "30" in run else None
+        if at is not None:
+            add("der", match.start() + len(run) % 2 + 2 * at, match.end())
+    for match in _PARTED_HEX.finditer(text) if ":" in text else ():
+        data = bytes.fromhex("".join(match.group().replace(":", " ").split()))
+        at = _hex_key_in(data)
+        if at is not None:
+            pairs = [m.start() for m in re.finditer("[0-9a-fA-F]{2}", match.group())]
+            add("der", match.start() + pairs[at], match.end())
+    for match in _TOKEN.finditer(text) if "ey" in text else ():
+        run, header = match.group(), match.group().find(".")
+        if is_signed_token(run):
+            found.append(("jwt", *match.span(), False))
             continue
-        data = _decode(run)
-        if data and is_private_key(data):
-            found.append(("der", *match.span(), False))
-        elif data and is_ssh_key(data):
-            found.append(("ssh", *match.span(), False))
-    for match in _HEX_KEY.finditer(text):
-        run = match.group()
-        if len(run) % 2 == 0 and is_private_key(bytes.fromhex(run)):
-            found.append(("der", *match.span(), False))
-    if "ey" in text:
-        found += [("jwt", *m.span(), False) for m in _TOKEN.finditer(text) if is_signed_token(m.group())]
+        for start in _TOKEN_START.finditer(run, max(1, header - MOST_HEADER), header):
+            if is_signed_token(run[start.start() :]):
+                found.append(("jwt", match.start() + start.start(), match.end(), False))
+                break
     return found
 
 

@@ -220,9 +220,43 @@ def test_short_keys_are_confirmed_by_structure():
             assert [k for k, _, _, base in secrets.find(base64.b64encode(other).decode()) if not base] == []
 
 
+def test_keys_that_are_glued_wrapped_parted_or_quoted():
+    rng = random.Random(10)
+    b64 = lambda x: base64.b64encode(x).decode()
+    wrap = lambda x, n, by="\n": by.join(x[i : i + n] for i in range(0, len(x), n))
+    got = lambda text: [(k, text[a:b]) for k, a, b, base in secrets.find(text) if not base]
+    token = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (json.dumps({"alg": "HS256"}).encode(), b'{"sub":"1"}', b"signature"))
+    found = planted = 0
+    for _ in range(60):
+        size = rng.randint(30, 80)
+        rsa = _der(0x30, _der(2, b"\0") + b"".join(_der(2, b"\x01" + rng.randbytes(size)) for _ in range(8)))
+        key = b64(rsa)
+        colons = ":".join(f"{c:02x}" for c in rsa)
+        cases = [
+            (f"x KEY_{key} y", "der", key), (f"x key-{key} y", "der", key), (f"a/{key}", "der", key), (f"\"{key}\",", "der", key),
+            (f"x\n{wrap(key, 64)}\ny", "der", wrap(key, 64)), (f"x\n{wrap(key, 76)}\n", "der", wrap(key, 76)), (f"> {wrap(key, 64, chr(10) + '> ')}\n", "der", wrap(key, 64, "\n> ")),
+            (f"hex {colons} end", "der", colons), (f"hex {wrap(colons, 45, chr(10) + '    ')} end", "der", wrap(colons, 45, "\n    ")),
+            (f"3030{rsa.hex()} x", "der", rsa.hex()), (f"00:30:{colons} x", "der", colons),
+            (f"id-{token} x", "jwt", token), (f"id_{token} x", "jwt", token), (f"eyes-{token} x", "jwt", token),
+        ]
+        for text, kind, source in cases:
+            planted += 1
+            found += (kind, source) in got(text)
+        for other in (f"KEY_{b64(rsa[:-1])} y", f"x\n{wrap(b64(rsa + bytes(2)), 64)}\ny", ":".join(f"{c:02x}" for c in rsa[:-1]), f"3030{rsa[:-1].hex()}"):
+            assert got(other) == []
+    assert found == planted
+    body = b64(rng.randbytes(608))
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011\n\n"
+    mark = lambda inner: f"-----BEGIN RSA PRIVATE KEY-----\n{inner}\n-----END RSA PRIVATE KEY-----"
+    quoted = "> " + mark(wrap(key, 64)).replace("\n", "\n> ")
+    assert got(mark(headers + wrap(body, 64))) == [("pem", mark(headers + wrap(body, 64)))]
+    assert got(quoted) == [("pem", quoted[2:])]
+    assert got(mark(wrap(body, 64))) == [] and got(mark(headers)) == []
+
+
 def test_long_runs_take_linear_time():
     start = time.process_time()
-    for text in ("1" * 200_000, "a" * 200_000, "1." * 100_000, "+" + "1" * 200_000, "+1 " * 60_000, "a@" * 100_000, "ey" * 100_000, "3082" * 60_000, "token " * 30_000, "-----BEGIN PRIVATE KEY-----" * 8000, "one " * 50_000):
+    for text in ("1" * 200_000, "a" * 200_000, "1." * 100_000, "+" + "1" * 200_000, "+1 " * 60_000, "a@" * 100_000, "ey" * 100_000, "3082" * 60_000, "token " * 30_000, "ey-" * 60_000 + ".abcd.x", "MIIEAgEA" * 25_000, "30:" * 60_000 + "30", ("M" * 64 + "\n") * 3000, "-----BEGIN PRIVATE KEY-----" * 8000, "one " * 50_000):
         pii.find(text)
         secrets.find(text)
     assert time.process_time() - start < 30
