@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from orderloom.functions.periods import ordered
 from orderloom.sources.lake import Lake
 
-#: Keys that a span holds on average; spans listed in a filter; batches after which entries are merged.
-SPAN_KEYS, LISTED, MERGE_AFTER = 4_000_000, 1_000, 16
+#: Keys that a span holds on average; spans listed in a filter; batches after which entries are merged;
+#: folders that a batch may write beyond those that the number of keys accounts for.
+SPAN_KEYS, LISTED, MERGE_AFTER, FOLDERS = 4_000_000, 1_000, 16, 64
 _SPAN, _KEY = "_span", "key"
 _OF = "_of"
 
@@ -61,12 +62,16 @@ class KeyIndex:
         """Index the table as it is: one pass over its keys."""
         rows = self.lake.read(self.table)
         entries = rows.select(self._value(rows).alias(_KEY), self.column)
+        return self._deal(entries)
+
+    def _deal(self, entries: DataFrame) -> dict:
+        """Store all entries in spans as wide as their number and range ask for."""
         n, low, high = entries.agg(F.count("*"), F.min(_KEY), F.max(_KEY)).first()
         width = (high - low + 1) // max(1, n // SPAN_KEYS) if n else 1
-        return self._publish(entries, min(max(1, width), 1 << 62))
+        return self._publish(entries, min(max(1, width), 1 << 62), n)
 
-    def _publish(self, entries: DataFrame, width: int) -> dict:
-        about = {"path": self.lake.current_path(self.table), "width": width}
+    def _publish(self, entries: DataFrame, width: int, n: int) -> dict:
+        about = {"path": self.lake.current_path(self.table), "width": width, "entries": n}
         spanned = entries.select(_KEY, self.column, _span(width))
         self.lake.publish(self.name, spanned, _SPAN, sort_by=_KEY)
         # Written last: an index without it is built again.
@@ -87,14 +92,26 @@ class KeyIndex:
         return ordered(r[0] for r in found.collect())
 
     def add(self, rows: DataFrame) -> None:
-        """Note where these rows will be; to be called before they get there."""
-        width = self._ready()["width"]
-        if rows.isEmpty():
+        """Note where these rows will be; to be called before they get there.
+
+        Spans that were laid out for few keys, or for none, would be a folder for every few of these: the index is
+        then dealt anew.
+        """
+        about = self._ready()
+        width, known = about["width"], about.get("entries", 0)
+        entries = rows.select(self._value(rows).alias(_KEY), self.column)
+        spanned = entries.withColumn(_SPAN, _span(width))
+        n, spans = spanned.agg(F.count("*"), F.approx_count_distinct(_SPAN)).first()
+        if not n:
+            return
+        stored = self.lake.read(self.name).select(_KEY, self.column)
+        if not known or spans > FOLDERS + 2 * (known + n) // SPAN_KEYS:
+            self._deal(stored.unionByName(entries).distinct())
             return
-        entries = rows.select(self._value(rows).alias(_KEY), self.column).withColumn(_SPAN, _span(width))
-        self.lake.append(self.name, entries, f"added-{uuid.uuid4().hex}", _SPAN, sort_by=_KEY)
+        self.lake.append(self.name, spanned, f"added-{uuid.uuid4().hex}", _SPAN, sort_by=_KEY)
         if self.lake.batches(self.name) > MERGE_AFTER:
-            self._publish(self.lake.read(self.name).select(_KEY, self.column).distinct(), width)
+            merged = self.lake.read(self.name).select(_KEY, self.column).distinct()
+            self._publish(merged, width, known + n)
 
 
 def _span(width: int) -> Column:

@@ -86,6 +86,19 @@ def test_index_names_every_partition_of_a_key(spark, new_lake, monkeypatch, keys
     assert index.partitions(table(spark, (7, "x", 0, None)).where("k > 7")) == []
 
 
+@pytest.mark.parametrize("before", [0, 10])
+def test_index_of_few_keys_is_dealt_anew_for_many(spark, new_lake, before):
+    """A table that was empty or tiny when it was indexed does not get a folder per key."""
+    lake = new_lake()
+    lake.publish(T, table(spark, (0, "x", 1, JAN)).join(spark.range(before), how="cross").select(F.col("id").alias("k"), "v", "ts", "m"), "m")
+    many = table(spark, (0, "x", 2, MONTHS[1])).join(spark.range(3000), how="cross").select((F.col("id") + 100).alias("k"), "v", "ts", "m")
+    upsert(lake, T, many, ["k"], "m", newest="ts")
+    index = KeyIndex(lake, T, ["k"], "m")
+    assert len(list(Path(lake.current_path(index.name)).glob("_batch=*/_span=*"))) <= 2
+    assert index.partitions(table(spark, (3000, "", 0, None))) == [MONTHS[1]]
+    assert index.partitions(table(spark, (5, "", 0, None))) == ([JAN] if before else [])
+
+
 def test_rebuilt_table_gets_a_new_index(spark, new_lake):
     lake = new_lake()
     for month in MONTHS[:2]:
