@@ -42,7 +42,7 @@ WIDTH, PERCENT = 5, 75
 #: Rows of a column that are multiplied out; a longer column is linked through one of its rows.
 SHORT = 24
 #: Entries of the matrix in a block, rows of a column in one task, and rows on a side of a tile.
-BLOCK, HOT, TILE = 1_500_000, 1_000_000, 2_000
+BLOCK, HOT, TILE = 750_000, 1_000_000, 2_000
 _PARTS = 64
 _SKETCH = 2048
 
@@ -227,14 +227,14 @@ def _multiply(percent: int, short: int):
             for r in np.unique(length[(length > 1) & (length <= short)]).tolist():
                 left, right = np.triu_indices(r, 1)
                 heads = start[length == r]
-                step = max(1, 2_000_000 // len(left))
+                step = max(1, 500_000 // len(left))
                 for k in range(0, len(heads), step):
                     at = heads[k : k + step, None]
                     i, j = row[at + left].ravel(), row[at + right].ravel()
                     fits = 100 * sizes[i] >= percent * sizes[j]
                     pending.append(i[fits].astype(np.int64) * len(names) + j[fits])
                     waiting += len(pending[-1])
-                    if waiting > 4_000_000:
+                    if waiting > 1_500_000:
                         collapse()
                         waiting = 0
             collapse()

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,3 +278,17 @@ def test_lines_of_one_template_are_dealt_to_several_tasks(spark, monkeypatch):
 def test_repeated_lines_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert line_dedup.drop_repeated_lines(spark, docs).count() == 0
+
+
+def test_a_block_of_the_product_takes_little_memory():
+    """A full block, whose columns have eight rows each: what one Python worker holds beside its input."""
+    n = jaccard.BLOCK
+    shingle = np.repeat(np.arange(n // 8, dtype=np.uint64), 8)
+    node = np.random.default_rng(1).integers(0, n // 60, len(shingle))
+    size = np.full(len(node), 100, np.int32)
+    block = pa.table({"salted": [False], "shingle": [shingle.tobytes()], "node": [node.tobytes()], "size": [size.tobytes()]})
+    tracemalloc.start()
+    found = jaccard._multiply(75, 24)(None, block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows > n and peak < 300 * 2**20
