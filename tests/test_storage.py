@@ -92,6 +92,26 @@ def test_shuffle_partitions_have_no_ceiling_but_the_one_that_is_asked_for(spark,
     assert shuffle_partitions(spark, "x", most=5000) == 5000
 
 
+def test_tasks_stay_small_whatever_the_input(spark, monkeypatch):
+    """Rows in memory, some ten times their stored bytes, fit a task's share of the heap before and after a shuffle."""
+    for gigabytes in (1, 6, 100):
+        stored = gigabytes * 10**9
+        monkeypatch.setattr(session_module, "stored_bytes", lambda *_, stored=stored: stored)
+        assert 10 * stored / shuffle_partitions(spark, "x") < 100 * 10**6
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        assert int(spark.conf.get(key).removesuffix("m")) <= 64
+
+
+def test_rows_that_are_swapped_in_are_shuffled_once(spark, new_lake, monkeypatch):
+    lake = new_lake()
+    lake.publish(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB)), "m")
+    hinted, hint = [], type(lake.read(T)).hint
+    monkeypatch.setattr(type(lake.read(T)), "hint", lambda df, *a: hinted.append(a) or hint(df, *a))
+    lake.replace_partitions(T, table(spark, (4, "d", 0, FEB), (3, "c", 0, FEB)), "m", [FEB], sort_by="k")
+    assert len(hinted) == 1
+    assert rows(lake.read(T), "k", "v") == [(1, "a"), (3, "c"), (4, "d")]
+
+
 def test_gold_by_groups_of_months_equals_gold_at_once(spark, new_lake):
     lake = new_lake()
     shop.build(lake)
