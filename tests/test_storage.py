@@ -99,7 +99,7 @@ def test_tasks_stay_small_whatever_the_input(spark, monkeypatch):
         monkeypatch.setattr(session_module, "stored_bytes", lambda *_, stored=stored: stored)
         assert 10 * stored / shuffle_partitions(spark, "x") < 100 * 10**6
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
-        assert int(spark.conf.get(key).removesuffix("m")) <= 64
+        assert int(spark.conf.get(key).removesuffix("m")) <= 32
 
 
 def test_rows_that_are_swapped_in_are_shuffled_once(spark, new_lake, monkeypatch):
