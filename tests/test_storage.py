@@ -172,6 +172,55 @@ def lake_path(spark, path):
     return filesystem(spark, path)[1]
 
 
+@pytest.mark.parametrize("moved", [0, 1, 2])
+def test_swap_moves_the_files_it_wrote_also_after_a_loss_between_two(spark, new_lake, monkeypatch, moved):
+    lake = new_lake()
+    lake.publish(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB), (3, "c", 0, None)), "m")
+    written, plain = [], lake_module.write_parquet
+    monkeypatch.setattr(lake_module, "write_parquet", lambda *a, **k: written.append(a) or plain(*a, **k))
+    make, calls = type(lake)._make_content, []
+
+    def lost(self, folder, source, files):
+        make(self, folder, source, files)
+        calls.append(folder)
+        if len(calls) > moved:
+            raise Lost
+
+    with monkeypatch.context() as m:
+        m.setattr(type(lake), "_make_content", lost)
+        with pytest.raises(Lost):
+            lake.replace_partitions(T, table(spark, (8, "y", 0, JAN), (9, "z", 0, FEB), (7, "x", 0, None)), "m", [JAN, FEB, None])
+    lake.recover(T)
+    assert rows(lake.read(T), "k", "m") == [(7, None), (8, JAN), (9, FEB)]
+    assert len(written) == 1  # nothing is read and written again to be swapped in
+    assert lake.notes("replace") == {}
+
+
+def test_change_that_was_noted_without_its_files_is_finished(spark, new_lake, monkeypatch):
+    lake = new_lake()
+    lake.publish(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB)), "m")
+    with monkeypatch.context() as m:
+        m.setattr(type(lake), "_overwrite", lambda *_: (_ for _ in ()).throw(Lost()))
+        with pytest.raises(Lost):
+            lake.replace_partitions(T, table(spark, (9, "z", 0, JAN)), "m", [JAN, FEB])
+    (note, steps), = lake.notes("replace").items()
+    older = [{k: v for k, v in step.items() if k != "files"} for step in steps]
+    lake.put_text(f"{lake.root.rstrip('/')}/_notes/{note}", lake_module.json.dumps(older))
+    lake.recover(T)
+    assert rows(lake.read(T), "k", "m") == [(9, JAN)]
+
+
+def test_upsert_writes_a_stored_source_once(spark, new_lake, monkeypatch):
+    lake, labels, plain = new_lake(), [], lake_module.Scratch.stage
+    monkeypatch.setattr(lake_module.Scratch, "stage", lambda self, df, label: labels.append(label) or plain(self, df, label))
+    shop.land(lake)
+    for name in ("silver_customers", "silver_products", "silver_orders", "silver_order_items"):
+        for _ in range(2):
+            runs.absorb(lake, name, lake.read(runs.BRONZE_OF[name]))
+    assert "silver_order_items-good" in labels
+    assert not [label for label in labels if label.endswith(("-first", "-source"))]
+
+
 def test_change_that_cannot_be_computed_changes_nothing(spark, new_lake):
     lake, other = new_lake(), "silver_other"
     for name in (T, other):
