@@ -102,6 +102,21 @@ def test_tasks_stay_small_whatever_the_input(spark, monkeypatch):
         assert int(spark.conf.get(key).removesuffix("m")) <= 32
 
 
+def test_numbered_lines_are_stored_once(spark, tmp_path, monkeypatch):
+    from orderloom.sources import sample_tables
+    from orderloom.catalogue import SampleLake
+
+    lines = "id AS l_orderkey, 1 AS l_linenumber, id AS l_partkey, id AS l_suppkey, DATE'1998-01-01' AS l_shipdate"
+    more = "10.0D AS l_extendedprice, 2.0D AS l_quantity, 'N' AS l_returnflag, 'O' AS l_linestatus"
+    spark.range(50).selectExpr(*f"{lines}, {more}".split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    labels, plain = [], lake_module.Scratch.stage
+    monkeypatch.setattr(lake_module.Scratch, "stage", lambda self, df, label: labels.append(label) or plain(self, df, label))
+    found = SampleLake(spark, str(tmp_path)).lines()
+    assert sorted(r.line_id for r in found.collect()) == list(range(1, 51))
+    assert [r.line_id for r in found.sort("order_key").collect()] == [r.line_id for r in sample_tables.order_lines(spark, str(tmp_path)).sort("order_key").collect()]
+    assert "lines" not in labels and labels.count("numbering") == 2  # once for each of the two frames
+
+
 def test_rows_that_are_swapped_in_are_shuffled_once(spark, new_lake, monkeypatch):
     lake = new_lake()
     lake.publish(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB)), "m")
