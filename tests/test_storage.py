@@ -117,6 +117,13 @@ def test_numbered_lines_are_stored_once(spark, tmp_path, monkeypatch):
     assert "lines" not in labels and labels.count("numbering") == 2  # once for each of the two frames
 
 
+def test_stored_files_are_small(spark, new_lake):
+    lake = new_lake()
+    lake.publish(T, table(spark, (1, "x", 0, JAN)))
+    fs, files = filesystem(spark, f"{lake.current_path(T)}/*.parquet")
+    assert all(".zstd." in status.getPath().getName() for status in fs.globStatus(files))
+
+
 def test_rows_that_are_swapped_in_are_shuffled_once(spark, new_lake, monkeypatch):
     lake = new_lake()
     lake.publish(T, table(spark, (1, "a", 0, JAN), (2, "b", 0, FEB)), "m")
