@@ -39,8 +39,9 @@ from orderloom.llm.shingles import sets
 
 #: Words in a shingle, and the similarity in percent from which documents are linked.
 WIDTH, PERCENT = 5, 75
-#: Rows of a column that are multiplied out; a longer column is linked through one of its rows.
-SHORT = 24
+#: Rows of a column that are multiplied out, into two pairs an entry at most; a longer column, whose pairs would grow
+#: with the square of its rows, is linked through one of its rows.
+SHORT = 5
 #: Entries of the matrix in a block, rows of a column in one task, and rows on a side of a tile.
 BLOCK, HOT, TILE = 750_000, 1_000_000, 2_000
 _PARTS = 64

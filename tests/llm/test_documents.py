@@ -292,3 +292,12 @@ def test_a_block_of_the_product_takes_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found.num_rows > n and peak < 300 * 2**20
+
+
+def test_rows_of_the_product_grow_with_its_entries():
+    """A column of near copies gives two rows an entry at most, whatever its length."""
+    for rows in (2, 3, 5, 6, 12, 24, 200):
+        node = np.arange(rows, dtype=np.int64)
+        columns = {"shingle": np.full(rows, 7, np.uint64), "node": node, "size": np.full(rows, 100, np.int32)}
+        block = pa.table({"salted": [False], **{k: [v.tobytes()] for k, v in columns.items()}})
+        assert rows - 1 <= jaccard._multiply(75, jaccard.SHORT)(None, block).num_rows <= 2 * rows
