@@ -33,6 +33,8 @@ _WHITE = [9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
 # The endings that follow an apostrophe as a slice of their own.
 _ENDINGS_1, _ENDINGS_2 = "stmd", ("re", "ve", "ll")
 _BLOCK = 64
+#: Code points that are encoded at once: some 150 bytes of temporaries each.
+AT_ONCE = 250_000
 _SENTINEL = 0x110000
 _NONE = np.int32(2**31 - 1)
 _SHIFT = np.int64(20)
@@ -130,7 +132,7 @@ class Vocabulary:
 
     #: Slices and bytes of a generation of the cache: once it is full, the one before it is forgotten and slices that
     #: are met again move on. Slices of over LONG bytes are merged one by one.
-    CACHE, CACHE_BYTES, LONG = 400_000, 1 << 25, 64
+    CACHE, CACHE_BYTES, LONG = 100_000, 1 << 23, 64
 
     def __init__(self, path: str):
         with open(path, "rb") as lines:
@@ -299,7 +301,7 @@ class Vocabulary:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
         """Per text: its ids as little-endian 32-bit integers, where its slices start, and the ids in each slice."""
-        for start, end in chunks(texts):
+        for start, end in chunks(texts, AT_ONCE):
             joined = "\0".join(texts[start:end]) + "\0"
             points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").copy()
             points[(points >> 11) == 0x1B] = 0xFFFD
@@ -368,7 +370,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
             texts = texts_of(batch.column("text"))
             names = batch.column("doc_id")
             row = 0
-            for start, end in chunks(texts):
+            for start, end in chunks(texts, AT_ONCE):
                 got = list(words.encode(texts[start:end]))
                 ids = [x[0] for x in got]
                 columns = [names.slice(row, len(got)), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
@@ -394,7 +396,7 @@ def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_co
         words = vocabulary(ranks_path)
         for batch in batches:
             texts, row = texts_of(batch.column("text")), 0
-            for start, end in chunks(texts):
+            for start, end in chunks(texts, AT_ONCE):
                 found = list(words.encode(texts[start:end]))
                 ids = [x for x, _, _ in found]
                 back = pa.array([words.decode_slices(*x) for x in found], pa.binary())

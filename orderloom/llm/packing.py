@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.bpe import Vocabulary, vocabulary
+from orderloom.llm.bpe import AT_ONCE, Vocabulary, vocabulary
 from orderloom.llm.common import Staged, chunks, id_text, texts_of
 
 SEQUENCE = 2048
@@ -75,7 +75,7 @@ def pieces(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             texts = texts_of(batch.column("text"))
             row = 0
-            for start, end in chunks(texts):
+            for start, end in chunks(texts, AT_ONCE):
                 rows, cut = [], []
                 for packed in _encode(words, texts[start:end], added or {}):
                     packed += last

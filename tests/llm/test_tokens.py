@@ -2,6 +2,7 @@
 
 import base64
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -48,6 +49,19 @@ def test_cache_may_be_emptied_at_any_time(tiktoken_encoding, monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == tiktoken_encoding.encode_ordinary(text)
 
 
+def test_encoding_many_texts_takes_little_memory():
+    """What a Python worker holds while it encodes a batch of a million characters."""
+    rng = random.Random(2)
+    texts = [" ".join(f"{rng.randrange(16**8):08x}" for _ in range(1000)) for _ in range(110)]
+    words = bpe.Vocabulary(RANKS)
+    list(words.encode(texts[:1]))
+    tracemalloc.start()
+    tokens = sum(int(counts.sum()) for _, _, counts in words.encode(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tokens > 300_000 and peak < 50 * 2**20
+
+
 def test_tables_with_nulls_repeats_and_further_columns(spark, tiktoken_encoding):
     rows = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, "a b", "y"), (1, "", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
