@@ -16,10 +16,12 @@ What keeps this linear and exact:
   c + max(rest of one, rest of the other) in common. Unrelated documents that share a passage fail this bound.
 * A column with many rows (a large group of near copies) is not multiplied out. It links its rows to one of
   them; what is linked is one component, and only pairs that lie in different components afterwards are
-  counted, in tiles of bounded size, after parity sketches have ruled out sets that differ too much. Columns
-  with very many rows are dealt to several tasks.
+  looked at, in tiles of bounded size. Columns of one passage have nearly the same rows; those with the same
+  smallest row are one group, in which a row is dealt out once. Columns with very many rows are dealt to
+  several tasks.
+* Every pair first has to pass by parity sketches of a fixed size, which rule out sets that differ too much.
 
-Pairs that pass are compared exactly, set against set.
+Pairs that pass are compared exactly, set against set; only their sets are moved.
 """
 
 from __future__ import annotations
@@ -278,30 +280,54 @@ def _bound(percent: int):
     return F.greatest(rest("na"), rest("nb"))
 
 
-def _set_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The sets of the nodes in `wanted` (node, at), each from the text of one row that has it.
+def _parity(found: np.ndarray) -> bytes:
+    """For each value of the hash's last bits, whether the set has an odd number of such shingles, in bits.
 
-    Rows are told by `at`, a hash of identifier and text, so that null and repeated identifiers do no harm; a filter of
-    fixed size keeps most others out before their sets are computed. A set is taken for a node only if its digest says so.
+    Two of them differ in at most as many bits as the sets differ in shingles.
     """
-    kept = probably_in(docs, "at", bitmap(wanted, "at")).select("at", "text")
+    return np.packbits(np.bincount(found % np.uint64(_SKETCH), minlength=_SKETCH) & 1).tobytes()
+
+
+def _of_sets(docs: DataFrame, wanted: DataFrame, width: int, column: str, made) -> DataFrame:
+    """node, n and `made` of its set, for the nodes in `wanted` (node, at), each from the text of a row that has it.
+
+    Rows are told by `at`, a hash of identifier and text; a filter of fixed size keeps most others out before their sets
+    are computed. A set is taken for a node only if its digest says so, from whichever row.
+    """
+    kept = probably_in(docs, "at", bitmap(wanted, "at")).select("text")
 
     def run(batches):
         given: set[int] = set()
         for batch in batches:
-            rows: dict[str, list] = {"at": [], "node": [], "shingles": []}
-            for at, found in zip(batch.column("at").to_pylist(), sets(texts_of(batch.column("text")), width)):
+            rows: dict[str, list] = {"node": [], "n": [], column: []}
+            for found in sets(texts_of(batch.column("text")), width):
                 node = _node(found)
                 if node is None or node in given:
                     continue
                 if len(given) < 1_000_000:
                     given.add(node)
-                for name, value in (("at", at), ("node", node), ("shingles", found.tobytes())):
+                for name, value in (("node", node), ("n", len(found)), (column, made(found))):
                     rows[name].append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), (pa.int64(), pa.int64(), pa.binary()))], list(rows))
 
-    computed = kept.mapInArrow(run, "at long, node long, shingles binary")
-    return computed.join(wanted, ["node", "at"]).groupBy("node").agg(F.first("shingles").alias("shingles"))
+    computed = kept.mapInArrow(run, f"node long, n long, {column} binary")
+    return computed.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first(column).alias(column))
+
+
+def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the sizes and sketches of their sets allow to reach the threshold."""
+    left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, _SKETCH // 64) for c in ("sa", "sb"))
+            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            keep = (100 + percent) * apart <= (100 - percent) * (batch.column("na").to_numpy() + batch.column("nb").to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    return pairs.select("a", "b").join(right, "b").join(left, "a").where(fits).select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def _compare(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -353,22 +379,29 @@ def similar(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     stars = found.where(F.col("kind") == STAR).select("a", "b").distinct()
     pairs = staged.write("pairs-1", passing.union(stars).distinct())
 
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(longs.select("node")).distinct()
-    wanted = staged.write("wanted", nodes.join(needed, "node").select("node", "at"))
-    rows = staged.write("sets", _set_rows(docs, wanted, width))
-    links = staged.write("links-1", _compare(pairs, rows, percent))
+    wanted = staged.write("wanted", nodes.join(_ends(pairs).union(longs.select("node")).distinct(), "node").select("node", "at"))
+    sketches = staged.write("sketches", _of_sets(docs, wanted, width, "sketch", _parity))
+
+    def compared(pairs: DataFrame, step: int) -> DataFrame:
+        """The links among these pairs; a set is computed and moved only if its sketch has passed in one of them."""
+        possible = staged.write(f"possible-{step}", _alike(pairs, sketches, percent))
+        ends = wanted.join(_ends(possible).distinct(), "node", "left_semi")
+        rows = staged.write(f"sets-{step}", _of_sets(docs, ends, width, "shingles", np.ndarray.tobytes))
+        return staged.write(f"links-{step}", _compare(possible, rows, percent))
+
+    links = compared(pairs, 1)
     classes = components(staged, links, "classes-1")
     tried = pairs
 
     for step in (2, 3):
         # Columns whose rows are not all in one component: first through one row of each, then all that is left.
         label = F.coalesce("component", "node")
-        labelled = longs.distinct().join(classes, "node", "left").select("run", "node", "n", label.alias("label"))
-        mixed = labelled.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows")).where("low <> high")
-        left = staged.write(f"mixed-{step}", labelled.join(mixed.select("run", "rows"), "run"))
+        labelled = longs.join(classes, "node", "left").select("run", "node", "n", label.alias("label"))
+        mixed = labelled.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("group")).where("low <> high")
+        left = staged.write(f"mixed-{step}", labelled.join(mixed.select("run", "group"), "run"))
         if left.isEmpty():
             break
-        more = _through_one(left) if step == 2 else _all_across(left.join(_sketches(rows), "node"), percent)
+        more = _through_one(left) if step == 2 else _all_across(left, sketches, percent)
         if step == 3:
             more = more.join(counted.select("a", "b", F.col("c").alias("before")), ["a", "b"], "left").where(
                 _enough(F.col("c") + F.coalesce("before", F.lit(0)) + _bound(percent), percent)
@@ -376,11 +409,15 @@ def similar(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
         fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
         pairs = staged.write(f"pairs-{step}", more.where(fits).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
         tried = tried.union(pairs)
-        links = links.union(staged.write(f"links-{step}", _compare(pairs, rows, percent)))
+        links = links.union(compared(pairs, step))
         classes = components(staged, links, f"classes-{step}")
     return Similar(members, links, classes)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     """a and b by (size, node), as the blocks have them."""
     swap = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") > F.col("b")))
@@ -398,36 +435,25 @@ def _through_one(left: DataFrame) -> DataFrame:
     return _ordered(pairs.select(F.col("first.x.node").alias("a"), F.col("first.x.n").alias("na"), F.col("x.node").alias("b"), F.col("x.n").alias("nb")))
 
 
-def _sketches(rows: DataFrame) -> DataFrame:
-    """node and sketch: for each value of the hash's last bits, whether the set has an odd number of such shingles.
-
-    Two sketches differ in at most as many bits as the sets differ in shingles.
-    """
-
-    def run(batches):
-        for batch in batches:
-            found = [np.packbits(np.bincount(np.frombuffer(s.as_buffer(), np.uint64) % np.uint64(_SKETCH), minlength=_SKETCH) & 1).tobytes() for s in batch.column("shingles")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "sketch"])
-
-    return rows.mapInArrow(run, "node long, sketch binary")
-
-
-def _all_across(left: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a column in different components that sizes and sketches allow, and how many columns they share.
+def _all_across(left: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a group of columns in different components that sizes and sketches allow, and how many columns they share at most.
 
-    A pair is looked at in every tile that holds both rows, and given in that of its first common column alone.
+    A pair may be in several groups: it is given in the first that holds both rows alone.
     """
-    own = left.groupBy("node").agg(F.sort_array(F.collect_set("run")).alias("runs"))
+    places = left.groupBy("group", "node").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.count("*").alias("columns"))
+    sizes = places.groupBy("group").agg(F.count("*").alias("rows"))
+    own = places.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("group", "columns"))).alias("groups"))
     side = F.greatest(F.lit(1), F.expr(f"(rows + {TILE - 1}) div {TILE}"))
-    dealt = left.join(own, "node").withColumn("side", side).withColumn("own", F.pmod(F.xxhash64("node"), F.col("side")))
+    dealt = places.join(own, "node").join(sketches.select("node", "sketch"), "node").join(sizes, "group")
+    dealt = dealt.withColumn("side", side).withColumn("own", F.pmod(F.xxhash64("node"), F.col("side")))
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("side") - 1)))
-    tiles = tiles.select("run", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "sketch", "runs")
+    tiles = tiles.select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "sketch", "groups")
 
     def run(key, table):
-        column, first, second = (k.as_py() for k in key)
+        group, first, second = (k.as_py() for k in key)
         own, node, n, label = (table.column(c).to_numpy() for c in ("own", "node", "n", "label"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), _SKETCH // 64)
-        runs = [set(r) for r in table.column("runs").to_pylist()]
+        groups = [{g["group"]: g["columns"] for g in r} for r in table.column("groups").to_pylist()]
         x, y = np.flatnonzero(own == first), np.flatnonzero(own == second)
         theirs, found = sketch[y], []
         for i in x.tolist():
@@ -436,13 +462,13 @@ def _all_across(left: DataFrame, percent: int) -> DataFrame:
                 fits &= y > i
             apart = np.bitwise_count(theirs ^ sketch[i]).sum(axis=1, dtype=np.int64)
             for j in y[fits & ((100 + percent) * apart <= (100 - percent) * (n[y] + n[i]))].tolist():
-                common = runs[i] & runs[j]
-                if min(common) == column:
-                    found.append((i, j, len(common)))
+                common = groups[i].keys() & groups[j].keys()
+                if min(common) == group:
+                    found.append((i, j, sum(min(groups[i][g], groups[j][g]) for g in common)))
         i, j, c = np.array(found, np.int64).reshape(-1, 3).T
         return pa.table({"a": node[i], "na": n[i].astype(np.int32), "b": node[j], "nb": n[j].astype(np.int32), "c": c})
 
-    return _ordered(tiles.groupBy("run", "i", "j").applyInArrow(run, "a long, na int, b long, nb int, c long"))
+    return _ordered(tiles.groupBy("group", "i", "j").applyInArrow(run, "a long, na int, b long, nb int, c long"))
 
 
 def document_classes(found: Similar) -> DataFrame:

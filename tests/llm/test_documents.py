@@ -301,3 +301,22 @@ def test_rows_of_the_product_grow_with_its_entries():
         columns = {"shingle": np.full(rows, 7, np.uint64), "node": node, "size": np.full(rows, 100, np.int32)}
         block = pa.table({"salted": [False], **{k: [v.tobytes()] for k, v in columns.items()}})
         assert rows - 1 <= jaccard._multiply(75, jaccard.SHORT)(None, block).num_rows <= 2 * rows
+
+
+def test_sets_are_moved_only_where_sketches_allow_a_link(spark, monkeypatch):
+    """Unrelated documents that share a passage need no set outside their own task, and one place each in the tiles."""
+    rng = random.Random(8)
+    passage = ["p%d" % i for i in range(12)]
+    rows = [" ".join([f"u{n}x{i}" for i in range(60)] + passage) for n in range(30)]
+    near = ["v%d" % i for i in range(80)]
+    rows += [" ".join(near), " ".join([*near[:40], rng.choice("abc"), *near[41:]])]
+    monkeypatch.setattr(jaccard, "_buckets", lambda documents: 2)  # a table that cannot tell: shared shingles come first
+    written, write = {}, jaccard.Staged.write
+    monkeypatch.setattr(jaccard.Staged, "write", lambda self, name, df: written.setdefault(name, write(self, name, df)))
+    monkeypatch.setattr(jaccard, "_PARTS", 2)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    got = jaccard.document_classes(jaccard.similar(spark, docs, short=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _plain_classes(list(enumerate(rows)))
+    assert written["mixed-2"].count() > 30
+    moved = [df.select("node") for name, df in written.items() if "shingles" in df.columns]
+    assert sum(df.count() for df in moved) == 2
