@@ -19,7 +19,7 @@ What keeps this linear and exact:
   looked at, in tiles of bounded size. Columns of one passage have nearly the same rows; those with the same
   smallest row are one group, in which a row is dealt out once. Columns with very many rows are dealt to
   several tasks.
-* Every pair first has to pass by parity sketches of a fixed size, which rule out sets that differ too much.
+* Every pair first has to pass by parity sketches, 32 times smaller than a large set, which rule out sets that differ too much.
 
 Pairs that pass are compared exactly, set against set; only their sets are moved.
 """
@@ -283,9 +283,16 @@ def _bound(percent: int):
 def _parity(found: np.ndarray) -> bytes:
     """For each value of the hash's last bits, whether the set has an odd number of such shingles, in bits.
 
-    Two of them differ in at most as many bits as the sets differ in shingles.
+    Two of them differ in at most as many bits as the sets differ in shingles. A set of more than 1,024 has twice its size
+    in bits at least, as a power of two, else unlike sets of many shingles could not be told; see `_fold`.
     """
-    return np.packbits(np.bincount(found % np.uint64(_SKETCH), minlength=_SKETCH) & 1).tobytes()
+    bits = max(_SKETCH, 1 << (2 * len(found) - 1).bit_length())
+    return np.packbits(np.bincount(found % np.uint64(bits), minlength=bits) & 1).tobytes()
+
+
+def _fold(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch that the same set has in `size` bytes, as 64-bit words."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
 
 
 def _of_sets(docs: DataFrame, wanted: DataFrame, width: int, column: str, made) -> DataFrame:
@@ -321,8 +328,10 @@ def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, _SKETCH // 64) for c in ("sa", "sb"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            apart = np.zeros(batch.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())):
+                size = min(len(x), len(y))
+                apart[i] = np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum(dtype=np.int64)
             keep = (100 + percent) * apart <= (100 - percent) * (batch.column("na").to_numpy() + batch.column("nb").to_numpy())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -435,6 +444,17 @@ def _through_one(left: DataFrame) -> DataFrame:
     return _ordered(pairs.select(F.col("first.x.node").alias("a"), F.col("first.x.n").alias("na"), F.col("x.node").alias("b"), F.col("x.n").alias("nb")))
 
 
+def _short(sketches: DataFrame) -> DataFrame:
+    """node and its sketch in the fewest bits, as the tiles take them."""
+
+    def run(batches):
+        for batch in batches:
+            found = [_fold(x, _SKETCH // 8).tobytes() for x in batch.column("sketch").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "sketch"])
+
+    return sketches.select("node", "sketch").mapInArrow(run, "node long, sketch binary")
+
+
 def _all_across(left: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs of a group of columns in different components that sizes and sketches allow, and how many columns they share at most.
 
@@ -444,7 +464,7 @@ def _all_across(left: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     sizes = places.groupBy("group").agg(F.count("*").alias("rows"))
     own = places.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("group", "columns"))).alias("groups"))
     side = F.greatest(F.lit(1), F.expr(f"(rows + {TILE - 1}) div {TILE}"))
-    dealt = places.join(own, "node").join(sketches.select("node", "sketch"), "node").join(sizes, "group")
+    dealt = places.join(own, "node").join(_short(sketches), "node").join(sizes, "group")
     dealt = dealt.withColumn("side", side).withColumn("own", F.pmod(F.xxhash64("node"), F.col("side")))
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("side") - 1)))
     tiles = tiles.select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "sketch", "groups")

@@ -320,3 +320,14 @@ def test_sets_are_moved_only_where_sketches_allow_a_link(spark, monkeypatch):
     assert written["mixed-2"].count() > 30
     moved = [df.select("node") for name, df in written.items() if "shingles" in df.columns]
     assert sum(df.count() for df in moved) == 2
+
+
+def test_sketches_tell_large_sets_apart_and_fold():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 900, 1024, 1025, 9_000):
+        one, other = (np.unique(rng.integers(0, 2**64, n, np.uint64)) for _ in range(2))
+        sketches = [jaccard._parity(s) for s in (one, other)]
+        apart = int(np.bitwise_count(jaccard._fold(sketches[0], len(sketches[0])) ^ jaccard._fold(sketches[1], len(sketches[0]))).sum())
+        assert apart <= 2 * n and (n < 2 or 175 * apart > 25 * 2 * n)
+        plain = np.packbits(np.bincount(one % np.uint64(jaccard._SKETCH), minlength=jaccard._SKETCH) & 1).tobytes()
+        assert jaccard._fold(sketches[0], jaccard._SKETCH // 8).tobytes() == plain
