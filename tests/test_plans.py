@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.dedupe import latest_by_key
 from orderloom.operators.upsert import merged_rows
-from orderloom.plans import gold, reports, runs, silver
+from orderloom.plans import checks, gold, reports, runs, silver
 from tests import shop
 
 D = dt.date
@@ -199,3 +199,13 @@ def test_hot_product_gives_whole_and_right_marts(spark):
     }
     assert got == expected
     fact.unpersist()
+
+
+def exchanges(df):
+    return plan(df, "simple").count("Exchange hashpartitioning")
+
+
+def test_check_of_the_mart_adds_lines_up_to_months_at_once(built):
+    with settings(built.spark, **NO_BROADCAST):
+        found = checks.mart_vs_fact(built.read(runs.MONTHLY), built.read(runs.FACT))
+        assert exchanges(found) == 3 and found.count() == 0  # the sums, and both sides of the join
