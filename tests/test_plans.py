@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.dedupe import latest_by_key
 from orderloom.operators.upsert import merged_rows
-from orderloom.plans import checks, gold, reports, runs, silver
+from orderloom.plans import checks, deltas, gold, reports, runs, silver
 from tests import shop
 
 D = dt.date
@@ -205,6 +205,50 @@ def exchanges(df):
     return plan(df, "simple").count("Exchange hashpartitioning")
 
 
+def unstamped(df):
+    columns = [*gold.PRODUCT_COLUMNS, *(c for c in sorted(df.columns) if c not in (*gold.PRODUCT_COLUMNS, "_refreshed_at", "order_month"))]
+    return sorted(map(tuple, df.select(*columns).collect()), key=str)
+
+
+@pytest.mark.parametrize("period, plain", [(gold.WEEK, gold.mart_weekly), (gold.MONTH_START, gold.mart_monthly)])
+def test_rolled_up_mart_is_shuffled_once_into_its_folders(built, period, plain):
+    """One shuffle to the folders, also where a folder is dealt to several tasks; by product where the names are many."""
+    daily, names = built.read(runs.DAILY), built.read(runs.DIM_PRODUCT)
+    expected = unstamped(plain(daily, names))
+    month = daily.select("order_month").first()[0]
+    for large in ({}, {month: 3, None: 2}):
+        mart = gold.stored_roll_up(daily, names, period, True, large)
+        assert exchanges(mart) == 1 and unstamped(mart) == expected
+        tasks = mart.select(gold.folder_of(period), "product_id", F.spark_partition_id()).distinct()
+        assert len({r[:2] for r in tasks.collect()}) == tasks.count()
+    with settings(built.spark, **NO_BROADCAST):
+        mart = gold.stored_roll_up(daily, names, period, gold.names_fit(names), {month: 3})
+        assert exchanges(mart) == 2 and unstamped(mart) == expected  # the mart once and the names once
+
+
+def test_refreshed_mart_is_shuffled_once_into_its_folders(built):
+    names, daily = built.read(runs.DIM_PRODUCT), built.read(runs.DAILY)
+    changes = daily.select("product_id", gold.DAY, *deltas.MEASURES).limit(3)
+    mart = deltas.merged(daily, changes, names, gold.DAY, True, {})
+    assert plan(mart, "simple").split("Union")[0].count("Exchange hashpartitioning") == 1
+    found = {(r.product_id, r.order_day): r for r in mart.collect()}
+    changed = {(r.product_id, r.order_day) for r in changes.collect()}
+    for row in daily.collect():
+        key = row.product_id, row.order_day
+        assert found[key].distinct_orders == row.distinct_orders * (2 if key in changed else 1)
+        assert found[key].order_month == row.order_month
+
+
+def test_names_join_after_lines_and_days_are_in_their_months(built):
+    """The shuffle to the months carries no names, whose columns are wider than all others."""
+    lake, names = built, built.read(runs.DIM_PRODUCT)
+    fact = gold.fact_order_items(lake.read("silver_order_items"), lake.read("silver_orders"), lake.read("silver_products"), dealt=True)
+    for rows in (fact, gold.stored_mart_daily(lake.read(runs.FACT), names, True)):
+        blocks = [b for b in plan(rows).split("\n\n") if "REBALANCE_PARTITIONS_BY_COL" in b]
+        assert blocks and not any("product_name" in b for b in blocks)
+    assert fact.count() == lake.read(runs.FACT).count()
+
+
 def test_check_of_the_mart_adds_lines_up_to_months_at_once(built):
     with settings(built.spark, **NO_BROADCAST):
         found = checks.mart_vs_fact(built.read(runs.MONTHLY), built.read(runs.FACT))
