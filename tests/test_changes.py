@@ -8,10 +8,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.operators import key_index
+from orderloom.operators import dealing, key_index
 from orderloom.operators.key_index import KeyIndex
 from orderloom.operators.upsert import upsert
 from orderloom.plans import deltas, runs
+from orderloom.sources import lake as lake_module
 from orderloom.sources import landing
 from orderloom.streaming import flows
 from tests import shop
@@ -157,6 +158,38 @@ def test_day_changes_count_orders_exactly(spark):
     assert deltas.net(deltas.signed(old, old)).isEmpty() and deltas.day_changes(deltas.signed(old, old)).isEmpty()
 
 
+@pytest.mark.parametrize("few, dealt", [(8, True), (0, False)])
+def test_lines_that_stay_are_not_shuffled_unless_their_months_have_many_files(spark, new_lake, monkeypatch, few, dealt):
+    lake = new_lake()
+    shop.build(lake)
+    monkeypatch.setattr(dealing, "FEW_FILES", few)
+    ways, plain = [], lake_module.write_parquet
+
+    def write(df, path, *args, dealt=False, **more):
+        if runs.FACT in path:
+            ways.append(dealt)
+        plain(df, path, *args, dealt=dealt, **more)
+
+    with monkeypatch.context() as m:
+        m.setattr(lake_module, "write_parquet", write)
+        for n in range(2):
+            line = shop.bronze(spark, "bronze_order_items", [item(900 + n, 10, "DELIVERED", shop.T1)])
+            runs.absorb(lake, ITEMS, line, f"batch-{n}")
+            runs.refresh_gold(lake, dimensions=False)
+    assert ways == [dealt, dealt]
+    assert max(map(len, lake.stored_files(runs.FACT, "order_month").values())) <= 3
+    refreshed = full_state(lake)
+    runs.run_gold(lake)
+    assert refreshed == full_state(lake)
+
+
+def test_crowded_folders_and_slices_follow_from_the_sizes_of_files():
+    large, small = dealing.SLICE_BYTES, 1000
+    assert not dealing.crowded({JAN: [large] * 100, None: [small] * dealing.FEW_FILES})
+    assert dealing.crowded({JAN: [large], None: [small] * (dealing.FEW_FILES + 1)})
+    assert dealing.slices_of({JAN: [large, large, small], None: [small] * 50}) == {JAN: 3}
+
+
 # ---- rows that wait ---------------------------------------------------------------------
 
 
